@@ -11,8 +11,8 @@ from credence import fixed_values as fixed
 from credence.functions.economics import lifetime_interest
 from credence.operators import cleaning, drift, features, parity, pd_model, policies, vintage
 from credence.operators import frontier as front
+from credence.operators import ranking
 from credence.operators import sensitivity as sens
-from credence.operators.ranking import ranking_quality
 from credence.operators.sampling import sample_rows
 from credence.plans import evaluation as ev
 from credence.plans import loans as data
@@ -202,9 +202,9 @@ def challenger_raroc_optimized(spark, sf_dir):
 
 
 @query
-def ranking_quality_scorecard(spark, sf_dir):
+def ranking_quality(spark, sf_dir):
     _, test = data.scored_split(spark, sf_dir)
-    return published(ranking_quality(test))
+    return published(ranking.ranking_quality(test))
 
 
 @query
@@ -222,7 +222,7 @@ def score_model(spark, sf_dir):
 @query
 def ranking_quality_model(spark, sf_dir):
     _, test = data.model_scored_split(spark, sf_dir)
-    return published(ranking_quality(test))
+    return published(ranking.ranking_quality(test))
 
 
 @query
@@ -422,6 +422,11 @@ def psi_status_summary(spark, sf_dir):
 
 
 def _event_baseline(spark, sf_dir):
+    """Events and the profile of those before DRIFT_START.
+
+    Event times carry no zone. A stream's watermark needs instants, so the stream reads its clock
+    as UTC whatever the session's zone.
+    """
     path = f"{sf_dir}/events.parquet"
     events = spark.read.parquet(path)
     before = events.filter(F.col("ts") < F.lit(DRIFT_START).cast("timestamp_ntz"))
@@ -448,12 +453,14 @@ def psi_stream(spark, sf_dir):
     events, baseline = _event_baseline(spark, sf_dir)
     stream = spark.readStream.schema(events.schema).option(
         "pathGlobFilter", "events.parquet").parquet(sf_dir)
-    current = stream.filter(F.col("ts") >= F.lit(DRIFT_START).cast("timestamp_ntz"))
+    current = stream.filter(F.col("ts") >= F.lit(DRIFT_START).cast("timestamp_ntz")).withColumn(
+        "ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
     mark = input_fingerprint(spark, f"{sf_dir}/events.parquet")
     output = stage_path(spark, "drift_windows", mark)
     live.start_drift_stream(current, baseline, output, stage_path(spark, "drift_state", mark),
                             once=True).awaitTermination()
-    return _window_rows(live.read_drift(spark, output))
+    shown = F.to_utc_timestamp(F.col("window_start"), F.current_timezone())
+    return _window_rows(live.read_drift(spark, output).withColumn("window_start", shown))
 
 
 # Dashboard
