@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from credence import fixed_values as fixed
 from credence.functions import parsing
+from credence.functions.counting import count_where
 
 NUMBER_COLUMNS = [
     "loan_amnt", "annual_inc", "dti", "fico_range_low", "fico_range_high", "delinq_2yrs",
@@ -101,7 +102,7 @@ def filter_counts(raw: DataFrame) -> DataFrame:
     passed, counts = F.lit(True), [F.count(F.lit(1)).alias("raw")]
     for name, condition in FUNNEL:
         passed = passed & condition()
-        counts.append(F.count_if(passed).alias(name))
+        counts.append(count_where(passed).alias(name))
     return raw.agg(*counts)
 
 
@@ -126,7 +127,7 @@ def funnel(raw: DataFrame) -> DataFrame:
         F.sum("copies").alias("raw"),
         *[F.sum(F.when(F.col("level") >= i + 1, F.col("copies")).otherwise(0)).alias(name)
           for i, (name, _) in enumerate(FUNNEL)],
-        F.count_if(complete).alias("dedupe"))
+        count_where(complete).alias("dedupe"))
     names = ["raw", *[name for name, _ in FUNNEL], "dedupe"]
     steps = [F.struct(F.lit(i).alias("step_no"), F.lit(names[i]).alias("step"),
                       F.coalesce(F.col(names[i - 1]), F.lit(0)).alias("rows_in"),

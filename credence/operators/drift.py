@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credence import fixed_values as fixed
+from credence.functions.counting import count_where
 from credence.operators.quantiles import exact_quantiles
 
 STATUSES = ["significant_shift", "moderate_shift", "stable", "insufficient_data"]
@@ -73,19 +74,19 @@ def psi_term(expected: Column, actual: Column) -> Column:
     return (a - e) * F.log(a / e)
 
 
-def psi_from_counts(counts: DataFrame, keys: Sequence[str] = ("feature", "type")) -> DataFrame:
-    """PSI per key from (keys..., bin, expected, actual) counts.
+def psi_from_counts(counts: DataFrame, totals: DataFrame,
+                    keys: Sequence[str] = ("feature", "type")) -> DataFrame:
+    """PSI per key from (keys..., bin, expected, actual) counts and the totals of both sides.
 
-    A bin empty on both sides adds nothing, so no grid of bins is needed. A feature with many
-    categories keeps them spread: totals are joined, not windowed into one task.
+    A bin empty on both sides adds nothing, so no grid of bins is needed. Totals are joined, not
+    windowed, so a feature with many categories stays spread over tasks. A key whose baseline or
+    actual side is empty has a null PSI.
     """
     keys = list(keys)
-    totals = counts.groupBy(*keys).agg(F.sum("expected").alias("expected_total"),
-                                       F.sum("actual").alias("actual_total"))
     both = (F.col("expected_total") > 0) & (F.col("actual_total") > 0)
-    shares = counts.join(totals, keys).withColumn("term", F.when(both, psi_term(
-        F.col("expected") / F.col("expected_total"), F.col("actual") / F.col("actual_total"))))
-    return shares.groupBy(*keys).agg(F.sum("term").alias("psi"))
+    term = F.when(both, psi_term(F.col("expected") / F.col("expected_total"),
+                                 F.col("actual") / F.col("actual_total")))
+    return totals.join(counts, keys, "left").groupBy(*keys).agg(F.sum(term).alias("psi"))
 
 
 def psi_report(baseline: DataFrame, actual: DataFrame, numeric: Sequence[str],
@@ -97,17 +98,22 @@ def psi_report(baseline: DataFrame, actual: DataFrame, numeric: Sequence[str],
     """
     edges = inner_edges(baseline, numeric, buckets)
     columns = [*numeric, *categorical]
+    is_baseline = F.col("is_baseline")
     both = baseline.select(*columns, F.lit(True).alias("is_baseline")).unionByName(
         actual.select(*columns, F.lit(False).alias("is_baseline")))
     counts = binned(both, edges, categorical, ["is_baseline"]).groupBy(
-        "feature", "type", "bin").agg(
-        F.count_if(F.col("is_baseline")).alias("expected"),
-        F.count_if(~F.col("is_baseline")).alias("actual"))
-    listed = baseline.sparkSession.createDataFrame(
-        [(f, "numeric") for f in numeric] + [(f, "categorical") for f in categorical],
-        "feature string, type string")
-    scored = listed.join(psi_from_counts(counts), ["feature", "type"], "left")
-    return scored.withColumn("status", classify(F.col("psi"))).orderBy(
+        "feature", "type", "bin").agg(count_where(is_baseline).alias("expected"),
+                                      count_where(~is_baseline).alias("actual"))
+    # One row of non-null counts, turned into a row per feature.
+    sizes = both.agg(*[count_where(F.col(c).isNotNull() & side).alias(f"{name}_{i}")
+                       for i, c in enumerate(columns)
+                       for name, side in (("expected", is_baseline), ("actual", ~is_baseline))])
+    totals = sizes.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"),
+                 F.lit("numeric" if i < len(numeric) else "categorical").alias("type"),
+                 F.col(f"expected_{i}").alias("expected_total"),
+                 F.col(f"actual_{i}").alias("actual_total")) for i, c in enumerate(columns)])))
+    return psi_from_counts(counts, totals).withColumn("status", classify(F.col("psi"))).orderBy(
         F.desc_nulls_last("psi"), "feature")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credence import fixed_values as fixed
+from credence.functions.counting import count_where
 from credence.functions.draws import uniform_draw
 
 GROUP = "protected_class_proxy"
@@ -44,8 +45,8 @@ def four_fifths_ratio(rate_a: Column, rate_b: Column) -> Column:
 
 def parity_screen(loans: DataFrame, policies: Mapping[str, Column]) -> DataFrame:
     """Approval rate per group, ratio and flag for every policy, from one pass."""
-    sizes = [F.count_if(F.col(GROUP) == g).alias(f"n_{i}") for i, g in enumerate(GROUPS)]
-    approvals = [F.count_if((F.col(GROUP) == g) & approved).alias(f"approved_{p}_{i}")
+    sizes = [count_where(F.col(GROUP) == g).alias(f"n_{i}") for i, g in enumerate(GROUPS)]
+    approvals = [count_where((F.col(GROUP) == g) & approved).alias(f"approved_{p}_{i}")
                  for p, approved in enumerate(policies.values()) for i, g in enumerate(GROUPS)]
     counts = loans.agg(*sizes, *approvals)
 

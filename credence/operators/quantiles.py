@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,57 +63,73 @@ def value_at_rank(df: DataFrame, column: str, rank: int,
 
 def _ranked_values(df, names, ranks_of, bounds, below=None):
     """Row counts per column and the values at the wanted ranks of each column."""
-    spark = df.sparkSession
     bounds = {**_ranges(df, [n for n in names if n not in bounds]), **bounds}
-    # An open range: (column, lowest value, highest value, rows below it, ranks wanted in it).
-    open_ranges = [(name, *bounds[name], 0, None) for name in names if bounds[name][0] is not None]
     found: dict[str, dict[int, float]] = defaultdict(dict)
     counts: dict[str, int] = {}
-    columns = [F.col(name).cast("double").alias(name) for name in names]
-    rows = df.select(*columns).unpivot([], names, "column", "value").filter(
-        F.col("value").isNotNull())
-    parent, slices = ["column"], FIRST_SLICES
-    while open_ranges:
-        # One row per open range, at most two per wanted quantile: safe to broadcast.
-        schema = pa.schema([("range", pa.int64()), ("low", pa.float64()), ("high", pa.float64()),
-                            *([("column", pa.string())] if parent == ["column"] else
-                              [("parent", pa.int64()), ("slice", pa.int64())])])
-        keys = (lambda r: [r[0]]) if parent == ["column"] else (lambda r: list(r[5]))
-        table = pa.Table.from_pylist(
-            [dict(zip(schema.names, [i, r[1], r[2], *keys(r)])) for i, r in enumerate(open_ranges)],
-            schema=schema)
-        rows = rows.join(F.broadcast(spark.createDataFrame(table)), parent)
-        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
-        cut = F.when(F.col("high") <= F.col("low"), 0).otherwise(
-            F.greatest(F.lit(0), F.least(F.lit(slices - 1), F.floor(share * slices))))
-        rows = rows.select("value", F.col("range").alias("parent"), cut.cast("long").alias("slice"))
-        histogram = rows.groupBy("parent", "slice").agg(
-            F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"),
-            F.max("value").alias("high")).toArrow().to_pylist()
-        by_range = defaultdict(list)
-        for cell in sorted(histogram, key=lambda cell: (cell["parent"], cell["slice"])):
-            by_range[cell["parent"]].append(cell)
-        still_open = []
-        for index, (name, _, _, base, ranks, *_) in enumerate(open_ranges):
-            cells = by_range[index]
+    still_open = [_Range(name, *bounds[name], key={"column": name})
+                  for name in names if bounds[name][0] is not None]
+    levels: list[pa.Table] = []
+    while still_open:
+        levels.append(pa.Table.from_pylist(
+            [{**r.key, "range": i, "low": r.low, "high": r.high}
+             for i, r in enumerate(still_open)]))
+        cells = defaultdict(list)
+        columns = sorted({r.column for r in still_open})
+        for cell in _histogram(df, columns, levels):
+            cells[cell["parent"]].append(cell)
+        inside_of, still_open = still_open, []
+        for index, parent in enumerate(inside_of):
+            base, ranks = parent.below, parent.ranks
             if ranks is None:
-                counts[name] = sum(cell["rows"] for cell in cells)
-                ranks = ranks_of(counts[name], name) if counts[name] else set()
-            for cell in cells:
-                inside = {r for r in ranks if base <= r < base + cell["rows"]}
-                if inside and cell["low"] == cell["high"]:
-                    for rank in inside:
-                        found[name][rank] = cell["low"]
-                        if below is not None:
-                            below[name, rank] = base
-                elif inside:
-                    still_open.append((name, cell["low"], cell["high"], base, inside,
-                                       (index, cell["slice"])))
+                counts[parent.column] = sum(cell["rows"] for cell in cells[index])
+                ranks = ranks_of(counts[parent.column], parent.column)
+            for cell in sorted(cells[index], key=lambda cell: cell["slice"]):
+                held = {r for r in ranks if base <= r < base + cell["rows"]}
+                if held and cell["low"] == cell["high"]:
+                    found[parent.column].update(dict.fromkeys(held, cell["low"]))
+                    if below is not None:
+                        below.update({(parent.column, r): base for r in held})
+                elif held:
+                    still_open.append(_Range(parent.column, cell["low"], cell["high"], base, held,
+                                             {"parent": index, "slice": cell["slice"]}))
                 base += cell["rows"]
-        open_ranges, parent, slices = still_open, ["parent", "slice"], NEXT_SLICES
     return counts, found
 
 
+@dataclass
+class _Range:
+    """A range of one column that still holds wanted ranks (None: not yet known which)."""
+
+    column: str
+    low: float
+    high: float
+    below: int = 0
+    ranks: set[int] | None = None
+    key: dict = field(default_factory=dict)
+
+
+def _histogram(df: DataFrame, columns: Sequence[str], levels: Sequence[pa.Table]) -> list[dict]:
+    """(parent, slice, rows, low, high) of the values that fall in the last level's ranges.
+
+    A level lists the ranges open in one round, at most two per wanted quantile, so it is always
+    safe to broadcast; joining the levels in turn walks a value down to its range.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column", "value").filter(F.col("value").isNotNull())
+    keys, slices = ["column"], FIRST_SLICES
+    for level in levels:
+        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+        cut = F.when(F.col("high") > F.col("low"), F.greatest(
+            F.lit(0), F.least(F.lit(slices - 1), F.floor(share * slices)))).otherwise(0)
+        ranges = F.broadcast(df.sparkSession.createDataFrame(level))
+        rows = rows.join(ranges, keys).select(
+            "value", F.col("range").alias("parent"), cut.cast("long").alias("slice"))
+        keys, slices = ["parent", "slice"], NEXT_SLICES
+    return rows.groupBy("parent", "slice").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"),
+        F.max("value").alias("high")).toArrow().to_pylist()
+
+
 def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
     if not names:
         return {}

@@ -11,17 +11,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from credence.fixed_values import TARGET
+from credence.functions.counting import count_where
 
 SLICES = 2**14
 
 
 def ranking_quality(loans: DataFrame, score: str = "pd", label: str = TARGET) -> DataFrame:
     """One row (auc, gini, ks); all null when only one class is present."""
+    # The slice is declared non-null so that the join below adds no null filter to one side only:
+    # equal sides let Spark compute the counts once.
     scores = loans.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(
         F.col(score).alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("bad"),
-        F.count_if(F.col(label) == 0).alias("good")).withColumn(
-        "slice", F.floor(F.col("score") * SLICES).cast("int"))
+        count_where(F.col(label) == 0).alias("good")).withColumn(
+        "slice", F.coalesce(F.floor(F.col("score") * SLICES).cast("int"), F.lit(0)))
     upward = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     # At most SLICES + 1 rows: one task and a broadcast are both safe.

@@ -353,7 +353,6 @@ ORACLES: dict[str, str] = {
     "dedupe_loans": f"""WITH {RAW}, d AS (SELECT DISTINCT * FROM raw)
         SELECT loan_id, loan_amnt, annual_inc, purpose, addr_state FROM d""",
     "clean_loans": f"""WITH {CLEAN} SELECT * EXCLUDE (issue_date) REPLACE (
-        round(int_rate_frac, 6) AS int_rate_frac, round(revol_util_frac, 6) AS revol_util_frac,
         CAST(defaulted AS BIGINT) AS defaulted) FROM clean""",
     "time_split_counts": f"""WITH {CLEAN} SELECT
         CASE WHEN {_SPLIT.format('<')} THEN 'train' ELSE 'test' END AS side, count(*) AS loans,
@@ -361,7 +360,7 @@ ORACLES: dict[str, str] = {
         strftime(min(issue_date), '%Y-%m-%d') AS first_issue,
         strftime(max(issue_date), '%Y-%m-%d') AS last_issue FROM clean GROUP BY 1""",
     "impute_median": f"""WITH {_PREPARED} SELECT loan_id, emp_length_years,
-        round(revol_util_frac, 6) AS revol_util_frac FROM prepared""",
+        revol_util_frac FROM prepared""",
     "fill_unknown": f"""WITH {_PREPARED} SELECT loan_id, purpose, home_ownership,
         verification_status FROM prepared""",
     "champion_fixed_cutoff": f"WITH {SCORED} {_decision('fico_avg', 'fico_avg >= 660')}",

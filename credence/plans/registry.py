@@ -16,7 +16,7 @@ from credence.operators import sensitivity as sens
 from credence.operators.sampling import sample_rows
 from credence.plans import evaluation as ev
 from credence.plans import loans as data
-from credence.sources.staging import input_fingerprint, stage_path
+from credence.sources.staging import input_fingerprint, stage_path, staged
 from credence.streaming import drift_stream as live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,10 +96,8 @@ def dedupe_loans(spark, sf_dir):
 @query
 def clean_loans(spark, sf_dir):
     loans = cleaning.clean_loans(data.raw(spark, sf_dir))
-    return published(loans.drop("issue_date")).withColumn(
-        "months_on_book", F.col("months_on_book").cast("long")).withColumn(
-        "defaulted", F.col("defaulted").cast("long")).withColumn(
-        "issue_year", F.col("issue_year").cast("long"))
+    whole = ["months_on_book", "defaulted", "issue_year"]
+    return loans.drop("issue_date").withColumns({c: F.col(c).cast("long") for c in whole})
 
 
 # Features
@@ -117,7 +115,7 @@ def time_split_counts(spark, sf_dir):
 
 @query
 def impute_median(spark, sf_dir):
-    return published(data.prepared(spark, sf_dir).select("loan_id", *features.IMPUTED))
+    return data.prepared(spark, sf_dir).select("loan_id", *features.IMPUTED)
 
 
 @query
@@ -444,8 +442,9 @@ def _window_rows(scores):
 def psi_windowed(spark, sf_dir):
     events, baseline = _event_baseline(spark, sf_dir)
     current = events.filter(F.col("ts") >= F.lit(DRIFT_START).cast("timestamp_ntz"))
-    return _window_rows(live.score_windows(
-        live.window_counts(current, baseline, "ts", "1 day"), baseline))
+    counts = staged(spark, "window_counts", input_fingerprint(spark, f"{sf_dir}/events.parquet"),
+                    lambda: live.window_counts(current, baseline, "ts", "1 day"))
+    return _window_rows(live.score_windows(counts, baseline))
 
 
 @query

@@ -52,14 +52,16 @@ def score_windows(counts: DataFrame, baseline: Baseline) -> DataFrame:
     """PSI per window and feature from window counts.
 
     Baseline bins a window never saw still count, so every window meets every baseline bin of its
-    features; one feature's bins make the join as large as the result it feeds.
+    features. The counts are read three times: pass a stored or persisted table.
     """
     windows = counts.select(*KEYS).distinct()
     expected = windows.join(baseline.counts, ["feature", "type"])
     paired = expected.join(counts, [*KEYS, "bin"], "full").select(
         *KEYS, "bin", F.coalesce("expected", F.lit(0)).alias("expected"),
         F.coalesce("actual", F.lit(0)).alias("actual"))
-    return psi_from_counts(paired, KEYS).withColumn("status", classify(F.col("psi")))
+    totals = paired.groupBy(*KEYS).agg(F.sum("expected").alias("expected_total"),
+                                       F.sum("actual").alias("actual_total"))
+    return psi_from_counts(paired, totals, KEYS).withColumn("status", classify(F.col("psi")))
 
 
 def start_drift_stream(stream: DataFrame, baseline: Baseline, output: str, checkpoint: str,
