@@ -24,7 +24,8 @@ def ranking_quality(loans: DataFrame, score: str = "pd", label: str = TARGET) ->
         F.col(score).alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("bad"),
         count_where(F.col(label) == 0).alias("good")).withColumn(
-        "slice", F.coalesce(F.floor(F.col("score") * SLICES).cast("int"), F.lit(0)))
+        "slice", F.coalesce(F.greatest(F.lit(0), F.least(
+            F.lit(SLICES), F.floor(F.col("score") * SLICES))).cast("int"), F.lit(0)))
     upward = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     # At most SLICES + 1 rows: one task and a broadcast are both safe.

@@ -27,7 +27,8 @@ def vintage_curve(df: DataFrame, max_months: int = CURVE_MONTHS) -> DataFrame:
 
     Later or undated defaults stay in the denominator and never reach the numerator.
     """
-    month = F.greatest(F.ceil("months_on_book").cast("int"), F.lit(0))
+    month = F.when(F.col("months_on_book").isNotNull(),
+                   F.greatest(F.ceil("months_on_book").cast("int"), F.lit(0)))
     whole_year = Window.partitionBy("issue_year")
     counts = _counts(df).select(
         "issue_year",
