@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from credence.functions.scoring import scorecard
 from credence.operators.cleaning import clean_loans
 from credence.operators.features import prepare_features, time_split
-from credence.operators.pd_model import pd_expression, train_challenger
+from credence.plans.reports import Backtest, backtest
 from credence.sources.csv_loans import load_raw
 from credence.sources.loan_tape import raw_loans
 from credence.sources.staging import input_fingerprint, path_exists, stage_path, staged
@@ -52,16 +51,6 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_features(clean(spark, sf_dir))
 
 
-def trained_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    """The PD model of the training years, fitted once and kept with the staged tables."""
-    path = stage_path(spark, "pd_model", _mark(spark, sf_dir))
-    if not path_exists(spark, f"{path}/metadata/_SUCCESS"):
-        train, _ = time_split(prepared(spark, sf_dir))
-        train_challenger(train).write().overwrite().save(path)
-    return PipelineModel.load(path)
-
-
-def model_scored_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Train and test loans with the trained model's ``pd``."""
-    model = trained_model(spark, sf_dir)
-    return time_split(prepared(spark, sf_dir).withColumn("pd", pd_expression(model)))
+def model_backtest(spark: SparkSession, sf_dir: str) -> Backtest:
+    """Loans scored by the PD model of the training years, fitted once per application."""
+    return backtest(clean(spark, sf_dir), stage_path(spark, "pd_model", _mark(spark, sf_dir)))

@@ -207,30 +207,31 @@ def ranking_quality(spark, sf_dir):
 
 @query
 def challenger_coefficients(spark, sf_dir):
-    model = data.trained_model(spark, sf_dir)
-    return pd_model.coefficients(model, data.clean(spark, sf_dir))
+    test = data.model_backtest(spark, sf_dir)
+    return pd_model.coefficients(test.model, test.loans)
 
 
 @query
 def score_model(spark, sf_dir):
-    _, test = features.time_split(data.prepared(spark, sf_dir))
-    return pd_model.predict_pd(data.trained_model(spark, sf_dir), test).select("loan_id", "pd")
+    test = data.model_backtest(spark, sf_dir)
+    return pd_model.predict_pd(test.model, test.test.drop("pd")).select("loan_id", "pd")
 
 
 @query
 def ranking_quality_model(spark, sf_dir):
-    _, test = data.model_scored_split(spark, sf_dir)
-    return published(ranking.ranking_quality(test))
+    return published(ranking.ranking_quality(data.model_backtest(spark, sf_dir).test))
 
 
 @query
 def policy_comparison_model(spark, sf_dir):
-    return published(ev.policy_comparison(*data.model_scored_split(spark, sf_dir)))
+    test = data.model_backtest(spark, sf_dir)
+    return published(ev.policy_comparison(test.train, test.test))
 
 
 @query
 def frontier_model(spark, sf_dir):
-    measures = front.frontier_measures(*data.model_scored_split(spark, sf_dir))
+    test = data.model_backtest(spark, sf_dir)
+    measures = front.frontier_measures(test.train, test.test)
     return published(front.frontier(front.frontier_points(measures)))
 
 
