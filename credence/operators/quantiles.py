@@ -8,16 +8,19 @@ closer at those only. A round moves one small count table, so the work is a few
 from __future__ import annotations
 
 import math
+import sys
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FIRST_SLICES = 4096
 NEXT_SLICES = 1024
+# Once the open ranges hold no more rows than this, their values are counted one by one.
+FEW_ROWS = 100_000
 
 
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]],
@@ -75,7 +78,8 @@ def _ranked_values(df, names, ranks_of, bounds, below=None):
              for i, r in enumerate(still_open)]))
         cells = defaultdict(list)
         columns = sorted({r.column for r in still_open})
-        for cell in _histogram(df, columns, levels):
+        few = all(r.ranks for r in still_open) and sum(r.rows for r in still_open) <= FEW_ROWS
+        for cell in _histogram(df, columns, levels, few):
             cells[cell["parent"]].append(cell)
         inside_of, still_open = still_open, []
         for index, parent in enumerate(inside_of):
@@ -90,8 +94,9 @@ def _ranked_values(df, names, ranks_of, bounds, below=None):
                     if below is not None:
                         below.update({(parent.column, r): base for r in held})
                 elif held:
-                    still_open.append(_Range(parent.column, cell["low"], cell["high"], base, held,
-                                             {"parent": index, "slice": cell["slice"]}))
+                    still_open.append(_Range(
+                        parent.column, cell["low"], cell["high"], cell["rows"], base, held,
+                        {"parent": index, "slice": cell["slice"]}))
                 base += cell["rows"]
     return counts, found
 
@@ -103,37 +108,52 @@ class _Range:
     column: str
     low: float
     high: float
+    rows: int = 0
     below: int = 0
     ranks: set[int] | None = None
     key: dict = field(default_factory=dict)
 
 
-def _histogram(df: DataFrame, columns: Sequence[str], levels: Sequence[pa.Table]) -> list[dict]:
+def _histogram(df: DataFrame, columns: Sequence[str], levels: Sequence[pa.Table],
+               by_value: bool) -> list[dict]:
     """(parent, slice, rows, low, high) of the values that fall in the last level's ranges.
 
+    With ``by_value`` every distinct value is a slice of its own.
+
     A level lists the ranges open in one round, at most two per wanted quantile, so it is always
     safe to broadcast; joining the levels in turn walks a value down to its range.
     """
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+    rows = df.select(*[_number(c).alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value").filter(F.col("value").isNotNull())
     keys, slices = ["column"], FIRST_SLICES
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
     for level in levels:
-        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
-        cut = F.when(F.col("high") > F.col("low"), F.greatest(
-            F.lit(0), F.least(F.lit(slices - 1), F.floor(share * slices)))).otherwise(0)
+        # Halves keep the width finite. The two ends never share a slice, so every round splits.
+        share = F.try_divide(value / 2 - low / 2, high / 2 - low / 2)
+        cut = F.when(value >= high, slices - 1).when(value <= low, 0).otherwise(
+            F.coalesce(F.least(F.lit(slices - 1), F.floor(share * slices)), F.lit(0)))
         ranges = F.broadcast(df.sparkSession.createDataFrame(level))
         rows = rows.join(ranges, keys).select(
             "value", F.col("range").alias("parent"), cut.cast("long").alias("slice"))
         keys, slices = ["parent", "slice"], NEXT_SLICES
+    if by_value:
+        rows = rows.withColumn("slice", F.col("value"))
     return rows.groupBy("parent", "slice").agg(
         F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"),
         F.max("value").alias("high")).toArrow().to_pylist()
 
 
+def _number(name: str) -> Column:
+    """The column as a finite double: NaN counts as missing, infinities as the largest doubles."""
+    value = F.col(name).cast("double")
+    largest = F.lit(sys.float_info.max)
+    return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(-largest, F.least(largest, value)))
+
+
 def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
     if not names:
         return {}
-    row = df.agg(*[f(F.col(n).cast("double")).alias(f"{k}{i}")
+    row = df.agg(*[f(_number(n)).alias(f"{k}{i}")
                    for i, n in enumerate(names) for k, f in (("min", F.min), ("max", F.max))]
                  ).first()
     return {n: (row[f"min{i}"], row[f"max{i}"]) for i, n in enumerate(names)}

@@ -1,3 +1,5 @@
+import sys
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -34,9 +36,19 @@ def test_nulls_empty_and_wrong_bounds(spark):
     assert exact_quantiles(df, {"a": [0.0, 0.5, 1.0]}, {"a": (4.0, 6.0)})["a"] == [1, 5, 9]
 
 
+def test_extreme_values(spark):
+    tiny = 5e-324
+    df = frame(spark, wild=[1.0, 2.0, float("nan"), float("inf"), -1.7e308, 3.0, 1.7e308],
+               close=[tiny, 0.0, 2 * tiny, 0.0, tiny, tiny, 3 * tiny])
+    found = exact_quantiles(df, {"wild": [0.0, 0.4, 0.6], "close": [0.0, 0.5, 1.0]})
+    assert found == {"wild": [-1.7e308, 2.0, 3.0], "close": [0.0, tiny, 3 * tiny]}
+    assert value_at_rank(df, "wild", 5)[0] == sys.float_info.max
+
+
 def test_many_rounds(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "FIRST_SLICES", 4)
     monkeypatch.setattr(quantiles, "NEXT_SLICES", 3)
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 0)
     values = np.random.default_rng(1).exponential(1e6, 400)
     found = exact_quantiles(frame(spark, x=values), {"x": SHARES})["x"]
     assert found == pytest.approx(list(np.quantile(values, SHARES)), rel=1e-15)
