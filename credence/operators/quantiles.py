@@ -147,7 +147,8 @@ def _number(name: str) -> Column:
     """The column as a finite double: NaN counts as missing, infinities as the largest doubles."""
     value = F.col(name).cast("double")
     largest = F.lit(sys.float_info.max)
-    return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(-largest, F.least(largest, value)))
+    return F.when(value.isNotNull() & ~F.isnan(value),
+                  F.greatest(-largest, F.least(largest, value)))
 
 
 def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
