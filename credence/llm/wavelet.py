@@ -15,6 +15,7 @@ document ids are ordered by their text, a null id comes first; an empty table st
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -25,14 +26,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from credence.llm.text_kernel import text_buffer
+from credence.llm.text_kernel import blocks, text_buffer
 from credence.llm.work import new_folder
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
 MAGIC = b"WVM1"
-WORD_CACHE = 400_000
-_BLANK_PATTERN = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = 8 << 20
+_SIGNS = re.compile(r"[!-&(-/:;=-@\[-`{-~]+")
 
 
 class WaveletMatrix:
@@ -176,22 +177,74 @@ def open_shard(blob) -> tuple[WaveletMatrix, np.ndarray, np.ndarray, np.ndarray]
 
 
 class WordEncoder:
-    """Token ids of texts, by way of their words.
+    """Token ids of texts, by way of their distinct words.
 
-    The vocabulary's splitter never joins what a blank parts, so a text's ids are those of its
-    words in order. Words are encoded once per batch and kept, up to a bounded number, for later
-    batches. ``probe`` checks that property of the file and falls back to whole texts without it.
+    The vocabulary's splitter never joins what a blank parts, nor an ASCII letter or digit with a
+    stop or comma after it, so a text's ids are those of such pieces in order. ``probe`` checks
+    that of the file; without it whole texts are encoded. Pieces of letters only, or of signs only,
+    are encoded many at a time; as each then is one word to the model, the tokens that end a word
+    tell them apart, and their number must be that of the pieces. Other pieces go one by one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-        probe = "Isn't 12ab\tof the\n end, á <|endoftext|>x  y"
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        probe = "Isn't 12ab\tof the; ab.cd,\n end, \u00e1! <|endoftext|>x  y"
         whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
-        parts = [i for w in probe.split() for i in
-                 self.tokenizer.encode(w, add_special_tokens=False).ids]
-        self.by_word = whole == parts
+        pieces = pc.ascii_split_whitespace(self.apart(pa.array([probe])))[0].as_py()
+        self.by_word = whole == [i for w in pieces for i in
+                                 self.tokenizer.encode(w, add_special_tokens=False).ids]
+
+    @staticmethod
+    def apart(column: pa.Array) -> pa.Array:
+        return pc.replace_substring_regex(column, r"([0-9A-Za-z])([.,!?;:])", r"\1 \2")
+
+    @staticmethod
+    def lowered(column: pa.Array) -> pa.Array:
+        """A-Z in lower case, where the vocabulary would do the same.
+
+        Not with marks of special tokens, nor with combining accents (lead bytes CC and CD), which
+        compose with some small letters only.
+        """
+        data = text_buffer(column)[0]
+        if ((data & 0xFE) == 0xCC).any() or pc.any(pc.match_substring(column, "<|")).as_py():
+            return column
+        return pc.ascii_lower(column)
+
+    def pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin of each word's, number of each word's)."""
+        begins, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        plain, others = [], []
+        for i, w in enumerate(words):
+            (plain if w.isalpha() or _SIGNS.fullmatch(w) else others).append(i)
+        pool, held = [], 0
+        chunks = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
+        for k in range(0, len(chunks), 16):
+            encoded = self.tokenizer.encode_batch_fast(
+                [" ".join([words[i] for i in c]) for c in chunks[k:k + 16]],
+                add_special_tokens=False)
+            for chunk, e in zip(chunks[k:k + 16], encoded):
+                ids = np.array(e.ids, np.int64)
+                stops = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(stops) != len(chunk):
+                    others += chunk
+                    continue
+                begins[chunk] = held + np.append(0, stops[:-1])
+                sizes[chunk] = np.diff(stops, prepend=0)
+                pool.append(ids)
+                held += len(ids)
+        for k in range(0, len(others), 5000):
+            chunk = others[k:k + 5000]
+            encoded = self.tokenizer.encode_batch_fast([words[i] for i in chunk],
+                                                       add_special_tokens=False)
+            for i, e in zip(chunk, encoded):
+                begins[i], sizes[i] = held, len(e.ids)
+                pool.append(np.array(e.ids, np.int64))
+                held += len(e.ids)
+        return np.concatenate(pool or [np.zeros(0, np.int64)]), begins, sizes
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per text)."""
@@ -200,26 +253,16 @@ class WordEncoder:
             found = self.tokenizer.encode_batch(column.to_pylist(), add_special_tokens=False)
             sizes = np.array([len(e.ids) for e in found], np.int64)
             return np.array([i for e in found for i in e.ids], np.int64), sizes
-        words = pc.split_pattern_regex(column, _BLANK_PATTERN)
-        per_text = np.diff(words.offsets.to_numpy())
+        words = pc.ascii_split_whitespace(self.lowered(self.apart(column)))
+        edges = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        fresh = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(fresh) > WORD_CACHE:
-            self.known, fresh = {}, distinct
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i:i + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, np.int32)
-        pieces = [self.known[w] for w in distinct]
-        lengths = np.array([len(p) for p in pieces], np.int64)
-        flat = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
-        begins = np.cumsum(lengths) - lengths
+        flat, begins, sizes = self.pieces(coded.dictionary.to_pylist())
         order = coded.indices.to_numpy(zero_copy_only=False)
-        size = lengths[order]
+        del words, coded
+        size = sizes[order]
         total = np.concatenate(([0], np.cumsum(size)))
         ids = flat[np.repeat(begins[order] - total[:-1], size) + np.arange(total[-1])]
-        edges = np.concatenate(([0], np.cumsum(per_text)))
+        edges -= edges[0]
         return ids, total[edges[1:]] - total[edges[:-1]]
 
 
@@ -249,8 +292,8 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID,
             return row
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at, end in blocks(text_buffer(whole.column("text"))[1], BATCH_BYTES):
+                batch = whole.slice(at, end - at)
                 found, lengths = encoder.encode(batch.column("text"))
                 ends = np.cumsum(lengths)
                 found, lengths = np.insert(found, ends, end_id), lengths + 1
