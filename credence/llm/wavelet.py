@@ -15,6 +15,7 @@ document ids are ordered by their text, a null id comes first; an empty table st
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -30,9 +31,11 @@ from credence.llm.text_kernel import blocks, text_buffer
 from credence.llm.work import new_folder
 
 END_ID = 2
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 MAGIC = b"WVM1"
 BATCH_BYTES = 8 << 20
+_SMALL = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
 _SIGNS = re.compile(r"[!-&(-/:;=-@\[-`{-~]+")
 
 
@@ -51,11 +54,11 @@ class WaveletMatrix:
         level = ids.astype(np.uint16 if top < 1 << 16 else np.uint32)
         planes, zeros = [], []
         for shift in range(max(top.bit_length(), 1) - 1, -1, -1):
-            ones = (level >> level.dtype.type(shift)) & level.dtype.type(1) != 0
+            ones = (level & level.dtype.type(1 << shift)).astype(bool)
             planes.append(np.packbits(ones, bitorder="little"))
-            low = level[~ones]
+            low = level.compress(~ones)
             zeros.append(len(low))
-            level = np.concatenate((low, level[ones]))
+            level = np.concatenate((low, level.compress(ones)))
         return cls(len(ids), planes, zeros)
 
     def ids(self) -> np.ndarray:
@@ -64,9 +67,10 @@ class WaveletMatrix:
         level = np.zeros(self.n, kind)
         for depth in range(self.depth - 1, -1, -1):
             ones = np.unpackbits(self.planes[depth], count=self.n, bitorder="little").view(bool)
+            level[self.zeros[depth]:] |= kind(1 << (self.depth - 1 - depth))
             above = np.empty(self.n, kind)
-            above[~ones] = level[:self.zeros[depth]]
-            above[ones] = level[self.zeros[depth]:] | kind(1 << (self.depth - 1 - depth))
+            above[np.flatnonzero(~ones)] = level[:self.zeros[depth]]
+            above[np.flatnonzero(ones)] = level[self.zeros[depth]:]
             level = above
         return level
 
@@ -179,7 +183,7 @@ def open_shard(blob) -> tuple[WaveletMatrix, np.ndarray, np.ndarray, np.ndarray]
 class WordEncoder:
     """Token ids of texts, by way of their distinct words.
 
-    The vocabulary's splitter never joins what a blank parts, nor an ASCII letter or digit with a
+    The vocabulary's splitter never joins what a blank parts, nor a Latin letter or digit with a
     stop or comma after it, so a text's ids are those of such pieces in order. ``probe`` checks
     that of the file; without it whole texts are encoded. Pieces of letters only, or of signs only,
     are encoded many at a time; as each then is one word to the model, the tokens that end a word
@@ -187,7 +191,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -195,12 +199,18 @@ class WordEncoder:
         probe = "Isn't 12ab\tof the; ab.cd,\n end, \u00e1! <|endoftext|>x  y"
         whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
         pieces = pc.ascii_split_whitespace(self.apart(pa.array([probe])))[0].as_py()
+        # The same model without the normaliser, for words that it leaves as they are.
+        self.direct = Tokenizer.from_file(path)
+        self.direct.normalizer = None
+        self.direct.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.by_word = whole == [i for w in pieces for i in
                                  self.tokenizer.encode(w, add_special_tokens=False).ids]
 
     @staticmethod
     def apart(column: pa.Array) -> pa.Array:
-        return pc.replace_substring_regex(column, r"([0-9A-Za-z])([.,!?;:])", r"\1 \2")
+        return pc.replace_substring_regex(column, f"([{_LETTERS}0-9])([.,!?;:])", r"\1 \2")
 
     @staticmethod
     def lowered(column: pa.Array) -> pa.Array:
@@ -217,25 +227,27 @@ class WordEncoder:
     def pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begin of each word's, number of each word's)."""
         begins, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        plain, others = [], []
+        small, plain, others = [], [], []
         for i, w in enumerate(words):
-            (plain if w.isalpha() or _SIGNS.fullmatch(w) else others).append(i)
+            (small if _SMALL.fullmatch(w) else plain if w.isalpha() or _SIGNS.fullmatch(w)
+             else others).append(i)
         pool, held = [], 0
-        chunks = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
-        for k in range(0, len(chunks), 16):
-            encoded = self.tokenizer.encode_batch_fast(
-                [" ".join([words[i] for i in c]) for c in chunks[k:k + 16]],
-                add_special_tokens=False)
-            for chunk, e in zip(chunks[k:k + 16], encoded):
-                ids = np.array(e.ids, np.int64)
-                stops = np.flatnonzero(self.ends_word[ids]) + 1
-                if len(stops) != len(chunk):
-                    others += chunk
-                    continue
-                begins[chunk] = held + np.append(0, stops[:-1])
-                sizes[chunk] = np.diff(stops, prepend=0)
-                pool.append(ids)
-                held += len(ids)
+        for tokenizer, own in ((self.direct, small), (self.tokenizer, plain)):
+            chunks = [own[i:i + 1000] for i in range(0, len(own), 1000)]
+            for k in range(0, len(chunks), 16):
+                encoded = tokenizer.encode_batch_fast(
+                    [" ".join([words[i] for i in c]) for c in chunks[k:k + 16]],
+                    add_special_tokens=False)
+                for chunk, e in zip(chunks[k:k + 16], encoded):
+                    ids = np.array(e.ids, np.int64)
+                    stops = np.flatnonzero(self.ends_word[ids]) + 1
+                    if len(stops) != len(chunk):
+                        others += chunk
+                        continue
+                    begins[chunk] = held + np.append(0, stops[:-1])
+                    sizes[chunk] = np.diff(stops, prepend=0)
+                    pool.append(ids)
+                    held += len(ids)
         for k in range(0, len(others), 5000):
             chunk = others[k:k + 5000]
             encoded = self.tokenizer.encode_batch_fast([words[i] for i in chunk],
@@ -275,6 +287,7 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID,
     """
     def encode(batches):
         from pyspark import TaskContext
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         part, encoder = TaskContext.get().partitionId(), WordEncoder(vocabulary)
         shard = start = held = 0
         ids, doc_ids, known, sizes = [], [], [], []
