@@ -35,7 +35,7 @@ SHARD_TOKENS = 1 << 19
 MAGIC = b"WVM1"
 BATCH_BYTES = 8 << 20
 _SMALL = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
-_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"  # not U+0130: its small form is two characters
 _SIGNS = re.compile(r"[!-&(-/:;=-@\[-`{-~]+")
 
 
@@ -184,7 +184,7 @@ class WordEncoder:
     """Token ids of texts, by way of their distinct words.
 
     The vocabulary's splitter never joins what a blank parts, nor a Latin letter or digit with a
-    stop or comma after it, so a text's ids are those of such pieces in order. ``probe`` checks
+    sign after it (other than an apostrophe or a special token's), so a text's ids are those of such pieces in order. ``probe`` checks
     that of the file; without it whole texts are encoded. Pieces of letters only, or of signs only,
     are encoded many at a time; as each then is one word to the model, the tokens that end a word
     tell them apart, and their number must be that of the pieces. Other pieces go one by one.
@@ -210,7 +210,7 @@ class WordEncoder:
 
     @staticmethod
     def apart(column: pa.Array) -> pa.Array:
-        return pc.replace_substring_regex(column, f"([{_LETTERS}0-9])([.,!?;:])", r"\1 \2")
+        return pc.replace_substring_regex(column, f"([{_LETTERS}0-9])([!-&(-/:;=?@\\[-`{{}}~])", r"\1 \2")
 
     @staticmethod
     def lowered(column: pa.Array) -> pa.Array:
