@@ -8,9 +8,10 @@ all their sets; in larger ones the depth adapts, as the nearest neighbours agree
 
 Candidates are confirmed on full shingle sets. Documents with equal sets are one node. Links inside
 a known component add nothing, so each node first confirms its best candidate, and then only
-candidates between different components are left. Regions too large for the neighbours to pair all
-are looked at again: where one still holds several components, the members outside its main one
-are compared with all members of other components that agree at a greater depth.
+candidates between different components are left; regions within the neighbours' reach have all
+their pairs among them. Members of larger regions form crowds. Where a crowd still holds several
+components, its stragglers, those outside the main one, are a query set that is compared with all
+members of the crowd, block by block, over an inverted index of the block; only links come out.
 
 Defined results: null, empty and wordless texts have no shingles and are linked with nothing; a
 text of fewer words than a shingle is one shingle of all its words; a null id is linked with
@@ -45,7 +46,10 @@ TREES = 32
 DEPTH = 4
 #: Values of a signature beyond ``DEPTH`` that order a region, 16 bits of each.
 DEEPER = 4
-REACH = 6
+REACH = 3
+#: Lists of ids up to this length are broadcast (about 32 bytes an id); longer ones are shuffled.
+BROADCAST_IDS = 1_000_000
+BLOCK = 256
 HASHES = TREES * DEPTH
 
 _rng = np.random.default_rng(7)
@@ -127,39 +131,71 @@ def labels(nodes: DataFrame) -> DataFrame:
 
 
 def neighbours(placed: DataFrame, percent: int, reach: int = REACH) -> DataFrame:
-    """(a, b) for neighbours in a tree's order, and ``dense``, regions larger than the reach.
+    """(a, b, small) for neighbours in a tree's order, and ``dense``, regions beyond the reach.
 
-    Each partition is read in order, a few rows at a time, so a region of any size is only walked
-    through.
+    ``small`` says that the pair's region is within the reach, so that all its pairs are given.
+    Each partition is read in order. At most ``reach + 1`` rows are held, so a region of any size is
+    only walked through.
     """
+    def pairs_of(region, n, ids, size, old):
+        a, b, small = [], [], []
+        for k in range(1, min(reach, len(region) - 1) + 1):
+            i = np.arange(max(k, old), len(region))
+            j = i - k
+            ok = ((region[i] == region[j]) & (ids[i] != ids[j])
+                  & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])))
+            i, j = i[ok], j[ok]
+            a.append(np.minimum(ids[i], ids[j]))
+            b.append(np.maximum(ids[i], ids[j]))
+            small.append(size[i] <= reach + 1)
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        small = np.concatenate(small) if small else np.zeros(0, bool)
+        dense = np.unique(region[old:][size[old:] > reach + 1])
+        none, some = pa.nulls(len(dense), pa.int64()), pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(a, pa.int64()), none]),
+             pa.concat_arrays([pa.array(b, pa.int64()), none]),
+             pa.concat_arrays([pa.array(small, pa.bool_()), pa.nulls(len(dense), pa.bool_())]),
+             pa.concat_arrays([some, pa.array(dense, pa.int64())])],
+            ["a", "b", "small", "dense"])
+
     def walk(batches):
-        held = None
+        held = [np.zeros(0, np.int64)] * 3
+        old = 0  # rows held only as neighbours: of a large region, already given
         for batch in batches:
-            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("region", "n", "id")]
-            old = 0 if held is None else len(held[0])
-            region, n, ids = now if held is None else [
-                np.concatenate(x) for x in zip(held, now)]
-            a, b = [], []
-            for k in range(1, min(reach, len(region) - 1) + 1):
-                i = np.arange(max(k, old), len(region))
-                j = i - k
-                ok = ((region[i] == region[j]) & (ids[i] != ids[j])
-                      & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])))
-                a.append(np.minimum(ids[i], ids[j])[ok])
-                b.append(np.maximum(ids[i], ids[j])[ok])
-            far = np.arange(max(reach + 1, old), len(region))
-            dense = np.unique(region[far][region[far] == region[far - reach - 1]])
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-            none = pa.nulls(len(dense), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([pa.array(a, pa.int64()), none]),
-                 pa.concat_arrays([pa.array(b, pa.int64()), none]),
-                 pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(dense, pa.int64())])],
-                ["a", "b", "dense"])
-            held = [x[-reach - 1:] for x in (region, n, ids)]
+            if not batch.num_rows:
+                continue
+            rows = [np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False)))
+                    for h, c in zip(held, ("region", "n", "id"))]
+            region = rows[0]
+            run = np.cumsum(np.append(False, region[1:] != region[:-1]))
+            sizes = np.bincount(run)
+            if old:
+                sizes[0] += reach + 1
+            size = sizes[run]
+            if sizes[-1] > reach + 1:
+                yield pairs_of(*rows, size, old)
+                keep = min(reach, int((run == run[-1]).sum()))
+                old = keep
+            else:
+                keep = int(sizes[-1])
+                done = len(region) - keep
+                if done > old:
+                    yield pairs_of(*(x[:done] for x in rows), size[:done], old)
+                old = 0
+            held = [x[len(x) - keep:] for x in rows]
+        if len(held[0]) and not old:
+            yield pairs_of(*held, np.full(len(held[0]), len(held[0])), 0)
 
     return (placed.repartition("region").sortWithinPartitions("region", "deep", "n", "id")
-            .select("region", "n", "id").mapInArrow(walk, "a long, b long, dense long"))
+            .select("region", "n", "id").mapInArrow(
+        walk, "a long, b long, small boolean, dense long"))
+
+
+def listed(ids: DataFrame, space: Workspace, name: str) -> DataFrame:
+    """A table of ids, marked for broadcast if it is short enough."""
+    ids = space.table(ids, name)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -173,7 +209,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 [batch.column("doc_id"), binary_array(data, ends)], ["id", "shingles"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(
+        ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(
         pack, "id long, shingles binary")
 
 
@@ -206,81 +242,122 @@ def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def best_of_each(pairs: DataFrame) -> DataFrame:
-    """Each component's candidate found in most trees."""
+    """Each node's candidate found in most trees."""
     pick = F.struct("votes", "a", "b").alias("pick")
-    return (pairs.select(F.col("ca").alias("d"), pick)
-            .unionAll(pairs.select(F.col("cb").alias("d"), pick))
+    return (pairs.select(F.col("a").alias("d"), pick)
+            .unionAll(pairs.select(F.col("b").alias("d"), pick))
             .groupBy("d").agg(F.max("pick").alias("pick"))
             .select("pick.a", "pick.b").distinct())
 
 
-def crowded(placed: DataFrame, dense: DataFrame, comps: DataFrame, percent: int,
-            space: Workspace) -> DataFrame:
-    """Pairs across components in regions larger than the neighbours' reach.
+def crowds(placed: DataFrame, dense: DataFrame, comps: DataFrame, space: Workspace) -> DataFrame:
+    """(crowd, id, c): members of large regions that hold several components.
 
-    Members of a region's main component are not paired with each other. Regions are cut at the
-    depth of half the deeper values, where two sets at the threshold still meet in some tree with a
-    probability of 0.9999.
+    Regions are cut at the depth of half the deeper values, where two sets at the threshold still
+    meet in some tree with a probability of 0.9999; regions that share members are one crowd.
     """
     half = F.shiftright("deep", 16 * (DEEPER // 2))
     members = placed.join(dense, "region", "left_semi").select(
-        F.xxhash64("region", half).alias("region"), "n", "id")
+        F.xxhash64("region", half).alias("region"), "id")
     members = members.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "c", F.coalesce("component", "id")).drop("component")
-    split = members.groupBy("region").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(
-        "lo <> hi").select("region")
-    members = space.table(members.join(split, "region", "left_semi"), "crowded")
-    main = (members.groupBy("region", "c").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy("region").agg(F.max(F.struct("k", "c")).alias("m"))
-            .select("region", F.col("m.c").alias("main")))
-    few = members.join(main, "region").filter("c <> main")
-    x, y = few.select("region", F.col("id").alias("i"), F.col("n").alias("ni"),
-                      F.col("c").alias("ci")), members
-    return (x.join(y, "region").filter("ci <> c").filter(
-        100 * F.least("ni", "n") >= percent * F.greatest("ni", "n"))
-        .select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct())
+    mixed_regions = members.groupBy("region").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("region")
+    members = space.table(members.join(mixed_regions, "region", "left_semi").distinct(),
+                          "crowded")
+    # A region is a node of its own beside its members: its smallest member stands for it.
+    stands = members.groupBy("region").agg(F.min("id").alias("b"))
+    joined = space.table(components(members.join(stands, "region").select(
+        F.col("id").alias("a"), "b"), space), "crowd_components")
+    return space.table(members.select("id", "c").distinct().join(
+        joined.withColumnRenamed("node", "id").withColumnRenamed("component", "crowd"), "id"),
+        "crowds")
+
+
+def crowd_links(members: DataFrame, sets: DataFrame, percent: int, space: Workspace) -> DataFrame:
+    """Links (a, b) of a crowd's stragglers with members of other components, block by block."""
+    sized = members.groupBy("crowd", "c").agg(F.count(F.lit(1)).alias("k"))
+    plan = space.table(sized.groupBy("crowd").agg(
+        F.max(F.struct("k", "c")).alias("m"), F.sum("k").alias("n")).select(
+        "crowd", F.col("m.c").alias("main"),
+        F.ceil(F.col("n") / BLOCK).alias("all_blocks"),
+        F.ceil((F.col("n") - F.col("m.k")) / BLOCK).alias("few_blocks")), "crowd_plan")
+    rows = members.join(plan, "crowd").join(sets, "id")
+    few = rows.filter("c <> main").select(
+        "crowd", "id", "c", "shingles", F.lit(True).alias("asks"),
+        F.pmod(F.xxhash64("id"), "few_blocks").alias("x"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1)).alias("y"))
+    all_ = rows.select(
+        "crowd", "id", "c", "shingles", F.lit(False).alias("asks"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("few_blocks") - 1)).alias("x"),
+        F.pmod(F.xxhash64("id"), "all_blocks").alias("y"))
+
+    def meet(rows: pa.Table) -> pa.Table:
+        asks = rows.column("asks").to_numpy()
+        ids, comp = rows.column("id").to_numpy(), rows.column("c").to_numpy()
+        shingles = [np.frombuffer(v, np.uint64) for v in rows.column("shingles").to_pylist()]
+        size = np.array([len(v) for v in shingles])
+        mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
+        out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if len(mine) and len(theirs):
+            keys = np.concatenate([shingles[i] for i in theirs])
+            owner = np.repeat(np.arange(len(theirs)), size[theirs])
+            order = np.argsort(keys, kind="stable")
+            keys, owner = keys[order], owner[order]
+            for i in mine.tolist():
+                low = np.searchsorted(keys, shingles[i], "left")
+                many = np.searchsorted(keys, shingles[i], "right") - low
+                at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+                both = np.bincount(owner[at], minlength=len(theirs))
+                ok = ((100 * both >= percent * (size[i] + size[theirs] - both))
+                      & (comp[theirs] != comp[i]))
+                other = ids[theirs[ok]]
+                out[0].append(np.minimum(other, ids[i]))
+                out[1].append(np.maximum(other, ids[i]))
+        return pa.table([pa.array(np.concatenate(x), pa.int64()) for x in out], ["a", "b"])
+
+    return few.unionByName(all_).groupBy("crowd", "x", "y").applyInArrow(
+        meet, "a long, b long").distinct()
 
 
 def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent: int,
                     space: Workspace) -> DataFrame:
     """(id, component) of every id linked to a smaller one or to its own representative."""
     known = sketched.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
-    firsts = known.groupBy("digest").agg(F.min("doc_id").alias("rep"),
-                                         F.count(F.lit(1)).alias("copies"))
-    firsts = space.table(firsts, "representatives")
-    same = known.join(firsts.filter("copies > 1"), "digest").filter("doc_id <> rep").select(
-        F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
-    nodes = known.join(firsts.select(F.col("rep").alias("doc_id"), "digest"),
-                       ["doc_id", "digest"], "left_semi").select("doc_id", "n_shingles", "sign")
+    firsts = known.groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    same = space.table(known.join(firsts.filter("copies > 1"), "digest").filter(
+        "doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(),
+        "copies")
+    copies = listed(same.select(F.col("b").alias("id")).distinct(), space, "copy_ids")
+    nodes = known.join(copies, F.col("doc_id") == F.col("id"), "left_anti").select(
+        "doc_id", "n_shingles", "sign")
     placed = space.table(labels(nodes), "labels")
     found = space.table(neighbours(placed, percent), "neighbours")
     pairs = space.table(found.filter("a IS NOT NULL").groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("votes")), "pairs")
+        F.count(F.lit(1)).alias("votes"), F.max("small").alias("small")), "pairs")
     dense = found.filter("dense IS NOT NULL").select(F.col("dense").alias("region")).distinct()
-    ids = pairs.select(F.col("a").alias("id")).unionAll(
-        pairs.select(F.col("b").alias("id"))).distinct()
+
+    best = space.table(best_of_each(pairs), "best")
+    small = pairs.filter("small").join(best, ["a", "b"], "left_anti").select("a", "b")
+    crowd = space.table(placed.join(dense, "region", "left_semi").select("id").distinct(),
+                        "dense_ids")
+    tried = best.unionAll(small)
+    ids = listed(tried.select(F.col("a").alias("id")).unionAll(
+        tried.select(F.col("b").alias("id"))).unionAll(crowd).distinct(), space, "set_ids")
     sets = space.table(full_sets(docs, ids, shingle), "sets")
 
-    rest = pairs.withColumns({"ca": F.col("a"), "cb": F.col("b")})
-    links = comps = None
-    for best in (True, True, False):
-        tried = space.table(best_of_each(rest) if best else rest.select("a", "b"), "tried")
-        new = space.table(confirmed(tried, sets, percent), "links")
-        links = new if links is None else links.unionAll(new)
-        comps = space.table(components(links, space), "components")
-        pairs = space.table(apart(pairs.join(tried, ["a", "b"], "left_anti"), comps), "rest").drop(
-            "ca", "cb")
-        rest = apart(pairs, comps)
-        if not best or rest.isEmpty():
-            break
-    more = space.table(crowded(placed, dense, comps, percent, space), "crowded_pairs")
-    if not more.isEmpty():
-        ids = more.select(F.col("a").alias("id")).unionAll(
-            more.select(F.col("b").alias("id"))).distinct()
-        sets = space.table(full_sets(docs, ids, shingle), "crowded_sets")
-        links = links.unionAll(space.table(confirmed(more, sets, percent), "crowded_links"))
-    # Copies hang on their representative; links between representatives are few.
+    links = space.table(confirmed(best, sets, percent), "links")
     comps = space.table(components(links, space), "components")
+    rest = space.table(apart(small, comps), "rest")
+    links = links.unionAll(space.table(confirmed(rest, sets, percent), "more_links"))
+    comps = space.table(components(links, space), "components")
+    members = crowds(placed, dense, comps, space)
+    if not members.isEmpty():
+        links = links.unionAll(space.table(
+            crowd_links(members, sets, percent, space), "crowd_links"))
+        comps = space.table(components(links, space), "components")
+    # Copies hang on their representative; only representatives have links.
     whole = same.join(comps.withColumnRenamed("node", "a"), "a", "left").select(
         F.col("b").alias("id"), F.coalesce("component", "a").alias("component"))
     return whole.unionAll(comps.withColumnRenamed("node", "id"))
