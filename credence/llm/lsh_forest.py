@@ -47,8 +47,6 @@ DEPTH = 4
 #: Values of a signature beyond ``DEPTH`` that order a region, 16 bits of each.
 DEEPER = 4
 REACH = 3
-#: Lists of ids up to this length are broadcast (about 32 bytes an id); longer ones are shuffled.
-BROADCAST_IDS = 1_000_000
 BLOCK = 256
 HASHES = TREES * DEPTH
 
@@ -192,12 +190,6 @@ def neighbours(placed: DataFrame, percent: int, reach: int = REACH) -> DataFrame
         walk, "a long, b long, small boolean, dense long"))
 
 
-def listed(ids: DataFrame, space: Workspace, name: str) -> DataFrame:
-    """A table of ids, marked for broadcast if it is short enough."""
-    ids = space.table(ids, name)
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
 def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     """(id, shingles): the full set of each listed document, as packed 64-bit hashes."""
     def pack(batches):
@@ -275,7 +267,10 @@ def crowds(placed: DataFrame, dense: DataFrame, comps: DataFrame, space: Workspa
 
 
 def crowd_links(members: DataFrame, sets: DataFrame, percent: int, space: Workspace) -> DataFrame:
-    """Links (a, b) of a crowd's stragglers with members of other components, block by block."""
+    """Links (a, b) of a crowd's stragglers with members of other components, block by block.
+
+    A block gives no more links than join its components.
+    """
     sized = members.groupBy("crowd", "c").agg(F.count(F.lit(1)).alias("k"))
     plan = space.table(sized.groupBy("crowd").agg(
         F.max(F.struct("k", "c")).alias("m"), F.sum("k").alias("n")).select(
@@ -298,7 +293,13 @@ def crowd_links(members: DataFrame, sets: DataFrame, percent: int, space: Worksp
         shingles = [np.frombuffer(v, np.uint64) for v in rows.column("shingles").to_pylist()]
         size = np.array([len(v) for v in shingles])
         mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
-        out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        out, parent = [], {c: c for c in comp.tolist()}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
         if len(mine) and len(theirs):
             keys = np.concatenate([shingles[i] for i in theirs])
             owner = np.repeat(np.arange(len(theirs)), size[theirs])
@@ -309,12 +310,14 @@ def crowd_links(members: DataFrame, sets: DataFrame, percent: int, space: Worksp
                 many = np.searchsorted(keys, shingles[i], "right") - low
                 at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
                 both = np.bincount(owner[at], minlength=len(theirs))
-                ok = ((100 * both >= percent * (size[i] + size[theirs] - both))
-                      & (comp[theirs] != comp[i]))
-                other = ids[theirs[ok]]
-                out[0].append(np.minimum(other, ids[i]))
-                out[1].append(np.maximum(other, ids[i]))
-        return pa.table([pa.array(np.concatenate(x), pa.int64()) for x in out], ["a", "b"])
+                ok = 100 * both >= percent * (size[i] + size[theirs] - both)
+                near = theirs[ok & (comp[theirs] != comp[i])]
+                for j in near[np.unique(comp[near], return_index=True)[1]].tolist():
+                    x, y = root(comp[i].item()), root(comp[j].item())
+                    if x != y:
+                        parent[x] = y
+                        out.append(sorted((ids[i].item(), ids[j].item())))
+        return pa.table([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return few.unionByName(all_).groupBy("crowd", "x", "y").applyInArrow(
         meet, "a long, b long").distinct()
@@ -329,7 +332,7 @@ def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent:
     same = space.table(known.join(firsts.filter("copies > 1"), "digest").filter(
         "doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(),
         "copies")
-    copies = listed(same.select(F.col("b").alias("id")).distinct(), space, "copy_ids")
+    copies = space.id_list(same.select(F.col("b").alias("id")).distinct(), "copy_ids")
     nodes = known.join(copies, F.col("doc_id") == F.col("id"), "left_anti").select(
         "doc_id", "n_shingles", "sign")
     placed = space.table(labels(nodes), "labels")
@@ -343,8 +346,8 @@ def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent:
     crowd = space.table(placed.join(dense, "region", "left_semi").select("id").distinct(),
                         "dense_ids")
     tried = best.unionAll(small)
-    ids = listed(tried.select(F.col("a").alias("id")).unionAll(
-        tried.select(F.col("b").alias("id"))).unionAll(crowd).distinct(), space, "set_ids")
+    ids = space.id_list(tried.select(F.col("a").alias("id")).unionAll(
+        tried.select(F.col("b").alias("id"))).unionAll(crowd).distinct(), "set_ids")
     sets = space.table(full_sets(docs, ids, shingle), "sets")
 
     links = space.table(confirmed(best, sets, percent), "links")

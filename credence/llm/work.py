@@ -11,6 +11,8 @@ from credence.session import work_folder
 from credence.sources.staging import hadoop_path
 
 BLANK = r"[\x20\x09-\x0D]"
+#: Lists of ids up to this length are broadcast (about 32 bytes an id); longer ones are shuffled.
+BROADCAST_IDS = 1_000_000
 
 
 def new_folder(spark) -> str:
@@ -40,6 +42,11 @@ class Workspace:
         self.made += 1
         return table(df, f"{self.made}-{name}", self.folder)
 
+    def id_list(self, ids: DataFrame, name: str) -> DataFrame:
+        """A table of ids, marked for broadcast if its counted length allows."""
+        ids = self.table(ids, name)
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
     def __enter__(self) -> Workspace:
         return self
 
