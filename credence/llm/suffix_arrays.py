@@ -3,7 +3,7 @@
 Every byte covered by a ``LENGTH``-byte string that also starts in a document of smaller id is
 removed. The work is dealt so that no suffix array spans the corpus, and little text moves:
 
-1. Minimizers. Of the 16-byte grams inside each ``LENGTH``-byte window the one with the least hash is
+1. Minimizers. Of the ``GRAM``-byte grams inside each ``LENGTH``-byte window the one with the least hash is
    the window's anchor. Equal windows have equal anchors, so a window can only repeat if its anchor
    occurs in another document. Anchors' hashes meet in buckets (one entry for each distinct hash of
    a task's batch, so a very common passage does not pile up), and documents learn which are shared.
@@ -30,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,31 +38,45 @@ from credence.llm.text_kernel import mixed, text_buffer
 from credence.llm.work import Workspace, table, text_of
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 #: Grams in a window.
 SPAN = LENGTH - GRAM + 1
 PIECE_BYTES = 1 << 20
 BATCH_BYTES = 16 << 20
-BUCKET_BYTES = 16 << 20
-PART_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
+PART_BYTES = 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_POSITION_BITS = np.uint64(24)
+#: Offsets of the 8-byte words that make up a gram after the first; the last ends with it.
+_GRAM_WORDS = [*range(8, GRAM - 8, 8), GRAM - 8]
 
 
 def words8(data: np.ndarray, big: bool = False) -> np.ndarray:
-    """The 8 bytes from each position on, as an integer; big-endian order sorts like the bytes."""
-    if len(data) < 8:
-        return np.zeros(0, np.uint64)
-    return np.ndarray((len(data) - 7,), ">u8" if big else "<u8", np.ascontiguousarray(data),
-                      strides=(1,)).astype(np.uint64)
+    """The 8 bytes from each position on, as an integer, without a copy of the data.
+
+    Big-endian integers sort like the bytes. Take what is needed, then convert with ``whole``.
+    """
+    return np.ndarray((max(len(data) - 7, 0),), ">u8" if big else "<u8",
+                      np.ascontiguousarray(data), strides=(1,))
+
+
+def whole(words: np.ndarray) -> np.ndarray:
+    return words.astype(np.uint64)
+
+
+def gram_hash(*words: np.ndarray) -> np.ndarray:
+    """Hash of a gram from its 8-byte words."""
+    h = words[0] * _A
+    for w in words[1:]:
+        h = mixed(h ^ w * _B)
+    return h
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the gram at each position."""
-    w = words8(data)
-    if len(w) < 9:
+    w = whole(words8(data))
+    if len(w) <= GRAM - 8:
         return np.zeros(0, np.uint64)
-    return mixed(w[:-8] * _A ^ mixed(w[8:] * _B))
+    return gram_hash(*(w[k:len(w) - GRAM + 8 + k] for k in (0, *_GRAM_WORDS)))
 
 
 def runs(data: np.ndarray, begins: np.ndarray, ends: np.ndarray):
@@ -76,9 +91,11 @@ def runs(data: np.ndarray, begins: np.ndarray, ends: np.ndarray):
         return none, none, none, none, grams
     low = np.uint64((1 << 24) - 1)
     least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    for step in (1, 2, 4, 8, 16):
+    step, n = 1, len(grams) - SPAN + 1
+    while 2 * step <= SPAN:
         least = np.minimum(least[:-step], least[step:])
-    least = np.minimum(least[:len(grams) - SPAN + 1], least[SPAN - 32:])
+        step *= 2
+    least = np.minimum(least[:n], least[SPAN - step:SPAN - step + n])
     anchor = (least & low).astype(np.int64)
     fits = ends - begins >= LENGTH
     piece = np.flatnonzero(fits)
@@ -161,6 +178,11 @@ def packed(rows: list[tuple]) -> pa.RecordBatch:
                                       PACKED_NAMES)
 
 
+def blobs(rows: pa.Table, name: str) -> list:
+    """The column's values as buffers, not copied."""
+    return [x.as_buffer() for chunk in rows.column(name).chunks for x in chunk]
+
+
 def spread(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of each 48-bit hash; keeps their order."""
     return ((hashes >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -225,7 +247,7 @@ def shared_anchors(entries: DataFrame) -> DataFrame:
         passed = rows.filter(rows.column("doc_id").is_valid()).select(["doc_id", "key", "data"])
         rows = rows.filter(rows.column("doc_id").is_null())
         hashes, ids, keys, mine = [], [], [], []
-        for header, place, low, high in zip(*(rows.column(c).to_pylist() for c in
+        for header, place, low, high in zip(*(blobs(rows, c) for c in
                                               ("ids", "refs", "data", "more"))):
             header = np.frombuffer(header, np.int64)
             place = np.frombuffer(place, np.uint16).astype(np.int64)
@@ -266,10 +288,11 @@ def shared_anchors(entries: DataFrame) -> DataFrame:
 def strings(texts: DataFrame, buckets: int) -> DataFrame:
     """The runs whose anchor is shared, in shards, and hits found within a batch.
 
-    refs = document places, data = the bytes, more = offsets in the documents, lengths and anchor
+    refs = document places, data = the bytes, compressed, more = offsets in the documents, lengths and anchor
     offsets. Rows with a doc_id carry hits: data = begins and ends.
     """
     def cut(batches):
+        pack = zstandard.ZstdCompressor(level=1)
         for rows in grouped(batches, BATCH_BYTES):
             data, offsets = text_buffer(rows.column("text"))
             ids, keys = id_column(rows, "doc_id"), id_column(rows, "key")
@@ -293,15 +316,15 @@ def strings(texts: DataFrame, buckets: int) -> DataFrame:
             if not len(docs):
                 continue
             # Equal strings: same anchor hash, length, anchor offset and bytes' fingerprint.
-            w = mixed(words8(data) * _A)
+            w = words8(data)
             size, off = b - a, anchor - a
             mark = size.astype(np.uint64) << np.uint64(8) | off.astype(np.uint64)
             for k in range(0, LENGTH - 7, 8):
-                mark = mixed(mark * _B + w[a + k])
-            mark = mixed(mark * _B + w[a + LENGTH - 8])
+                mark = mixed(mark * _B + mixed(whole(w[a + k])))
+            mark = mixed(mark * _B + mixed(whole(w[a + LENGTH - 8])))
             for k in range(LENGTH, LENGTH + SPAN, 8):
                 # Beyond the first window: 8 bytes at a time, the last 8 ending with the string.
-                mark = mixed(mark * _B + w[np.minimum(a + k, b - 8)])
+                mark = mixed(mark * _B + mixed(whole(w[np.minimum(a + k, b - 8)])))
             owner = ids[docs]
             order = np.lexsort((owner, mark, h))
             docs, a, b, off, h, mark, owner = (x[order] for x in (docs, a, b, off, h, mark, owner))
@@ -326,7 +349,7 @@ def strings(texts: DataFrame, buckets: int) -> DataFrame:
                 top = np.cumsum(size)
                 body = data[np.repeat(a[i:j] - top + size, size) + np.arange(top[-1])]
                 out.append((k, None, None, ids[own].tobytes() + keys[own].tobytes(),
-                            place.astype(np.uint16).tobytes(), body.tobytes(),
+                            place.astype(np.uint16).tobytes(), pack.compress(body.tobytes()),
                             (a[i:j] - offsets[docs[i:j]]).astype(np.int64).tobytes()
                             + size.astype(np.uint8).tobytes()
                             + off[i:j].astype(np.uint8).tobytes()))
@@ -379,7 +402,7 @@ def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     """
     left = ends - np.arange(len(data))
     at = np.flatnonzero(left >= 8)
-    first = words8(data, big=True)[at]
+    first = whole(words8(data, big=True)[at])
     order = np.argsort(first)
     sorted_ = first[order]
     new = np.append(True, sorted_[1:] != sorted_[:-1])
@@ -397,7 +420,7 @@ def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
 def window_keys(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The windows' bytes as rows of integers that compare like them."""
     w = words8(data, big=True)
-    return np.stack([w[at + k] for k in [*range(0, LENGTH - 7, 8), LENGTH - 8]], 1)
+    return np.stack([whole(w[at + k]) for k in [*range(0, LENGTH - 7, 8), LENGTH - 8]], 1)
 
 
 def search(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -459,13 +482,14 @@ def hit_runs(shards: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         passed = rows.filter(rows.column("doc_id").is_valid()).select(names)
         rows = rows.filter(rows.column("doc_id").is_null())
         ids, keys, body, froms, sizes, offs = [], [], [], [], [], []
-        for header, place, data, more in zip(*(rows.column(c).to_pylist() for c in
+        unpack = zstandard.ZstdDecompressor()
+        for header, place, data, more in zip(*(blobs(rows, c) for c in
                                                ("ids", "refs", "data", "more"))):
             header, place = np.frombuffer(header, np.int64), np.frombuffer(place, np.uint16)
             n, half = len(place), len(header) // 2
             ids.append(header[:half][place])
             keys.append(header[half:][place])
-            body.append(np.frombuffer(data, np.uint8))
+            body.append(np.frombuffer(unpack.decompress(data), np.uint8))
             froms.append(np.frombuffer(more, np.int64, n))
             sizes.append(np.frombuffer(more, np.uint8, n, 8 * n).astype(np.int64))
             offs.append(np.frombuffer(more, np.uint8, n, 9 * n).astype(np.int64))
@@ -474,8 +498,8 @@ def hit_runs(shards: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         ids, keys, body, froms, sizes, offs = (
             np.concatenate(x) for x in (ids, keys, body, froms, sizes, offs))
         begin = np.cumsum(sizes) - sizes
-        low, high = words8(body)[begin + offs], words8(body)[begin + offs + 8]
-        hashes = mixed(low * _A ^ mixed(high * _B))
+        w = words8(body)
+        hashes = gram_hash(*(whole(w[begin + offs + k]) for k in (0, *_GRAM_WORDS)))
         order = np.argsort(hashes, kind="stable")
         new = np.append(True, hashes[order][1:] != hashes[order][:-1])
         anchors_at = np.append(np.flatnonzero(new), len(order))
@@ -582,7 +606,9 @@ def touched_texts(docs: DataFrame, digests: DataFrame, space: Workspace,
     shards = strings(long.join(found, ["doc_id", "key"]), buckets)
     runs_of = space.table(hit_runs(shards, part_bytes).groupBy("doc_id", "key").agg(
         F.collect_list("data").alias("runs")), "hit_runs")
-    return cut_texts(texts.join(runs_of, ["doc_id", "key"]))
+    touched = space.id_list(runs_of.select("doc_id", "key"), "touched")
+    return cut_texts(texts.join(touched, ["doc_id", "key"], "left_semi")
+                     .join(runs_of, ["doc_id", "key"]))
 
 
 def text_digests(docs: DataFrame) -> DataFrame:
