@@ -20,7 +20,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from credence.llm.work import table, text_of
@@ -106,15 +106,19 @@ def balanced(prefix: list[int], capacity: int, shards: int) -> list[int]:
     return ends
 
 
+def cell_of(bits: int) -> Column:
+    """The first bits of the hash."""
+    return F.shiftright("h", BITS - bits) if bits < BITS else F.col("h")
+
+
 def minimax_cuts(groups: DataFrame, shards: int = SHARDS,
                  first_bits: int = FIRST_BITS) -> tuple[int, list[int]]:
     """(capacity, last hash of each shard but the last) of (h, size) rows ordered by h."""
-    def summed(df: DataFrame, bits: int) -> list[tuple[int, int, int]]:
-        """(lowest hash, highest hash, bytes) of each range of hashes with equal first bits."""
-        cell = F.shiftright("h", BITS - bits) if bits < BITS else F.col("h")
-        rows = df.groupBy(cell.alias("c")).agg(
+    def summed(df: DataFrame, bits: int) -> list[tuple[int, int, int, int]]:
+        """(lowest hash, highest hash, bytes, cell) of each range of hashes with equal first bits."""
+        rows = df.groupBy(cell_of(bits).alias("c")).agg(
             F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("size").alias("s")).collect()
-        return [(r["lo"], r["hi"], r["s"]) for r in rows]
+        return [(r["lo"], r["hi"], r["s"], r["c"]) for r in rows]
 
     bits = first_bits
     ranges = sorted(summed(groups, bits))
@@ -124,22 +128,16 @@ def minimax_cuts(groups: DataFrame, shards: int = SHARDS,
         prefix = [0, *accumulate(r[2] for r in ranges)]
         loose = [r[0] != r[1] for r in ranges]
         high = smallest(prefix, shards)
-        open_ = undecided(prefix, loose, shards, smallest(prefix, shards, loose), high)
+        open_ = set(undecided(prefix, loose, shards, smallest(prefix, shards, loose), high))
         if not open_:
             ends = balanced(prefix, high, shards)
             return high, [ranges[e - 1][1] for e in ends]
+        # The bounds only close in, so what is open now is of the last, finest cut.
+        cells = groups.sparkSession.createDataFrame([(ranges[i][3],) for i in open_], "c long")
+        inside = groups.join(F.broadcast(cells), cell_of(bits) == F.col("c"), "left_semi")
         bits = min(BITS, bits + MORE_BITS)
-        inside, spans = F.lit(False), []
-        for i in open_:
-            if spans and spans[-1][1] == i - 1:
-                spans[-1][1] = i
-            else:
-                spans.append([i, i])
-        for a, b in spans:
-            inside = inside | F.col("h").between(ranges[a][0], ranges[b][1])
-        opened = set(open_)
-        ranges = sorted([r for i, r in enumerate(ranges) if i not in opened]
-                        + summed(groups.filter(inside), bits))
+        ranges = sorted([r for i, r in enumerate(ranges) if i not in open_]
+                        + summed(inside, bits))
 
 
 def measured(docs: DataFrame, carry: list[str]) -> DataFrame:
