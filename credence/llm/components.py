@@ -14,17 +14,15 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     Each node's smallest neighbour is an aggregate, joined back to the edges, so a node with very
     many neighbours is a skewed join key, which Spark splits, and never one group in memory.
     """
-    if large:
+    if large:  # repeated edges go with the small star
         sides = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        joined = sides.join(least, "u").filter("v > u").select(
+        return sides.join(least, "u").filter("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        joined = edges.join(least, "u").filter("v <> m").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
-            least.select("u", F.col("m").alias("v")))
-    return joined.distinct()
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    return edges.join(least, "u").filter("v <> m").select(
+        F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
+        least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def components(edges: DataFrame, space: Workspace) -> DataFrame:

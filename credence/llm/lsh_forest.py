@@ -6,10 +6,9 @@ region, and inside a region the order goes on by deeper values. Candidates of a
 ``REACH`` neighbours in that order, those with the longest common prefix. Small regions thus pair
 all their sets; in larger ones the depth adapts, as the nearest neighbours agree deepest.
 
-Candidates are confirmed on full shingle sets. Documents with equal sets are one node. Links inside
-a known component add nothing, so each node first confirms its best candidate, and then only
-candidates between different components are left; regions within the neighbours' reach have all
-their pairs among them. Members of larger regions form crowds. Where a crowd still holds several
+Candidates are confirmed on full shingle sets. Documents with equal sets are one node. All pairs of
+regions within the neighbours' reach are confirmed; in larger regions, where most links lie inside
+one component, each node's best candidate is. Members of larger regions form crowds. Where a crowd still holds several
 components, its stragglers, those outside the main one, are a query set that is compared with all
 members of the crowd, block by block, over an inverted index of the block; only links come out.
 
@@ -224,15 +223,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(check, "a long, b long").distinct())
 
 
-def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """The pairs whose nodes are in different components; ``ca``, ``cb`` name them."""
-    own = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    other = comps.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return (pairs.join(own, "a", "left").join(other, "b", "left")
-            .withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")})
-            .filter("ca <> cb"))
-
-
 def best_of_each(pairs: DataFrame) -> DataFrame:
     """Each node's candidate found in most trees."""
     pick = F.struct("votes", "a", "b").alias("pick")
@@ -341,25 +331,21 @@ def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent:
         F.count(F.lit(1)).alias("votes"), F.max("small").alias("small")), "pairs")
     dense = found.filter("dense IS NOT NULL").select(F.col("dense").alias("region")).distinct()
 
-    best = space.table(best_of_each(pairs), "best")
-    small = pairs.filter("small").join(best, ["a", "b"], "left_anti").select("a", "b")
+    best = best_of_each(pairs)
+    tried = space.table(best.unionAll(pairs.filter("small").select("a", "b")).distinct(), "tried")
     crowd = space.table(placed.join(dense, "region", "left_semi").select("id").distinct(),
                         "dense_ids")
-    tried = best.unionAll(small)
     ids = space.id_list(tried.select(F.col("a").alias("id")).unionAll(
         tried.select(F.col("b").alias("id"))).unionAll(crowd).distinct(), "set_ids")
     sets = space.table(full_sets(docs, ids, shingle), "sets")
 
-    links = space.table(confirmed(best, sets, percent), "links")
-    comps = space.table(components(links, space), "components")
-    rest = space.table(apart(small, comps), "rest")
-    links = links.unionAll(space.table(confirmed(rest, sets, percent), "more_links"))
+    links = space.table(confirmed(tried, sets, percent), "links")
     comps = space.table(components(links, space), "components")
     members = crowds(placed, dense, comps, space)
     if not members.isEmpty():
-        links = links.unionAll(space.table(
-            crowd_links(members, sets, percent, space), "crowd_links"))
-        comps = space.table(components(links, space), "components")
+        more = space.table(crowd_links(members, sets, percent, space), "crowd_links")
+        if not more.isEmpty():
+            comps = space.table(components(links.unionAll(more), space), "components")
     # Copies hang on their representative; only representatives have links.
     whole = same.join(comps.withColumnRenamed("node", "a"), "a", "left").select(
         F.col("b").alias("id"), F.coalesce("component", "a").alias("component"))
