@@ -43,6 +43,8 @@ GRAM = 20
 SPAN = LENGTH - GRAM + 1
 PIECE_BYTES = 1 << 20
 BATCH_BYTES = 16 << 20
+#: Text for each bucket of anchors, and of strings.
+MEETING_BYTES = 32 << 20
 BUCKET_BYTES = 8 << 20
 PART_BYTES = 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -598,8 +600,9 @@ def touched_texts(docs: DataFrame, digests: DataFrame, space: Workspace,
     texts = keyed(docs).filter("doc_id IS NOT NULL")
     total = digests.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(24, -(-total // BUCKET_BYTES))
+    meetings = max(24, -(-total // MEETING_BYTES))
     long = texts.filter(F.octet_length("text") >= LENGTH)
-    found = shared_anchors(anchors(long, buckets)).groupBy("doc_id", "key").agg(
+    found = shared_anchors(anchors(long, meetings)).groupBy("doc_id", "key").agg(
         F.collect_list("data").alias("shared"))
     found = found.join(digests.filter("doc_id = first").select("doc_id", "key").distinct(),
                        ["doc_id", "key"], "left_semi")
