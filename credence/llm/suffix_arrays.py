@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credence.llm.text_kernel import mixed, text_buffer
+from credence.llm.text_kernel import give_back, mixed, text_buffer
 from credence.llm.work import Workspace, table, text_of
 
 LENGTH = 50
@@ -42,9 +42,9 @@ GRAM = 20
 #: Grams in a window.
 SPAN = LENGTH - GRAM + 1
 PIECE_BYTES = 1 << 20
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Text for each bucket of anchors, and of strings.
-MEETING_BYTES = 32 << 20
+MEETING_BYTES = 16 << 20
 BUCKET_BYTES = 8 << 20
 PART_BYTES = 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -238,6 +238,7 @@ def anchors(texts: DataFrame, buckets: int) -> DataFrame:
                 out.append((int(hashes[a]) % buckets, int(ids[d]), int(keys[d]), None, None,
                             hashes[a:b].tobytes(), None))
             yield packed(out)
+            give_back()
 
     return texts.mapInArrow(extract, PACKED)
 
@@ -245,6 +246,7 @@ def anchors(texts: DataFrame, buckets: int) -> DataFrame:
 def shared_anchors(entries: DataFrame) -> DataFrame:
     """(doc_id, key, data): anchors of the document that occur in another one too."""
     def meet(rows: pa.Table) -> pa.Table:
+        give_back()
         rows = rows.combine_chunks()
         passed = rows.filter(rows.column("doc_id").is_valid()).select(["doc_id", "key", "data"])
         rows = rows.filter(rows.column("doc_id").is_null())
@@ -356,6 +358,7 @@ def strings(texts: DataFrame, buckets: int) -> DataFrame:
                             + size.astype(np.uint8).tobytes()
                             + off[i:j].astype(np.uint8).tobytes()))
             yield packed(out)
+            give_back()
 
     return texts.mapInArrow(cut, PACKED)
 
@@ -480,6 +483,7 @@ def hit_runs(shards: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     names = ["doc_id", "key", "data"]
 
     def judge(rows: pa.Table) -> pa.Table:
+        give_back()
         rows = rows.combine_chunks()
         passed = rows.filter(rows.column("doc_id").is_valid()).select(names)
         rows = rows.filter(rows.column("doc_id").is_null())

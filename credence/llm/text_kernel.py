@@ -7,6 +7,9 @@ one class.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+
 import numpy as np
 import pyarrow as pa
 
@@ -102,6 +105,15 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(h)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, so that a worker kept for later tasks stays small."""
+    pa.default_memory_pool().release_unused()
+    name = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(name), "malloc_trim", None) if name else None
+    if trim is not None:
+        trim(0)
+
+
 def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Binary column over a byte buffer."""
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [
