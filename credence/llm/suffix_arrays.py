@@ -35,13 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from credence.llm.text_kernel import give_back, mixed, text_buffer
-from credence.llm.work import Workspace, table, text_of
+from credence.llm.work import Workspace, small_batches, table, text_of
 
 LENGTH = 50
 GRAM = 20
 #: Grams in a window.
 SPAN = LENGTH - GRAM + 1
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 BATCH_BYTES = 8 << 20
 #: Text for each bucket of anchors, and of strings.
 MEETING_BYTES = 16 << 20
@@ -632,7 +632,7 @@ def text_digests(docs: DataFrame) -> DataFrame:
 def repeat_digest(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes left, per document."""
     digests = table(text_digests(docs), "text_digests")
-    with Workspace(docs.sparkSession) as space:
+    with Workspace(docs.sparkSession) as space, small_batches(docs.sparkSession):
         cut = table(touched_texts(docs, digests, space, part_bytes).drop("kept").dropDuplicates(
             ["doc_id", "key"]), "cut").withColumnRenamed("kept_sha256", "cut_sha")
     copy = F.coalesce((F.col("first") < F.col("doc_id")) & (F.col("n_bytes") >= LENGTH),
@@ -649,7 +649,7 @@ def repeat_digest(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """doc_id and the bytes left of every text, as binary: a cut may fall inside a character."""
     digests = table(text_digests(docs), "text_digests")
-    with Workspace(docs.sparkSession) as space:
+    with Workspace(docs.sparkSession) as space, small_batches(docs.sparkSession):
         cut = table(touched_texts(docs, digests, space).select("doc_id", "key", "kept")
                     .dropDuplicates(["doc_id", "key"]), "cut")
     copies = digests.filter(F.col("first") < F.col("doc_id")).filter(
