@@ -144,7 +144,7 @@ def text_runs(data: np.ndarray, offsets: np.ndarray):
             a, b, anchor, piece, grams = runs(data[base:top], begins[part] - base,
                                               ends[part] - base)
             yield (docs[part][piece], a + base, b + base + LENGTH, anchor + base,
-                   grams[anchor] >> np.uint64(16))
+                   mixed(grams[anchor]) >> np.uint64(16))  # least hashes are not uniform
         first = last
 
 
