@@ -37,7 +37,7 @@ from credence.llm.text_kernel import (
     word_bounds,
     word_hashes,
 )
-from credence.llm.work import Workspace, table
+from credence.llm.work import Workspace, row_of, table, unpacked
 
 SHINGLE = 5
 PERCENT = 80
@@ -369,6 +369,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
                          percent: int = PERCENT) -> DataFrame:
     """One document of each group, that with the smallest id; rows without id all stay."""
     kept = near_duplicates(docs, shingle, percent).filter("kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("kept_id")).distinct()
-    stay = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
-    return stay.dropDuplicates(["doc_id"]).unionAll(docs.filter("doc_id IS NULL"))
+        "doc_id").distinct()
+    rows = docs.select(row_of(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    stay = rows.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return unpacked(stay.unionByName(rows.filter("doc_id IS NULL")), docs.columns)
