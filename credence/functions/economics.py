@@ -15,10 +15,15 @@ MEASURES = ["n", "lent", "yearly_interest", "yearly_defaulted", "defaulted_amoun
 
 
 def lifetime_interest(amount: Column, yearly_rate: Column, months: Column) -> Column:
-    """Interest paid over the whole term of a level-payment loan; 0 at a zero rate."""
+    """Interest paid over the whole term of a level-payment loan.
+
+    0 where the formula has no value: at a zero rate, at one too small to tell from zero, and at a
+    term of no months.
+    """
     monthly = yearly_rate / 12
-    return F.when(yearly_rate == 0, 0.0).otherwise(
-        amount * (monthly * months / (1 - F.pow(1 + monthly, -months)) - 1))
+    share = 1 - F.pow(1 + monthly, -months)
+    return F.when((yearly_rate == 0) | (months <= 0) | (share == 0), 0.0).otherwise(
+        amount * (F.try_divide(monthly * months, share) - 1))
 
 
 def loan_measures() -> dict[str, Column]:

@@ -16,7 +16,9 @@ def blank_missing(value: Column) -> Column:
 
 
 def number(value: Column) -> Column:
-    return value.try_cast("double")
+    """The number a cell holds; text that reads as not-a-number is missing."""
+    parsed = value.try_cast("double")
+    return F.when(~F.isnan(parsed), parsed)
 
 
 def first_number(text: Column) -> Column:
@@ -27,7 +29,7 @@ def first_number(text: Column) -> Column:
 def percent_fraction(value: Column) -> Column:
     """'13.56%' or 13.56 gives 0.1356."""
     bare = F.trim(F.replace(value.cast("string"), F.lit("%"), F.lit("")))
-    return bare.try_cast("double") / 100.0
+    return number(bare) / 100.0
 
 
 def employment_years(text: Column) -> Column:

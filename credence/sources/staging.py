@@ -25,6 +25,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(handle)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders a path or glob names, in order."""
+    files, handle = hadoop_path(spark, pattern)
+    return sorted(str(status.getPath()) for status in files.globStatus(handle) or [])
+
+
 def input_fingerprint(spark: SparkSession, *paths: str) -> str:
     """Changes when an input is replaced or grows."""
     marks = []

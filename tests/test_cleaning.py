@@ -27,6 +27,12 @@ def test_percent_text_and_number(spark):
     assert parsed(spark, parsing.percent_fraction, [13.56], "double") == [pytest.approx(0.1356)]
 
 
+def test_text_that_reads_as_not_a_number_is_missing(spark):
+    texts = ["nan%", "NaN %", " nan ", "NaN", "7%"]
+    assert parsed(spark, parsing.percent_fraction, texts) == [None] * 4 + [pytest.approx(0.07)]
+    assert parsed(spark, parsing.number, ["nan", "NaN", "1.5"]) == [None, None, 1.5]
+
+
 def test_employment_years(spark):
     texts = ["10+ years", "< 1 year", "5 years", "n/a", "", "unknown", None]
     assert parsed(spark, parsing.employment_years, texts) == [10, 0, 5, None, None, None, None]
@@ -49,6 +55,28 @@ def test_missing_file(spark, tmp_path):
         load_raw(spark, str(tmp_path / "absent.csv"))
 
 
+def test_several_files_are_matched_by_header(spark, raw_csv, tmp_path):
+    frame = pd.read_csv(raw_csv, dtype=str, keep_default_na=False)
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    frame.iloc[:6].to_csv(folder / "a.csv", index=False)
+    frame.iloc[6:, ::-1].to_csv(folder / "b.csv", index=False)
+    whole = load_raw(spark, raw_csv)
+    for pattern in (f"{folder}/*.csv", f"{folder}/[ab].csv"):
+        assert load_raw(spark, pattern).select(whole.columns).exceptAll(whole).isEmpty()
+        assert load_raw(spark, pattern).count() == whole.count()
+
+
+def test_quoted_line_breaks(spark, raw_csv, tmp_path):
+    frame = pd.read_csv(raw_csv, dtype=str, keep_default_na=False)
+    frame["note"] = "line one\nline two"
+    path = str(tmp_path / "notes.csv")
+    frame.to_csv(path, index=False)
+    rows = load_raw(spark, path, multiline=True)
+    assert rows.count() == len(frame)
+    assert {r.note for r in rows.collect()} == {"line one\nline two"}
+
+
 def test_missing_columns(spark, tmp_path):
     path = tmp_path / "bad.csv"
     pd.DataFrame({"grade": ["C"]}).to_csv(path, index=False)
@@ -58,12 +86,12 @@ def test_missing_columns(spark, tmp_path):
 
 def test_clean_rows(spark, raw_csv):
     rows = cleaning.clean_loans(load_raw(spark, raw_csv)).orderBy("issue_date").collect()
-    assert [r.issue_d for r in rows] == ["Jan-2018", "Mar-2018", "Jun-2018"]
-    assert [r.defaulted for r in rows] == [0, 1, 0]
-    first = rows[0]
-    assert (first.months_on_book, first.fico_avg, first.issue_year) == (23, 682.0, 2018)
-    assert (first.emp_length_years, first.int_rate_frac) == (10.0, pytest.approx(0.1356))
-    assert rows[2].home_ownership == "NONE"
+    assert [r.issue_d for r in rows] == ["Jul-2013", "Aug-2014", "Nov-2015", "Feb-2016"]
+    assert [r.defaulted for r in rows] == [0, 0, 1, 1]
+    second = rows[1]
+    assert (second.months_on_book, second.fico_avg, second.issue_year) == (30, 704.0, 2014)
+    assert (second.emp_length_years, second.int_rate_frac) == (3.0, pytest.approx(0.1299))
+    assert (rows[3].home_ownership, rows[3].months_on_book) == ("NONE", 0)
 
 
 def test_funnel_matches_step_by_step_counts(spark, raw_csv):
@@ -77,26 +105,26 @@ def test_funnel_matches_step_by_step_counts(spark, raw_csv):
     expected.append((6, "dedupe", before, cleaning.clean_loans(raw).count()))
     rows = [tuple(r) for r in cleaning.funnel(raw).orderBy("step_no").collect()]
     assert rows == expected
-    assert rows[-1][2:] == (6, 3)
+    assert rows[-1][2:] == (8, 4)
 
 
 def test_dedupe_treats_equal_numbers_and_nulls_as_equal(spark, raw_csv):
     raw = load_raw(spark, raw_csv).withColumn("purpose", F.lit(None).cast("string"))
     again = raw.withColumn("loan_amnt", F.concat("loan_amnt", F.lit(".0")))
-    assert cleaning.clean_loans(raw.unionByName(again)).count() == 3
+    assert cleaning.clean_loans(raw.unionByName(again)).count() == 4
 
 
 def test_ingestion_writes_table_and_log(spark, raw_csv, tmp_path):
     clean, log = str(tmp_path / "clean"), str(tmp_path / "log")
     loans = run_ingestion(spark, raw_csv, clean, log)
-    assert loans.count() == 3
-    assert (tmp_path / "clean" / "issue_year=2018").exists()
+    assert loans.count() == 4
+    assert (tmp_path / "clean" / "issue_year=2016").exists()
     before = cleaning.clean_loans(load_raw(spark, raw_csv))
     assert read_loans(spark, clean).select(before.columns).exceptAll(before).isEmpty()
     events = {r.step: r for r in read_log(spark, log).collect()}
-    assert events["load_raw"].rows_in == 7
-    assert (events["filter_grade"].rows_in, events["filter_grade"].rows_out) == (7, 5)
-    assert (events["dedupe"].rows_in, events["dedupe"].rows_out) == (3, 3)
+    assert events["load_raw"].rows_in == 10
+    assert (events["filter_grade"].rows_in, events["filter_grade"].rows_out) == (10, 9)
+    assert (events["dedupe"].rows_in, events["dedupe"].rows_out) == (4, 4)
     assert events["write_processed"].detail["path"] == clean
     run_ingestion(spark, raw_csv, clean, log)
     assert read_log(spark, log).filter("step = 'dedupe'").count() == 2
@@ -110,6 +138,15 @@ def test_failed_ingestion_is_logged(spark, tmp_path):
     assert event.step == "ingestion_failed" and "not found" in event.detail["error"]
 
 
+def test_any_failure_is_logged_after_the_steps_before_it(spark, raw_csv, tmp_path):
+    blocked, log = tmp_path / "file", str(tmp_path / "log")
+    blocked.write_text("in the way")
+    with pytest.raises(Exception, match="file"):
+        run_ingestion(spark, raw_csv, str(blocked / "clean"), log)
+    steps = {r.step for r in read_log(spark, log).collect()}
+    assert {"load_raw", "filter_grade", "ingestion_failed"} <= steps
+
+
 def test_full_table_before_sample(spark, raw_csv, tmp_path):
     full, sample = str(tmp_path / "full"), str(tmp_path / "sample")
     with pytest.raises(FileNotFoundError):

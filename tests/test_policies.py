@@ -229,3 +229,14 @@ def test_ranking_against_all_pairs(spark):
 def test_one_class_has_no_ranking(spark):
     got = ranked(spark, [0.1, 0.2, 1.0], [1, 1, 1])
     assert (got.auc, got.gini, got.ks) == (None, None, None)
+
+
+def test_interest_without_aborts(spark):
+    """Zero terms, zero rates and rates too small to tell from zero earn nothing."""
+    rows = spark.createDataFrame(
+        [(10000.0, 0.12, 36), (10000.0, 0.12, 0), (10000.0, 0.0, 36), (10000.0, 1e-16, 36),
+         (10000.0, None, 36)], "amount double, rate double, months int")
+    interest = lifetime_interest(F.col("amount"), F.col("rate"), F.col("months"))
+    found = [r[0] for r in rows.select(interest).collect()]
+    assert found[0] == pytest.approx(1957.1515, abs=1e-3)
+    assert found[1:] == [0.0, 0.0, 0.0, None]

@@ -55,9 +55,9 @@ def test_copies_collapse_before_the_shuffle(spark, skewed):
 
 def test_hot_values_in_every_report(spark, loans, loans_pdf):
     hot = loans.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(
-        F.col("loan_id") == "L0007", 150).otherwise(1)))).withColumn(
+        F.col("loan_id") == "N-007", 150).otherwise(1)))).withColumn(
         "loan_id", F.concat_ws("-", "loan_id", "copy"))
-    pdf = loans_pdf.loc[loans_pdf.index.repeat(np.where(loans_pdf.loan_id == "L0007", 150, 1))]
+    pdf = loans_pdf.loc[loans_pdf.index.repeat(np.where(loans_pdf.loan_id == "N-007", 150, 1))]
     fico, pd = policies.calibrate(hot, [0.3, 0.6, 0.85])
     assert fico == pytest.approx(list(pdf.fico_avg.quantile([0.7, 0.4, 1 - 0.85])))
     assert pd == pytest.approx(list(pdf.pd.quantile([0.3, 0.6, 0.85])))
