@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 FIRST_SLICES = 4096
 NEXT_SLICES = 1024
-# Once the open ranges hold no more rows than this, their values are counted one by one.
-FEW_ROWS = 100_000
 
 
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]],
@@ -78,8 +76,7 @@ def _ranked_values(df, names, ranks_of, bounds, below=None):
              for i, r in enumerate(still_open)]))
         cells = defaultdict(list)
         columns = sorted({r.column for r in still_open})
-        few = all(r.ranks for r in still_open) and sum(r.rows for r in still_open) <= FEW_ROWS
-        for cell in _histogram(df, columns, levels, few):
+        for cell in _histogram(df, columns, levels):
             cells[cell["parent"]].append(cell)
         inside_of, still_open = still_open, []
         for index, parent in enumerate(inside_of):
@@ -95,7 +92,7 @@ def _ranked_values(df, names, ranks_of, bounds, below=None):
                         below.update({(parent.column, r): base for r in held})
                 elif held:
                     still_open.append(_Range(
-                        parent.column, cell["low"], cell["high"], cell["rows"], base, held,
+                        parent.column, cell["low"], cell["high"], base, held,
                         {"parent": index, "slice": cell["slice"]}))
                 base += cell["rows"]
     return counts, found
@@ -108,19 +105,17 @@ class _Range:
     column: str
     low: float
     high: float
-    rows: int = 0
     below: int = 0
     ranks: set[int] | None = None
     key: dict = field(default_factory=dict)
 
 
-def _histogram(df: DataFrame, columns: Sequence[str], levels: Sequence[pa.Table],
-               by_value: bool) -> list[dict]:
+def _histogram(df: DataFrame, columns: Sequence[str],
+               levels: Sequence[pa.Table]) -> list[dict]:
     """(parent, slice, rows, low, high) of the values that fall in the last level's ranges.
 
-    With ``by_value`` every distinct value is a slice of its own.
-
-    A level lists the ranges open in one round, at most two per wanted quantile, so it is always
+    Slices run between observed values, and the two ends of a range never share one, so the rounds
+    end at any size. A level lists the ranges open in one round, at most two per wanted quantile, so it is always
     safe to broadcast; joining the levels in turn walks a value down to its range.
     """
     rows = df.select(*[_number(c).alias(c) for c in columns]).unpivot(
@@ -136,8 +131,6 @@ def _histogram(df: DataFrame, columns: Sequence[str], levels: Sequence[pa.Table]
         rows = rows.join(ranges, keys).select(
             "value", F.col("range").alias("parent"), cut.cast("long").alias("slice"))
         keys, slices = ["parent", "slice"], NEXT_SLICES
-    if by_value:
-        rows = rows.withColumn("slice", F.col("value"))
     return rows.groupBy("parent", "slice").agg(
         F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"),
         F.max("value").alias("high")).toArrow().to_pylist()

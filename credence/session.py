@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -17,8 +15,6 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-_local_folders: dict[str, str] = {}
-
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   memory: str = "8g") -> SparkSession:
@@ -34,16 +30,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Only a local master may go without one; it then gets a fresh temporary folder.
+    Both are reachable from every executor, whatever the master.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="credence-")
-    return _local_folders[application]
+    return folder.rstrip("/") if folder else (
+        f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")

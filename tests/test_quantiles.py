@@ -48,7 +48,6 @@ def test_extreme_values(spark):
 def test_many_rounds(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "FIRST_SLICES", 4)
     monkeypatch.setattr(quantiles, "NEXT_SLICES", 3)
-    monkeypatch.setattr(quantiles, "FEW_ROWS", 0)
     values = np.random.default_rng(1).exponential(1e6, 400)
     found = exact_quantiles(frame(spark, x=values), {"x": SHARES})["x"]
     assert found == pytest.approx(list(np.quantile(values, SHARES)), rel=1e-15)
