@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credence import fixed_values as fixed
@@ -32,39 +31,22 @@ def inner_edges(baseline: DataFrame, features: Sequence[str],
     return edges
 
 
-def edge_table(spark: SparkSession, edges: Mapping[str, list[float] | None]) -> DataFrame:
-    """One row per feature: safe to broadcast."""
-    return spark.createDataFrame(pa.Table.from_pylist(
-        [{"feature": name, "edges": cut} for name, cut in edges.items()],
-        schema=pa.schema([("feature", pa.string()), ("edges", pa.list_(pa.float64()))])))
-
-
-def bin_of(value: Column, edges: Column) -> Column:
-    """Right-closed bin: the number of inner edges below the value."""
-    return F.size(F.filter(edges, lambda edge: edge < value))
+def bin_of(value: Column, edges: Sequence[float] | None) -> Column:
+    """Right-closed bin as text: the number of inner edges below the value; null for no number."""
+    known = value.isNotNull() & ~F.isnan(value)
+    below = sum(((value > F.lit(edge)).cast("int") for edge in edges or ()), F.lit(0))
+    return F.when(known, below.cast("string"))
 
 
 def binned(rows: DataFrame, edges: Mapping[str, list[float] | None],
            categorical: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., feature, type, bin) for every non-null feature value; bins are text."""
-    spark = rows.sparkSession
-    parts = []
-    if edges:
-        numbers = rows.select(*keep, *[F.col(n).cast("double").alias(n) for n in edges]).unpivot(
-            list(keep), list(edges), "feature", "value").filter(F.col("value").isNotNull())
-        parts.append(numbers.join(F.broadcast(edge_table(spark, edges)), "feature").select(
-            *keep, "feature", F.lit("numeric").alias("type"),
-            F.coalesce(bin_of(F.col("value"), F.col("edges")), F.lit(0)).cast("string")
-            .alias("bin")))
-    if categorical:
-        texts = rows.select(*keep, *[F.col(n).cast("string").alias(n) for n in categorical])
-        parts.append(texts.unpivot(list(keep), list(categorical), "feature", "bin").filter(
-            F.col("bin").isNotNull()).select(
-            *keep, "feature", F.lit("categorical").alias("type"), "bin"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """(keep..., feature, type, bin) for every non-null feature value, in one pass; bins are text."""
+    cells = [(name, "numeric", bin_of(F.col(name).cast("double"), cut))
+             for name, cut in edges.items()]
+    cells += [(name, "categorical", F.col(name).cast("string")) for name in categorical]
+    return rows.select(*keep, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("feature"), F.lit(kind).alias("type"), value.alias("bin"))
+        for name, kind, value in cells]))).filter(F.col("bin").isNotNull())
 
 
 def psi_term(expected: Column, actual: Column) -> Column:
@@ -74,27 +56,14 @@ def psi_term(expected: Column, actual: Column) -> Column:
     return (a - e) * F.log(a / e)
 
 
-def psi_from_counts(counts: DataFrame, totals: DataFrame,
-                    keys: Sequence[str] = ("feature", "type")) -> DataFrame:
-    """PSI per key from (keys..., bin, expected, actual) counts and the totals of both sides.
-
-    A bin empty on both sides adds nothing, so no grid of bins is needed. Totals are joined, not
-    windowed, so a feature with many categories stays spread over tasks. A key whose baseline or
-    actual side is empty has a null PSI.
-    """
-    keys = list(keys)
-    both = (F.col("expected_total") > 0) & (F.col("actual_total") > 0)
-    term = F.when(both, psi_term(F.col("expected") / F.col("expected_total"),
-                                 F.col("actual") / F.col("actual_total")))
-    return totals.join(counts, keys, "left").groupBy(*keys).agg(F.sum(term).alias("psi"))
-
-
 def psi_report(baseline: DataFrame, actual: DataFrame, numeric: Sequence[str],
                categorical: Sequence[str], buckets: int = fixed.PSI_BUCKETS) -> DataFrame:
     """(feature, type, psi, status), most drifted first.
 
-    A numeric feature with fewer than three distinct edges has one bin and so scores 0. An empty
-    side gives a null PSI and 'insufficient_data'.
+    A bin empty on both sides adds nothing, so no grid of bins is needed. Both populations are read
+    once; the totals, one row per feature, are summed from the counts and broadcast, so a feature
+    with many categories stays spread over tasks. A numeric feature with fewer than three distinct
+    edges has one bin and so scores 0. An empty side gives a null PSI and 'insufficient_data'.
     """
     edges = inner_edges(baseline, numeric, buckets)
     columns = [*numeric, *categorical]
@@ -104,17 +73,18 @@ def psi_report(baseline: DataFrame, actual: DataFrame, numeric: Sequence[str],
     counts = binned(both, edges, categorical, ["is_baseline"]).groupBy(
         "feature", "type", "bin").agg(count_where(is_baseline).alias("expected"),
                                       count_where(~is_baseline).alias("actual"))
-    # One row of non-null counts, turned into a row per feature.
-    sizes = both.agg(*[count_where(F.col(c).isNotNull() & side).alias(f"{name}_{i}")
-                       for i, c in enumerate(columns)
-                       for name, side in (("expected", is_baseline), ("actual", ~is_baseline))])
-    totals = sizes.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"),
-                 F.lit("numeric" if i < len(numeric) else "categorical").alias("type"),
-                 F.col(f"expected_{i}").alias("expected_total"),
-                 F.col(f"actual_{i}").alias("actual_total")) for i, c in enumerate(columns)])))
-    return psi_from_counts(counts, totals).withColumn("status", classify(F.col("psi"))).orderBy(
-        F.desc_nulls_last("psi"), "feature")
+    totals = counts.groupBy("feature", "type").agg(F.sum("expected").alias("expected_total"),
+                                                   F.sum("actual").alias("actual_total"))
+    filled = (F.col("expected_total") > 0) & (F.col("actual_total") > 0)
+    term = F.when(filled, psi_term(F.col("expected") / F.col("expected_total"),
+                                   F.col("actual") / F.col("actual_total")))
+    scores = counts.join(F.broadcast(totals), ["feature", "type"]).groupBy(
+        "feature", "type").agg(F.sum(term).alias("psi"))
+    features = baseline.sparkSession.createDataFrame(
+        [(name, "numeric") for name in numeric] + [(name, "categorical") for name in categorical],
+        "feature string, type string")
+    return features.join(scores, ["feature", "type"], "left").withColumn(
+        "status", classify(F.col("psi"))).orderBy(F.desc_nulls_last("psi"), "feature")
 
 
 def status_summary(report: DataFrame) -> DataFrame:

@@ -495,8 +495,7 @@ ORACLES: dict[str, str] = {
         "SELECT status, count(*) AS features, "
         "string_agg(feature, ', ' ORDER BY feature) AS feature_list FROM report GROUP BY status",
     "psi_windowed": f"WITH {_EVENT_PSI} {_EVENT_ROWS}",
-    "psi_stream": f"""WITH {_EVENT_PSI} {_EVENT_ROWS}
-        WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+    "psi_stream": f"WITH {_EVENT_PSI} {_EVENT_ROWS}",
     "overview": f"""WITH {_FRONTIER} {_BEST},
         scores AS (SELECT pd, sum(defaulted) AS bad, count(*) - sum(defaulted) AS good
           FROM test GROUP BY pd),

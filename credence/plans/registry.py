@@ -460,7 +460,8 @@ def psi_stream(spark, sf_dir):
     live.start_drift_stream(current, baseline, output, stage_path(spark, "drift_state", mark),
                             once=True).awaitTermination()
     shown = F.to_utc_timestamp(F.col("window_start"), F.current_timezone())
-    return _window_rows(live.read_drift(spark, output).withColumn("window_start", shown))
+    scores = live.read_drift(spark, output, baseline).drop("final")
+    return _window_rows(scores.withColumn("window_start", shown))
 
 
 # Dashboard

@@ -1,8 +1,9 @@
 """PSI of each time window of a live stream against a fixed baseline.
 
-The stream is binned with the baseline's edges and counted per (window, feature, bin). A window's
-counts leave the state store once, when the watermark passes its end, so each window is scored
-once, complete, and late rows within the watermark are in it.
+The stream is binned with the baseline's edges and counted per (window, feature, bin). Each batch
+writes the counts it changed; a window's score always comes from its latest counts, so open windows
+are reported too. ``final`` marks windows that the watermark has passed: no later row can change
+them.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from credence.fixed_values import PSI_BUCKETS
-from credence.operators.drift import binned, classify, inner_edges, psi_from_counts
+from credence.operators.drift import binned, classify, inner_edges, psi_term
+from credence.sources.staging import path_exists
 
 KEYS = ["window_start", "window_end", "feature", "type"]
 
@@ -31,58 +33,80 @@ class Baseline:
     @classmethod
     def of(cls, rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
            path: str, buckets: int = PSI_BUCKETS) -> Baseline:
-        """Profiles ``rows`` once and keeps the counts as a table at ``path``."""
+        """Profiles ``rows`` once and keeps the counts as a table at ``path``.
+
+        A table that is there already is read, not written again: others may be reading it.
+        """
         edges = inner_edges(rows, numeric, buckets)
-        binned(rows, edges, categorical).groupBy("feature", "type", "bin").agg(
-            F.count(F.lit(1)).alias("expected")).write.mode("overwrite").parquet(path)
+        if not path_exists(rows.sparkSession, f"{path}/_SUCCESS"):
+            binned(rows, edges, categorical).groupBy("feature", "type", "bin").agg(
+                F.count(F.lit(1)).alias("expected")).write.mode("overwrite").parquet(path)
         return cls(edges, tuple(categorical), rows.sparkSession.read.parquet(path))
 
 
 def window_counts(rows: DataFrame, baseline: Baseline, time: str, width: str) -> DataFrame:
-    """(window, feature, type, bin, actual) of a batch or stream."""
+    """(window, feature, type, bin, actual, latest time) of a batch or stream."""
     long = binned(rows, baseline.edges, baseline.categorical, [time])
     counts = long.groupBy(F.window(time, width), "feature", "type", "bin").agg(
-        F.count(F.lit(1)).alias("actual"))
+        F.count(F.lit(1)).alias("actual"), F.max(time).alias("latest"))
     return counts.select(F.col("window.start").alias("window_start"),
                          F.col("window.end").alias("window_end"),
-                         "feature", "type", "bin", "actual")
+                         "feature", "type", "bin", "actual", "latest")
 
 
 def score_windows(counts: DataFrame, baseline: Baseline) -> DataFrame:
     """PSI per window and feature from window counts.
 
-    Baseline bins a window never saw still count, so every window meets every baseline bin of its
-    features. The counts are read three times: pass a stored or persisted table.
+    Baseline bins that a window never saw count too. Their terms are the same for every window, so
+    they are summed once per feature; a window adds, for the bins it has, the difference between
+    their terms and the ones already in that sum. Windows never meet the whole baseline. A window
+    with very many bins is a skewed key of an inner join, which adaptive execution splits.
     """
-    windows = counts.select(*KEYS).distinct()
-    expected = windows.join(baseline.counts, ["feature", "type"])
-    paired = expected.join(counts, [*KEYS, "bin"], "full").select(
-        *KEYS, "bin", F.coalesce("expected", F.lit(0)).alias("expected"),
-        F.coalesce("actual", F.lit(0)).alias("actual"))
-    totals = paired.groupBy(*KEYS).agg(F.sum("expected").alias("expected_total"),
-                                       F.sum("actual").alias("actual_total"))
-    return psi_from_counts(paired, totals, KEYS).withColumn("status", classify(F.col("psi")))
+    own = ["feature", "type"]
+    totals = baseline.counts.groupBy(*own).agg(F.sum("expected").alias("expected_total"))
+    shares = baseline.counts.join(F.broadcast(totals), own).withColumn(
+        "absent", psi_term(F.col("expected") / F.col("expected_total"), F.lit(0.0)))
+    profile = shares.groupBy(*own).agg(F.first("expected_total").alias("expected_total"),
+                                       F.sum("absent").alias("all_absent"))
+    window_totals = counts.groupBy(*KEYS).agg(F.sum("actual").alias("actual_total"))
+    share = F.coalesce(F.col("expected"), F.lit(0)) / F.col("expected_total")
+    gain = (psi_term(share, F.col("actual") / F.col("actual_total"))
+            - F.coalesce("absent", F.lit(0.0)))
+    return (counts.join(shares.select(*own, "bin", "expected", "absent"), [*own, "bin"], "left")
+            .join(window_totals, KEYS)
+            .join(F.broadcast(profile), own, "left")
+            .groupBy(*KEYS).agg((F.sum(gain) + F.first("all_absent")).alias("psi"))
+            .withColumn("status", classify(F.col("psi"))))
 
 
 def start_drift_stream(stream: DataFrame, baseline: Baseline, output: str, checkpoint: str,
                        time: str = "ts", width: str = "1 day", late_by: str = "1 day",
                        once: bool = False) -> StreamingQuery:
-    """Writes the PSI rows of every closed window under ``output``.
+    """Writes the counts each batch changed under ``output``.
 
     A batch overwrites its own folder, so a batch replayed after a failure leaves no duplicates.
     """
     counts = window_counts(stream.withWatermark(time, late_by), baseline, time, width)
 
-    def write(closed: DataFrame, batch: int) -> None:
-        # Read twice below; the stateful plan behind it must run once.
-        closed.persist()
-        score_windows(closed, baseline).write.mode("overwrite").parquet(f"{output}/batch={batch}")
-        closed.unpersist()
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{output}/batch={batch}")
 
-    writer = counts.writeStream.outputMode("append").foreachBatch(write).option(
+    writer = counts.writeStream.outputMode("update").foreachBatch(write).option(
         "checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def read_drift(spark: SparkSession, output: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", True).parquet(output)
+def read_counts(spark: SparkSession, output: str) -> DataFrame:
+    """The latest counts of every window."""
+    return spark.read.parquet(output).groupBy(*KEYS, "bin").agg(
+        F.max_by("actual", "batch").alias("actual"), F.max("latest").alias("latest"))
+
+
+def read_drift(spark: SparkSession, output: str, baseline: Baseline,
+               late_by: str = "1 day") -> DataFrame:
+    """The score of every window so far, and whether it is final."""
+    counts = read_counts(spark, output)
+    latest = counts.agg(F.max("latest")).first()[0]
+    closed = F.lit(latest) - F.expr(f"INTERVAL {late_by}")
+    return score_windows(counts.drop("latest"), baseline).withColumn(
+        "final", F.coalesce(F.col("window_end") <= closed, F.lit(False)))

@@ -114,14 +114,48 @@ def test_stream_equals_batch(spark, tmp_path):
     output, state = str(tmp_path / "out"), str(tmp_path / "state")
     for _ in range(2):  # the second run finds nothing new and must change nothing
         live.start_drift_stream(stream, baseline, output, state, once=True).awaitTermination()
-    streamed = live.read_drift(spark, output)
-    last = events.agg(F.max("ts")).first()[0] - pd.Timedelta(days=1)
-    counts = live.window_counts(events, baseline, "ts", "1 day").cache()
-    batch = live.score_windows(counts, baseline).filter(F.col("window_end") <= F.lit(last))
+    streamed = live.read_drift(spark, output, baseline)
+    counts = live.window_counts(events, baseline, "ts", "1 day").drop("latest").cache()
+    batch = live.score_windows(counts, baseline)
 
     def table(df):
         return sorted((r.window_start, r.feature, round(r.psi, 9), r.status)
                       for r in df.collect())
 
     assert table(streamed) == table(batch)
-    assert len(table(streamed)) >= 12
+    assert len(table(streamed)) == 18
+    last = events.agg(F.max("ts")).first()[0] - pd.Timedelta(days=1)
+    assert all(r.final == (r.window_end <= last) for r in streamed.collect())
+    # A batch that runs again overwrites its own folder.
+    first = spark.read.parquet(f"{output}/batch=0")
+    rows_again = first.collect()
+    spark.createDataFrame(rows_again, first.schema).write.mode("overwrite").parquet(
+        f"{output}/batch=0")
+    assert table(live.read_drift(spark, output, baseline)) == table(batch)
+
+
+def test_window_score_against_every_bin(spark, tmp_path):
+    """The sum over absent bins gives what pairing each window with each baseline bin gives."""
+    rng = np.random.default_rng(4)
+    rows = pd.DataFrame({"ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(
+        rng.integers(0, 6, 900), unit="D"), "kind": rng.choice(list("abcdefgh"), 900)})
+    rows.loc[rows.ts.dt.day == 4, "kind"] = "new"
+    events = spark.createDataFrame(rows)
+    known = events.filter("ts < '2024-01-03'")
+    baseline = live.Baseline.of(known, [], ["kind"], str(tmp_path / "baseline"))
+    counts = live.window_counts(events, baseline, "ts", "1 day")
+    scores = {r.window_start.day: r.psi for r in live.score_windows(counts, baseline).collect()}
+    expected = rows[rows.ts < "2024-01-03"].kind.value_counts(normalize=True)
+    for day, part in rows.groupby(rows.ts.dt.day):
+        seen = part.kind.value_counts(normalize=True)
+        bins = expected.index.union(seen.index)
+        e, a = (x.reindex(bins, fill_value=0).clip(lower=drift.fixed.PSI_FLOOR)
+                for x in (expected, seen))
+        assert scores[day] == pytest.approx(((a - e) * np.log(a / e)).sum())
+
+
+def test_wide_categories_do_not_meet_on_the_feature(spark):
+    """Many categories: no sort-merge join on the feature, no window of rows in one task."""
+    rows = spark.range(20000).select(F.concat(F.lit("c"), F.col("id")).alias("k"))
+    text = drift.psi_report(rows, rows, [], ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and text.count("Scan ") + text.count("Range (") <= 6
