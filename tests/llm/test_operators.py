@@ -47,7 +47,7 @@ def edge_rows():
              (7, "x" * 300_000 + " " + PASSAGE, "s1"), (8, PASSAGE + prose[:200], "s3"),
              (9, prose[200:] + "\n\n" + PASSAGE + PASSAGE, None), (9, None, "s3"),
              (10, f"before {ITEM.upper()} after", "s1"), (10, f"before {ITEM.upper()} after", "s1"),
-             (11, "ä 😀 a\x00b é́ Licensed under CC BY-NC 4.0.\nReleased under the MIT License.",
+             (11, "ä 😀 a\x00b é́.\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License.",
               "s2"), (12, "same line\n" * 40, "s1"),
              (13, "mail a.b@c.de or 10.0.0.1, +1 (269) 555-3296; 4111 1111 1111 1111", "s1")]
     extra = ["x", None, "text", "1", "k", "i", "h", "w"]
