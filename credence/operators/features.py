@@ -46,15 +46,21 @@ def fill_unknown(df: DataFrame) -> DataFrame:
     return df.fillna(fixed.UNKNOWN_CATEGORY, subset=fixed.CATEGORICAL_FEATURES)
 
 
-def prepare_features(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+def fitted_medians(df: DataFrame) -> dict[str, float | None]:
+    return {c: v[0] for c, v in exact_quantiles(df, {c: [0.5] for c in IMPUTED}).items()}
+
+
+def prepare_features(df: DataFrame, fit_on: DataFrame | None = None,
+                     medians: Mapping[str, float | None] | None = None) -> DataFrame:
     """Median-filled numbers, 'UNKNOWN' for missing categories.
 
     Medians come from the whole table, test rows included, as the published results do; pass the
-    training rows as ``fit_on`` to keep test rows out of them.
+    training rows as ``fit_on`` to keep test rows out of them, or ``medians`` fitted before.
     """
     missing = [c for c in fixed.NUMERIC_FEATURES + fixed.CATEGORICAL_FEATURES
                if c not in df.columns]
     if missing:
         raise ValueError(f"missing expected columns: {missing}")
-    medians = exact_quantiles(df if fit_on is None else fit_on, {c: [0.5] for c in IMPUTED})
-    return fill_unknown(impute_medians(df, {c: v[0] for c, v in medians.items()}))
+    if medians is None:
+        medians = fitted_medians(df if fit_on is None else fit_on)
+    return fill_unknown(impute_medians(df, medians))

@@ -13,19 +13,19 @@ from credence.sources.loan_tape import raw_loans
 from credence.sources.staging import input_fingerprint, path_exists, stage_path, staged
 
 
-def _mark(spark: SparkSession, sf_dir: str) -> str:
+def mark(spark: SparkSession, sf_dir: str) -> str:
     return input_fingerprint(
         spark, *[f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer")])
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw export, text columns as text."""
-    return staged(spark, "raw_loans", _mark(spark, sf_dir), lambda: raw_loans(spark, sf_dir))
+    return staged(spark, "raw_loans", mark(spark, sf_dir), lambda: raw_loans(spark, sf_dir))
 
 
 def raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw export through a CSV file and back."""
-    path = stage_path(spark, "raw_csv", _mark(spark, sf_dir))
+    path = stage_path(spark, "raw_csv", mark(spark, sf_dir))
     if not path_exists(spark, f"{path}/_SUCCESS"):
         raw(spark, sf_dir).write.mode("overwrite").options(
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
@@ -34,7 +34,7 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean loan table, partitioned by issue year."""
-    return staged(spark, "clean_loans", _mark(spark, sf_dir),
+    return staged(spark, "clean_loans", mark(spark, sf_dir),
                   lambda: clean_loans(raw(spark, sf_dir)), ("issue_year",))
 
 
@@ -53,4 +53,4 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_backtest(spark: SparkSession, sf_dir: str) -> Backtest:
     """Loans scored by the PD model of the training years, fitted once per application."""
-    return backtest(clean(spark, sf_dir), stage_path(spark, "pd_model", _mark(spark, sf_dir)))
+    return backtest(clean(spark, sf_dir), stage_path(spark, "pd_model", mark(spark, sf_dir)))

@@ -354,6 +354,8 @@ ORACLES: dict[str, str] = {
         SELECT loan_id, loan_amnt, annual_inc, purpose, addr_state FROM d""",
     "clean_loans": f"""WITH {CLEAN} SELECT * EXCLUDE (issue_date) REPLACE (
         CAST(defaulted AS BIGINT) AS defaulted) FROM clean""",
+    "stored_loans": f"WITH {CLEAN} SELECT loan_id, issue_year, fico_avg, false AS is_sample "
+                    "FROM clean",
     "time_split_counts": f"""WITH {CLEAN} SELECT
         CASE WHEN {_SPLIT.format('<')} THEN 'train' ELSE 'test' END AS side, count(*) AS loans,
         round(avg(defaulted), 6) AS default_rate,

@@ -16,7 +16,8 @@ from credence.operators import sensitivity as sens
 from credence.operators.sampling import sample_rows
 from credence.plans import evaluation as ev
 from credence.plans import loans as data
-from credence.sources.staging import input_fingerprint, stage_path, staged
+from credence.sources.loan_store import load_loans, write_loans
+from credence.sources.staging import input_fingerprint, path_exists, stage_path, staged
 from credence.streaming import drift_stream as live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +101,17 @@ def clean_loans(spark, sf_dir):
     return loans.drop("issue_date").withColumns({c: F.col(c).cast("long") for c in whole})
 
 
+@query
+def stored_loans(spark, sf_dir):
+    """The clean table through its parquet sink and back, as the full table."""
+    loans, mark = data.clean(spark, sf_dir), data.mark(spark, sf_dir)
+    path, sample = (stage_path(spark, name, mark) for name in ("stored_loans", "no_sample"))
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        write_loans(loans, path)
+    return load_loans(spark, path, sample).select(
+        "loan_id", F.col("issue_year").cast("long").alias("issue_year"), "fico_avg", "is_sample")
+
+
 # Features
 
 @query

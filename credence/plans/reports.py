@@ -10,6 +10,7 @@ its result tables under ``--out``.
 from __future__ import annotations
 
 import argparse
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from credence import fixed_values as fixed
 from credence.operators import drift, parity, pd_model, policies, vintage
 from credence.operators import frontier as front
 from credence.operators import sensitivity as sens
-from credence.operators.features import prepare_features, time_split
+from credence.operators.features import fitted_medians, prepare_features, time_split
 from credence.operators.ranking import ranking_quality
 from credence.plans import evaluation as ev
 from credence.plans.ingestion import run_ingestion, write_demo_sample
@@ -28,6 +29,9 @@ from credence.sources.loan_store import read_loans
 from credence.sources.staging import path_exists
 
 
+FACTS = "split string, source string, medians map<string,double>"
+
+
 @dataclass(frozen=True)
 class Backtest:
     """Prepared loans with the model's ``pd``, and their time split."""
@@ -42,16 +46,29 @@ def backtest(clean: DataFrame, model_path: str | None = None,
              split: str = fixed.SPLIT_DATE) -> Backtest:
     """Prepares and splits the loans and scores them with the model of the training years.
 
-    A model stored at ``model_path`` is loaded; otherwise one is trained, and stored there if a
-    path is given. The score is a column expression, so every report is a scan of its own columns.
+    A model stored at ``model_path`` is loaded with the medians it was fitted on; it must be of the
+    same split and table, or its own training rows could be scored as test rows. Without one a
+    model is trained, and stored there if a path is given. The score is a column expression, so
+    every report is a scan of its own columns.
     """
-    prepared = prepare_features(clean)
-    if model_path and path_exists(clean.sparkSession, model_path):
-        model = PipelineModel.load(model_path)
+    spark = clean.sparkSession
+    source = hashlib.sha256("\n".join(sorted(clean.inputFiles())).encode()).hexdigest()
+    facts = f"{model_path}-facts"
+    if model_path and path_exists(spark, f"{facts}/_SUCCESS"):
+        stored = spark.read.schema(FACTS).json(facts).first()
+        if (stored.split, stored.source) != (split, source):
+            raise ValueError(f"the model at {model_path} is of split {stored.split} and may be of "
+                             f"another table; wanted split {split}")
+        medians, model = stored.medians, PipelineModel.load(model_path)
+        prepared = prepare_features(clean, medians=medians)
     else:
+        medians = fitted_medians(clean)
+        prepared = prepare_features(clean, medians=medians)
         model = pd_model.train_challenger(time_split(prepared, split)[0])
         if model_path:
             model.write().overwrite().save(model_path)
+            spark.createDataFrame([(split, source, medians)], FACTS).coalesce(1).write.mode(
+                "overwrite").json(facts)
     scored = prepared.withColumn("pd", pd_model.pd_expression(model))
     return Backtest(scored, *time_split(scored, split), model)
 

@@ -159,3 +159,12 @@ def test_wide_categories_do_not_meet_on_the_feature(spark):
     rows = spark.range(20000).select(F.concat(F.lit("c"), F.col("id")).alias("k"))
     text = drift.psi_report(rows, rows, [], ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in text and text.count("Scan ") + text.count("Range (") <= 6
+
+
+def test_batch_twin_reads_after_the_stream_ran(spark):
+    """Both use one stored baseline; neither rewrites it under the other."""
+    from credence.plans.registry import QUERIES
+    sf = "/root/testdata/sf0.001"
+    batch = QUERIES["psi_windowed"](spark, sf)
+    stream = QUERIES["psi_stream"](spark, sf)
+    assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, batch.collect()))

@@ -36,11 +36,22 @@ def test_report_tables(spark, clean_path, model_path, tmp_path, name):
         assert count == rows if rows else count > 0
 
 
+def test_stored_model_keeps_its_medians_and_refuses_another_split(spark, clean_path, tmp_path):
+    path = str(tmp_path / "pd")
+    clean = spark.read.parquet(clean_path)
+    first, again = reports.backtest(clean, path), reports.backtest(clean, path)
+    assert first.test.agg({"pd": "sum"}).first() == again.test.agg({"pd": "sum"}).first()
+    with pytest.raises(ValueError, match="is of split"):
+        reports.backtest(clean, path, "2014-01-01")
+    with pytest.raises(ValueError, match="another table"):
+        reports.backtest(spark.read.parquet(clean_path + "/issue_year=2013").limit(0), path)
+
+
 def test_ingest_then_sample(spark, raw_csv, tmp_path):
     clean, out = str(tmp_path / "clean"), str(tmp_path / "sample")
     reports.main(["ingest", "--raw", raw_csv, "--clean", clean, "--log", str(tmp_path / "log")])
     reports.main(["sample", "--clean", clean, "--out", out, "--rows", "10"])
-    assert spark.read.parquet(out).count() == 3
+    assert spark.read.parquet(out).count() == 4
 
 
 def test_missing_arguments(clean_path):
