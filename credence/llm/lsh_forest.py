@@ -31,13 +31,14 @@ from credence.llm.text_kernel import (
     BLANKS,
     binary_array,
     blocks,
+    give_back,
     mixed,
     shingle_hashes,
     text_buffer,
     word_bounds,
     word_hashes,
 )
-from credence.llm.work import Workspace, row_of, table, unpacked
+from credence.llm.work import Workspace, row_of, small_batches, table, unpacked
 
 SHINGLE = 5
 PERCENT = 80
@@ -94,6 +95,7 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()),
                  pa.array(digests, pa.binary()), pa.array(signs, pa.binary())],
                 ["doc_id", "n_shingles", "digest", "sign"])
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         sketch, "doc_id long, n_shingles long, digest binary, sign binary")
@@ -198,6 +200,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
             data = np.concatenate(sets).view(np.uint8) if sets else np.zeros(0, np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), binary_array(data, ends)], ["id", "shingles"])
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(
@@ -216,6 +219,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+            give_back()
 
     return (pairs.select("a", "b")
             .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
@@ -278,6 +282,7 @@ def crowd_links(members: DataFrame, sets: DataFrame, percent: int, space: Worksp
         F.pmod(F.xxhash64("id"), "all_blocks").alias("y"))
 
     def meet(rows: pa.Table) -> pa.Table:
+        give_back()
         asks = rows.column("asks").to_numpy()
         ids, comp = rows.column("id").to_numpy(), rows.column("c").to_numpy()
         shingles = [np.frombuffer(v, np.uint64) for v in rows.column("shingles").to_pylist()]
@@ -354,8 +359,8 @@ def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per document."""
-    sketched = table(sketches(docs, shingle), "sketches")
-    with Workspace(docs.sparkSession) as space:
+    with Workspace(docs.sparkSession) as space, small_batches(docs.sparkSession):
+        sketched = table(sketches(docs, shingle), "sketches")
         comps = table(near_components(docs, sketched, shingle, percent, space).groupBy("id").agg(
             F.min("component").alias("component")), "members")
     return (sketched.select("doc_id", "n_shingles")
