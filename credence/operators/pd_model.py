@@ -85,3 +85,25 @@ def coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
     rows += [(name, value, None, None, weight) for (name, value), weight in match.items()]
     return df.sparkSession.createDataFrame(
         rows, "feature string, category string, mean double, deviation double, weight double")
+
+
+def explained_defaults(model: PipelineModel, scored: DataFrame) -> DataFrame:
+    """(feature, category, loans, explained) of scored training loans, in one pass.
+
+    ``explained`` is what scores and penalty make of the defaults' mean product with the feature. At
+    the optimum the gradient is zero and both are equal, for every weight; that is how a check
+    without a solver can tell a fitted model. Categories are those the model knows.
+    """
+    _, numeric, match = _parts(model)
+    rows, pd = F.count(F.lit(1)), F.col("pd")
+    parts = [("intercept", None, rows, F.sum(pd))]
+    parts += [(name, None, F.count(name),
+               F.sum(pd * (F.col(name) - mean) / (deviation or 1.0)) + weight)
+              for name, (mean, deviation, weight) in numeric.items()]
+    parts += [(name, value, F.count_if(F.col(name) == value),
+               F.coalesce(F.sum(F.when(F.col(name) == value, pd)), F.lit(0.0)) + weight)
+              for (name, value), weight in match.items()]
+    return scored.agg(F.array(*[F.struct(
+        F.lit(name).alias("feature"), F.lit(value).cast("string").alias("category"),
+        loans.alias("loans"), (total / rows).alias("explained"))
+        for name, value, loans, total in parts]).alias("parts")).select(F.inline("parts"))

@@ -247,6 +247,7 @@ prepared AS (
     coalesce(verification_status, 'UNKNOWN') AS verification_status),
     issue_date < DATE '{fixed.SPLIT_DATE}' AS base
   FROM scored)"""
+_MODEL_TRAIN = "model_train AS (SELECT * FROM prepared WHERE base)"
 
 
 def _psi_sql(groups: str, source: str) -> str:
@@ -381,6 +382,16 @@ ORACLES: dict[str, str] = {
         round(raroc, 6) AS raroc FROM optimal""",
     "challenger_raroc_optimized": f"WITH {SCORED} {_SWEEP} "
         + _decision("pd", "pd <= (SELECT cutoff FROM optimal)"),
+    "model_optimality": f"WITH {_PREPARED}, {_MODEL_TRAIN} " + " UNION ALL ".join(
+        ["SELECT 'intercept' AS feature, CAST(NULL AS VARCHAR) AS category, count(*) AS loans, "
+         "round(avg(defaulted), 4) AS explained FROM model_train"]
+        + [f"SELECT '{f}', NULL, count({f}), round((avg(defaulted * {f}) - avg(defaulted) * avg({f}))"
+           f" / stddev_pop({f}), 4) FROM model_train" for f in fixed.NUMERIC_FEATURES]
+        + [f"SELECT '{f}', {f}, count(*), round(sum(defaulted) / (SELECT count(*) FROM "
+           f"model_train), 4) FROM model_train GROUP BY {f}" for f in fixed.CATEGORICAL_FEATURES]),
+    "model_calibration": f"WITH {_PREPARED}, {_MODEL_TRAIN} SELECT count(*) AS loans, "
+        "CAST(sum(defaulted) AS DOUBLE) AS expected, CAST(sum(defaulted) AS BIGINT) AS observed "
+        "FROM model_train",
     "ranking_quality": f"""WITH {SCORED},
         scores AS (SELECT pd, sum(defaulted) AS bad, count(*) - sum(defaulted) AS good
           FROM test GROUP BY pd),

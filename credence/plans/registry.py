@@ -223,6 +223,22 @@ def challenger_coefficients(spark, sf_dir):
     return pd_model.coefficients(test.model, test.loans)
 
 
+@query
+def model_optimality(spark, sf_dir):
+    """Per weight: defaults as scores and penalty explain them; those of the data at the optimum."""
+    test = data.model_backtest(spark, sf_dir)
+    return pd_model.explained_defaults(test.model, test.train).withColumn(
+        "explained", F.round("explained", 4))
+
+
+@query
+def model_calibration(spark, sf_dir):
+    """Expected and observed defaults of the training loans; a free intercept makes them equal."""
+    train = data.model_backtest(spark, sf_dir).train
+    return train.agg(F.count(F.lit(1)).alias("loans"), F.round(F.sum("pd")).alias("expected"),
+                     F.sum("defaulted").alias("observed"))
+
+
 @query
 def score_model(spark, sf_dir):
     test = data.model_backtest(spark, sf_dir)
