@@ -312,6 +312,90 @@ def test_licences(results):
     assert all(re.search(licence_rules.HINT, s) for s in licence_rules.SENTENCES.values())
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not
+use this file except in compliance with the License. You may obtain a copy of
+the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD_NAME = """
+
+3. Neither the name of Some Institute nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version."""
+
+
+def test_wrapped_licence_notices(spark):
+    """Standard texts as they stand in files: plain, in comments, with other line ends."""
+    cases = {
+        "MIT": (MIT, "mit-grant,mit-notice,as-is"),
+        "Apache-2.0": (APACHE, "apache-2,apache-comply"),
+        "BSD-2-Clause": (BSD, "bsd-use,bsd-source,bsd-binary"),
+        "BSD-3-Clause": (BSD + BSD_NAME, "bsd-use,bsd-source,bsd-binary,bsd-name"),
+        "GPL-2.0": (GPL.format(";", ";", 2), "gpl-2-header"),
+        "GPL-3.0": (GPL.format(":", ", ", 3), "gpl-free")}
+    rows, expected = [], {}
+    for name, (text, ids) in cases.items():
+        lines = text.splitlines()
+        for i, form in enumerate((
+                text, "Copyright (c) 2020 A. Name\n\n" + text + "\n\nmore text",
+                "\n".join(f"# {x}" for x in lines), "\n".join(f";; {x}" for x in lines),
+                "/*\n" + "\n".join(f" * {x}" for x in lines) + "\n */\nint main",
+                text.replace("\n", "\r\n"),
+                "\n\n".join(" ".join(x.split()) for x in text.split("\n\n")))):
+            rows.append((f"{name} {i}", form))
+            expected[rows[-1][0]] = (ids, name, name)
+    rows += [("halves", "Released under the\n\nMIT License."),
+             ("inner", "He was not released under the MIT License.")]
+    expected |= {"halves": ("", "", None), "inner": ("", "", None)}
+    out = licence_rules.scan_licences(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert {r["doc_id"]: (r["sentence_ids"], r["licences"], r["main"])
+            for r in out.collect()} == expected
+
+
+@pytest.mark.parametrize("text, licence", [
+    ("// SPDX-License-Identifier: MPL-2.0", "MPL-2.0"),
+    ("This project is licensed under the MIT License - see the\n[LICENSE](LICENSE.md) file.", ""),
+    ("This project is licensed under the MIT License - see the\nLICENSE file for details.", "MIT"),
+    ("This work is licensed under a Creative Commons\nAttribution 4.0 International License.",
+     "CC-BY-4.0"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or "
+     "without fee is hereby granted, provided that the above\ncopyright notice and this "
+     "permission notice appear in all copies.", "ISC"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a "
+     "copy of the MPL was not distributed with this\nfile, You can obtain one at "
+     "https://mozilla.org/MPL/2.0/.", "MPL-2.0")])
+def test_other_licence_notices(spark, text, licence):
+    out = licence_rules.scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert out.first()["licences"] == licence
+
+
 def test_contamination_edges(results, edge, items):
     hit = {(r["doc_id"], r["n_hit"], r["n_items"]) for r in results["op10"] if r["contaminated"]}
     assert hit == {(10, 15, 1)}
