@@ -7,7 +7,7 @@ joined on those prefixes; a match fixes where the window would lie, which must b
 (positional and length bounds); then all its words are compared.
 
 The benchmark is worked through in slices of bounded bytes, whose index is sent to the executors;
-each slice meets all documents, and hits are united.
+each slice meets all documents, and hits are united by a number each document row gets before.
 
 Defined results: null and wordless texts have no words and no hits; wordless items have no window;
 an item without id counts for hits but not among the items; items with equal ids are one item;
@@ -31,7 +31,7 @@ from credence.llm.text_kernel import (
     word_bounds,
     word_hashes,
 )
-from credence.llm.work import unpacked
+from credence.llm.work import table, unpacked
 
 WINDOW = 13
 SHINGLE = 3
@@ -182,10 +182,16 @@ def hits(docs: DataFrame, benchmark: DataFrame, carry: list[str], window: int =
          shingle: int = SHINGLE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Struct ``row`` of the carried columns, n_words, n_hit and the sorted items found."""
     texts = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), "text")
-    kind = texts.schema["row"].dataType.simpleString()
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = -(-total // slice_bytes) or 1
+    if slices > 1:
+        # Written, so that a row has one number in all slices; no column need tell rows apart.
+        rows = table((texts.drop("text") if "text" in carry else texts).withColumn(
+            "id", F.monotonically_increasing_id()), "numbered")
+        texts = rows.select(F.col("id").alias("row"),
+                            F.col("row.text" if "text" in carry else "text").alias("text"))
+    kind = texts.schema["row"].dataType.simpleString()
     parts = []
     for k in range(slices):
         own = items if slices == 1 else items.filter(
@@ -198,10 +204,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, carry: list[str], window: int =
     else:
         for k in range(1, slices):
             parts[0] = parts[0].unionAll(parts[k])
-        found = parts[0].groupBy("row", "n_words").agg(
-            F.flatten(F.collect_list("runs")).alias("runs"),
-            F.flatten(F.collect_list("items")).alias("items"),
-            F.explode(F.sequence(F.lit(1), (F.count(F.lit(1)) / slices).cast("int"))).alias("_"))
+        found = parts[0].groupBy(F.col("row").alias("id")).agg(
+            F.first("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"),
+            F.flatten(F.collect_list("items")).alias("items"))
+        found = found.join(rows.select("id", "row"), "id")
     covered = F.aggregate(
         F.array_sort("runs"),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("to")),

@@ -404,6 +404,23 @@ def test_contamination_edges(results, edge, items):
         str(r) for r in prefix_join.contamination(edge, items).collect())
 
 
+def test_slices_keep_rows_of_one_id_apart(spark):
+    """Rows that share id and word count but not the text, with the benchmark in slices."""
+    clean = " ".join(f"w{i}" for i in range(17))
+    texts = [f"before {ITEM} after", clean, "another item of five words " + clean[:35], None]
+    docs = spark.createDataFrame([(i, t) for i in (None, 7) for t in (*texts, texts[0])],
+                                 "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, ITEM), (2, "another item of five words")],
+                                      "item_id long, text string")
+    whole = sorted(str(r) for r in prefix_join.contamination(docs, benchmark).collect())
+    parts = prefix_join.contamination(docs, benchmark, slice_bytes=20).collect()
+    assert sorted(map(str, parts)) == whole
+    assert sum(r["contaminated"] for r in parts) == 6 and len(parts) == 10
+    left = prefix_join.decontaminate(docs, benchmark, slice_bytes=20).collect()
+    assert sorted(map(str, left)) == sorted(
+        str(r) for r in docs.collect() if r["text"] in (None, clean))
+
+
 @pytest.fixture(scope="module")
 def duck():
     return connect(SF)
