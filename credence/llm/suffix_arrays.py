@@ -9,7 +9,9 @@ removed. The work is dealt so that no suffix array spans the corpus, and little
    a task's batch, so a very common passage does not pile up), and documents learn which are shared.
 2. Shards. Runs of windows with one shared anchor are cut out of their documents with the bytes they
    cover and dealt to shards by the anchor, so equal windows always meet. Equal strings of a batch
-   travel once: those in larger documents are hits already.
+   travel once: those in larger documents are hits already. Anchors of very many different strings
+   (the edges of a common passage, common phrases) are known from a sample of the documents; their
+   strings are cut into single windows, which are dealt by their own bytes, so no anchor is one group.
 3. Suffix arrays. A shard sorts its suffixes by their first ``LENGTH`` bytes with Larsson-Sadakane
    refinement: the first 8 bytes, then doubling, each time only the groups not yet told apart.
    Common prefixes of neighbours in the order mark the classes of equal windows; the smallest
@@ -47,6 +49,11 @@ BATCH_BYTES = 8 << 20
 MEETING_BYTES = 16 << 20
 BUCKET_BYTES = 8 << 20
 PART_BYTES = 1 << 20
+#: One document in so many shows which anchors are hot: those of about so many different strings.
+SAMPLE = 64
+HOT_STRINGS = 16384
+#: Strings of hot anchors cut into windows at a time.
+HOT_STEP = 20_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Offsets of the 8-byte words that make up a gram after the first; the last ends with it.
 _GRAM_WORDS = [*range(8, GRAM - 8, 8), GRAM - 8]
@@ -190,6 +197,11 @@ def spread(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def own_bucket(doc_id, key, buckets: int) -> int:
+    """Bucket of what only passes through to its document."""
+    return hash((int(doc_id), int(key))) % buckets
+
+
 def anchors(texts: DataFrame, buckets: int) -> DataFrame:
     """Entries of the anchors in buckets, and anchors already seen to be shared by document.
 
@@ -235,8 +247,8 @@ def anchors(texts: DataFrame, buckets: int) -> DataFrame:
             for a, b in zip(begin, np.append(begin[1:], len(docs)).astype(int).tolist()
                             if len(docs) else []):
                 d = int(docs[a])
-                out.append((int(hashes[a]) % buckets, int(ids[d]), int(keys[d]), None, None,
-                            hashes[a:b].tobytes(), None))
+                out.append((own_bucket(ids[d], keys[d], buckets), int(ids[d]), int(keys[d]), None,
+                            None, hashes[a:b].tobytes(), None))
             yield packed(out)
             give_back()
 
@@ -289,7 +301,46 @@ def shared_anchors(entries: DataFrame) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(meet, "doc_id long, key long, data binary")
 
 
-def strings(texts: DataFrame, buckets: int) -> DataFrame:
+def string_marks(data: np.ndarray, a: np.ndarray, b: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Hash of each string's length, anchor offset and bytes' fingerprint."""
+    w = words8(data)
+    mark = (b - a).astype(np.uint64) << np.uint64(8) | off.astype(np.uint64)
+    for k in range(0, LENGTH - 7, 8):
+        mark = mixed(mark * _B + mixed(whole(w[a + k])))
+    mark = mixed(mark * _B + mixed(whole(w[a + LENGTH - 8])))
+    for k in range(LENGTH, LENGTH + SPAN, 8):
+        # Beyond the first window: 8 bytes at a time, the last 8 ending with the string.
+        mark = mixed(mark * _B + mixed(whole(w[np.minimum(a + k, b - 8)])))
+    return mark
+
+
+def hot_anchors(texts: DataFrame) -> np.ndarray:
+    """Sorted hashes of the anchors that many different strings share, estimated from a sample.
+
+    Any choice gives the same results; it decides only how strings are dealt.
+    """
+    def count(batches):
+        for rows in grouped(batches, BATCH_BYTES):
+            data, offsets = text_buffer(rows.column("text"))
+            found = [(h, string_marks(data, a, b, anchor - a))
+                     for _, a, b, anchor, h in text_runs(data, offsets) if len(h)]
+            if found:
+                h, mark = (np.concatenate(x) for x in zip(*found))
+                order = np.lexsort((mark, h))
+                h, mark = h[order], mark[order]
+                h = h[np.append(True, (h[1:] != h[:-1]) | (mark[1:] != mark[:-1]))]
+                h, n = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[n > 1].astype(np.int64)), pa.array(n[n > 1])], ["h", "n"])
+            give_back()
+
+    sample = texts.filter(F.pmod(F.xxhash64("doc_id", "key"), F.lit(SAMPLE)) == 0)
+    hot = (sample.select("text").mapInArrow(count, "h long, n long").groupBy("h")
+           .agg(F.sum("n").alias("n")).filter(F.col("n") * SAMPLE >= HOT_STRINGS))
+    return np.sort(np.array([r["h"] for r in hot.select("h").collect()], np.uint64))
+
+
+def strings(texts: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     """The runs whose anchor is shared, in shards, and hits found within a batch.
 
     refs = document places, data = the bytes, compressed, more = offsets in the documents, lengths and anchor
@@ -319,32 +370,43 @@ def strings(texts: DataFrame, buckets: int) -> DataFrame:
             docs, a, b, anchor, h = (np.concatenate(x) for x in zip(*parts))
             if not len(docs):
                 continue
+            stay, out = [], []
+
+            def collapse(docs, a, b, off, h, mark):
+                """Keeps equal strings' smallest document; the others' are hits."""
+                owner = ids[docs]
+                order = np.lexsort((owner, mark, h))
+                docs, a, b, off, h, mark, owner = (
+                    x[order] for x in (docs, a, b, off, h, mark, owner))
+                new = np.append(True, (mark[1:] != mark[:-1]) | (h[1:] != h[:-1]))
+                keep = owner == owner[new][np.cumsum(new) - 1]
+                d, s, e = docs[~keep], a[~keep], b[~keep]
+                turn = np.argsort(d, kind="stable")
+                d, s, e = d[turn], s[turn] - offsets[d[turn]], e[turn] - offsets[d[turn]]
+                edges = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else []
+                for i, j in zip(edges, np.append(edges[1:], len(d)).astype(int).tolist()
+                                if len(d) else []):
+                    own = int(ids[d[i]]), int(keys[d[i]])
+                    out.append((own_bucket(*own, buckets), *own, None, None, np.concatenate(
+                        (s[i:j], e[i:j])).astype(np.int64).tobytes(), None))
+                return [x[keep] for x in (docs, a, b, off, h)]
+
             # Equal strings: same anchor hash, length, anchor offset and bytes' fingerprint.
-            w = words8(data)
-            size, off = b - a, anchor - a
-            mark = size.astype(np.uint64) << np.uint64(8) | off.astype(np.uint64)
-            for k in range(0, LENGTH - 7, 8):
-                mark = mixed(mark * _B + mixed(whole(w[a + k])))
-            mark = mixed(mark * _B + mixed(whole(w[a + LENGTH - 8])))
-            for k in range(LENGTH, LENGTH + SPAN, 8):
-                # Beyond the first window: 8 bytes at a time, the last 8 ending with the string.
-                mark = mixed(mark * _B + mixed(whole(w[np.minimum(a + k, b - 8)])))
-            owner = ids[docs]
-            order = np.lexsort((owner, mark, h))
-            docs, a, b, off, h, mark, owner = (x[order] for x in (docs, a, b, off, h, mark, owner))
-            new = np.append(True, (mark[1:] != mark[:-1]) | (h[1:] != h[:-1]))
-            least = owner[new][np.cumsum(new) - 1]
-            stay = owner == least
-            out = []
-            d, s, e = docs[~stay], a[~stay], b[~stay]
-            turn = np.argsort(d, kind="stable")
-            d, s, e = d[turn], s[turn] - offsets[d[turn]], e[turn] - offsets[d[turn]]
-            edges = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else []
-            for i, j in zip(edges, np.append(edges[1:], len(d)).astype(int).tolist()
-                            if len(d) else []):
-                out.append((int(s[i]) % buckets, int(ids[d[i]]), int(keys[d[i]]), None, None,
-                            np.concatenate((s[i:j], e[i:j])).astype(np.int64).tobytes(), None))
-            docs, a, b, off, h = (x[stay] for x in (docs, a, b, off, h))
+            found = collapse(docs, a, b, anchor - a, h, string_marks(data, a, b, anchor - a))
+            at = np.isin(found[4], hot)
+            stay.append([x[~at] for x in found])
+            found = [x[at] for x in found]
+            for k in range(0, len(found[0]), HOT_STEP):
+                docs, a, b, off, h = (x[k:k + HOT_STEP] for x in found)
+                many = b - a - LENGTH + 1
+                step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                docs, a, off = (np.repeat(x, many) for x in (docs, a, off))
+                a, off = a + step, off - step
+                mark = string_marks(data, a, a + LENGTH, off)
+                stay.append(collapse(docs, a, a + LENGTH, off, mark >> np.uint64(16), mark))
+            docs, a, b, off, h = (np.concatenate(x) for x in zip(*stay))
+            order = np.argsort(h, kind="stable")
+            docs, a, b, off, h = (x[order] for x in (docs, a, b, off, h))
             edges = np.searchsorted(spread(h, buckets), np.arange(buckets + 1))
             for k in np.flatnonzero(np.diff(edges)).tolist():
                 i, j = edges[k], edges[k + 1]
@@ -610,7 +672,7 @@ def touched_texts(docs: DataFrame, digests: DataFrame, space: Workspace,
         F.collect_list("data").alias("shared"))
     found = found.join(digests.filter("doc_id = first").select("doc_id", "key").distinct(),
                        ["doc_id", "key"], "left_semi")
-    shards = strings(long.join(found, ["doc_id", "key"]), buckets)
+    shards = strings(long.join(found, ["doc_id", "key"]), buckets, hot_anchors(long))
     runs_of = space.table(hit_runs(shards, part_bytes).groupBy("doc_id", "key").agg(
         F.collect_list("data").alias("runs")), "hit_runs")
     touched = space.id_list(runs_of.select("doc_id", "key"), "touched")

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from check_oracles import compare, connect
 from conftest import SF
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -280,6 +281,29 @@ def test_repeats_in_very_long_texts(spark, monkeypatch):
     assert sorted(map(tuple, out)) == sorted(brute.repeats(rows))
 
 
+def test_repeats_with_hot_anchors(spark, monkeypatch):
+    """A passage in many contexts: same results, and no shard holds most of its strings."""
+    monkeypatch.setattr(suffix_arrays, "SAMPLE", 1, raising=False)
+    monkeypatch.setattr(suffix_arrays, "HOT_STRINGS", 20, raising=False)
+    monkeypatch.setattr(suffix_arrays, "HOT_STEP", 30, raising=False)
+    rng, loads, judge = random.Random(6), [], suffix_arrays.hit_runs
+
+    def weighed(shards, part_bytes):
+        loads.extend(r["n"] for r in shards.filter("doc_id IS NULL").groupBy("bucket").agg(
+            F.sum(F.octet_length("refs") / 2).alias("n")).collect())
+        return judge(shards, part_bytes)
+
+    monkeypatch.setattr(suffix_arrays, "hit_runs", weighed)
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=90)) + "a phrase of 24 bytes now"
+             + "".join(rng.choices("abcdefgh ", k=90))) for i in range(300)]
+    rows += [(300 + i, rows[i][1][60:150] + rows[i + 1][1][10:]) for i in range(0, 60, 2)]
+    rows += [(900 - i, PASSAGE + rows[i][1][:100]) for i in range(100, 140)]
+    out = suffix_arrays.repeat_digest(spark.createDataFrame(
+        rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, out)) == sorted(brute.repeats(rows))
+    assert max(loads) < 0.2 * sum(loads)
+
+
 @pytest.mark.parametrize("bits", [2, 14])
 def test_minimax_against_all_cuts(spark, bits):
     rng = random.Random(bits)
