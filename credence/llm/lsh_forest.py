@@ -46,6 +46,8 @@ TREES = 32
 DEPTH = 4
 #: Values of a signature beyond ``DEPTH`` that order a region, 16 bits of each.
 DEEPER = 4
+#: Deeper values that members of a crowd share; they are the next tree's, so trees are not independent.
+CROWD = 1
 REACH = 3
 BLOCK = 256
 HASHES = TREES * DEPTH
@@ -239,12 +241,12 @@ def best_of_each(pairs: DataFrame) -> DataFrame:
 def crowds(placed: DataFrame, dense: DataFrame, comps: DataFrame, space: Workspace) -> DataFrame:
     """(crowd, id, c): members of large regions that hold several components.
 
-    Regions are cut at the depth of half the deeper values, where two sets at the threshold still
-    meet in some tree with a probability of 0.9999; regions that share members are one crowd.
+    Regions are cut at ``CROWD`` deeper values, where two sets at the threshold still meet in some
+    tree with a probability above 0.9999; regions that share members are one crowd.
     """
-    half = F.shiftright("deep", 16 * (DEEPER // 2))
+    cut = F.shiftright("deep", 16 * (DEEPER - CROWD))
     members = placed.join(dense, "region", "left_semi").select(
-        F.xxhash64("region", half).alias("region"), "id")
+        F.xxhash64("region", cut).alias("region"), "id")
     members = members.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "c", F.coalesce("component", "id")).drop("component")
     mixed_regions = members.groupBy("region").agg(

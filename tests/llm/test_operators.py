@@ -31,6 +31,8 @@ from credence.llm import (  # noqa: E402
     wavelet,
 )
 
+from credence.llm.work import Workspace  # noqa: E402
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, size string, "
           "row string, key string, shard string, kept string, id string, h string, words string")
@@ -196,6 +198,22 @@ def test_near_duplicates_of_a_large_group(spark):
     assert near_table(spark, rows) == expected
 
 
+def test_crowds_hold_pairs_at_the_threshold(spark):
+    """Members that agree in one deeper value are one crowd; pairs at 0.8 meet so in some tree."""
+    placed = spark.createDataFrame([(1, (5 << 48) | (i << 32), 9, i) for i in range(8)],
+                                   "region long, deep long, n long, id long")
+    with Workspace(spark) as space:
+        out = lsh_forest.crowds(placed, placed.select("region").distinct(), spark.createDataFrame(
+            [], "node long, component long"), space).collect()
+    assert sorted(r["id"] for r in out) == list(range(8)) and len({r["crowd"] for r in out}) == 1
+    equal = np.random.default_rng(8).random((300_000, lsh_forest.HASHES), np.float32) < 0.8
+    met = np.zeros(len(equal), bool)
+    for tree in range(lsh_forest.TREES):
+        at = tree * lsh_forest.DEPTH + np.arange(lsh_forest.DEPTH + lsh_forest.CROWD)
+        met |= equal[:, at % lsh_forest.HASHES].all(1)
+    assert (~met).mean() < 1e-4
+
+
 def test_near_duplicate_edges(results):
     out = [(r["doc_id"], r["component_id"], r["n_shingles"]) for r in results["op4"]]
     assert {(1, 1, 87), (2, 1, 87), (3, 1, 90), (4, 4, 0), (5, 5, 0), (6, 6, 0)} <= set(out)
