@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from credence.llm import (
+    collocations,
     host_rules,
     licence_rules,
     lsh_forest,
@@ -18,6 +19,7 @@ from credence.llm import (
     suffix_arrays,
     water_fill,
     wavelet,
+    whitening,
 )
 
 
@@ -68,9 +70,18 @@ def op10_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_wavelet_shards, op2_host_rules, op3_water_fill, op4_lsh_forest, op5_site_lines,
-    op6_pii_crf, op7_suffix_arrays, op8_minimax_shards, op9_licence_rules, op10_prefix_join)}
+    op6_pii_crf, op7_suffix_arrays, op8_minimax_shards, op9_licence_rules, op10_prefix_join, op12_whitening,
+    op13_collocations)}
 
 ORACLES = {
     "op2_host_rules": host_rules.ORACLE,
@@ -78,4 +89,5 @@ ORACLES = {
     "op5_site_lines": site_lines.ORACLE,
     "op9_licence_rules": licence_rules.ORACLE,
     "op10_prefix_join": prefix_join.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }

@@ -18,6 +18,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from credence.llm import (  # noqa: E402
+    collocations,
     host_rules,
     licence_rules,
     lsh_forest,
@@ -479,7 +480,8 @@ def test_edge_rows_equal_sql(spark, edge, items):
     con.register("documents", edge.toArrow())
     con.register("benchmark", items.toArrow())
     for name, oracle in queries.ORACLES.items():
-        build = OPERATORS[name.split("_")[0]]
+        build = (OPERATORS | {"op13": lambda d, b: collocations.collocations(d)})[
+            name.split("_")[0]]
         assert compare(spark, con, name, lambda s, d: build(edge, items), oracle, SF) == "", name
 
 
