@@ -20,6 +20,7 @@ rows and ids count each time; empty tables, and languages without a frequent phr
 from __future__ import annotations
 
 from itertools import count as counting
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,10 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 MAP_BITS = 1 << 27
 #: Bits in a part of a map, as the engine's bitmap functions have it.
 PART_BITS = 1 << 15
-#: Phrases a trie holds before subtrees leave it, and a container before it bursts.
-TRIE_ENTRIES, CONTAINER_ENTRIES = 400_000, 4_096
+#: Phrases a trie holds before subtrees leave it, a container before it bursts, and a run's piece.
+TRIE_ENTRIES, CONTAINER_ENTRIES, RUN_ROWS = 1_500_000, 4_096, 100_000
+#: Different words a task counts before it hands them on.
+WORD_ENTRIES = 400_000
 #: Words on a path of the trie, the first one included.
 TRIE_DEPTH = 2
 
@@ -52,96 +55,122 @@ def letters(seed: int) -> np.ndarray:
     return (rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[_LOWER]
 
 
+def groups(keys: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, end) of the runs of equal keys."""
+    edges = (np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()
+    return list(zip([0, *edges], [*edges, len(keys)])) if len(keys) else []
+
+
 class Node:
-    """A place in the trie: how often its phrase occurs, and longer ones in a container or below."""
+    """A place in the trie: a container of what may follow, or nodes by next word once it burst.
+
+    A container takes rows of words with counts as they come, and joins equal ones when it is full.
+    """
 
-    __slots__ = ("count", "bag", "below", "size")
+    __slots__ = ("words", "counts", "below", "size", "limit")
 
     def __init__(self):
-        self.count, self.bag, self.below, self.size = 0, {}, None, 0
-
-    def add(self, rest: tuple[int, ...], n: int, depth: int) -> int:
-        """Counts the phrase that goes on with ``rest``; returns how many entries were new."""
-        if not rest:
-            new = not self.count
-            self.count += n
-        elif self.below is None:
-            new = rest not in self.bag
-            self.bag[rest] = self.bag.get(rest, 0) + n
-            if len(self.bag) > CONTAINER_ENTRIES and depth < TRIE_DEPTH and len(rest) > 1:
+        self.words, self.counts, self.below, self.size = [], [], None, 0
+        self.limit = CONTAINER_ENTRIES
+
+    def add(self, words: np.ndarray, counts: np.ndarray, depth: int) -> int:
+        """Counts sorted rows of words; returns how many entries more the node holds."""
+        before = self.size
+        if self.below is not None:
+            for i, j in groups(words[:, 0]):
+                self.size += self.child(words[i, 0]).add(words[i:j, 1:], counts[i:j], depth + 1)
+            return self.size - before
+        self.words.append(words.copy())
+        self.counts.append(counts.copy())
+        self.size += len(counts)
+        if self.size > self.limit:
+            self.pack()
+            self.limit = max(CONTAINER_ENTRIES, 2 * self.size)
+            if self.size > CONTAINER_ENTRIES and depth < TRIE_DEPTH and words.shape[1] > 1:
                 self.burst(depth)
-        else:
-            node = self.below.get(rest[0])
-            if node is None:
-                node = self.below[rest[0]] = Node()
-            new = node.add(rest[1:], n, depth + 1)
-        self.size += new
-        return new
+        return self.size - before
+
+    def child(self, word) -> Node:
+        node = self.below.get(word)
+        if node is None:
+            node = self.below[word] = Node()
+        return node
+
+    def pack(self) -> None:
+        """Joins equal rows and sorts them."""
+        if len(self.words) > 1:
+            words, counts = np.concatenate(self.words), np.concatenate(self.counts)
+            order = np.lexsort(words.T[::-1])
+            words, counts = words[order], counts[order]
+            at = np.flatnonzero(np.append(True, (words[1:] != words[:-1]).any(1)))
+            self.words, self.counts = [words[at]], [np.add.reduceat(counts, at)]
+            self.size = len(at)
 
     def burst(self, depth: int) -> None:
-        """Deals the container out to one node per next word."""
-        bag, self.bag, self.below = self.bag, {}, {}
-        for rest, n in bag.items():
-            node = self.below.get(rest[0])
-            if node is None:
-                node = self.below[rest[0]] = Node()
-            node.add(rest[1:], n, depth + 1)
-
-    def phrases(self, path: tuple[int, ...]):
-        """(words, count) of all phrases here and below, in order."""
-        if self.count:
-            yield path, self.count
-        for rest, n in sorted(self.bag.items()):
-            yield path + rest, n
-        for word, node in sorted((self.below or {}).items()):
-            yield from node.phrases((*path, word))
+        """Deals the packed container out to one node per next word."""
+        (words,), (counts,) = self.words, self.counts
+        self.words, self.counts, self.below = [], [], {}
+        for i, j in groups(words[:, 0]):
+            self.child(words[i, 0]).add(words[i:j, 1:], counts[i:j], depth + 1)
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """All rows here and below, in order, and their counts."""
+        if self.below is None:
+            self.pack()
+            return self.words[0], self.counts[0]
+        found = [(word, *node.rows()) for word, node in sorted(self.below.items())]
+        return (np.concatenate([np.insert(w, 0, word, 1) for word, w, _ in found]),
+                np.concatenate([c for _, _, c in found]))
 
 
 class HatTrie:
-    """Counts of phrases, in subtrees by language and first word."""
+    """Counts of phrases, in subtrees by language, length and first word."""
 
     def __init__(self, entries: int = TRIE_ENTRIES):
         self.entries, self.size, self.trees = entries, 0, {}
 
-    def add(self, lang: str, words: tuple[int, ...], n: int) -> None:
-        tree = self.trees.get((lang, words[0]))
-        if tree is None:
-            tree = self.trees[lang, words[0]] = Node()
-        self.size += tree.add(words[1:], n, 1)
+    def add(self, lang: str, words: np.ndarray, counts: np.ndarray) -> None:
+        """Counts phrases of one length: rows of words whose equal beginnings are neighbours."""
+        for i, j in groups(words[:, 0]):
+            key = lang, words.shape[1], words[i, 0]
+            tree = self.trees.get(key)
+            if tree is None:
+                tree = self.trees[key] = Node()
+            self.size += tree.add(words[i:j, 1:], counts[i:j], 1)
 
     def leaving(self, all_: bool = False):
-        """Runs of (lang, words, count): the largest subtrees, until half the budget is free."""
+        """(lang, words, counts) runs: the largest subtrees, until half the budget is free."""
         if not all_ and self.size <= self.entries:
             return
-        aim = 0 if all_ else self.entries // 2
-        keys, size = [], self.size
+        aim, keys, size = self.entries // 2, [], self.size
         for key in sorted(self.trees, key=lambda k: -self.trees[k].size):
             if size <= aim and not all_:
                 break
             size -= self.trees[key].size
             keys.append(key)
-        run = []
-        for key in sorted(keys):
-            tree = self.trees.pop(key)
-            self.size -= tree.size
-            run += [(key[0], *found) for found in tree.phrases((key[1],))]
-            if len(run) > 50_000:
-                yield run
-                run = []
-        if run:
-            yield run
-
-
-def run_batch(run: list, longest: int) -> pa.RecordBatch:
+        for (lang, _), same in groupby(sorted(keys), key=lambda k: k[:2]):
+            run, rows = [], 0
+            for key in same:
+                tree = self.trees.pop(key)
+                self.size -= tree.size
+                words, counts = tree.rows()
+                run.append((np.insert(words, 0, key[2], 1), counts))
+                rows += len(counts)
+                if rows > RUN_ROWS:
+                    yield lang, *map(np.concatenate, zip(*run))
+                    run, rows = [], 0
+            if run:
+                yield lang, *map(np.concatenate, zip(*run))
+
+
+def run_batch(lang: str, words: np.ndarray, counts: np.ndarray, longest: int) -> pa.RecordBatch:
     """Columns lang, k, w1 .. and f of a run; words beyond the phrase's end are 0."""
-    words = np.zeros((len(run), longest), np.uint64)
-    sizes = np.array([len(r[1]) for r in run])
-    for k in np.unique(sizes).tolist():
-        words[sizes == k, :k] = np.array([r[1] for r in run if len(r[1]) == k], np.uint64)
+    n, k = words.shape
+    none = np.zeros(n, np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in run], pa.string()), pa.array(sizes, pa.int32()),
-         *[pa.array(np.ascontiguousarray(words[:, i]).view(np.int64)) for i in range(longest)],
-         pa.array([r[2] for r in run], pa.int64())],
+        [pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)),
+         *[pa.array(np.ascontiguousarray(words[:, i]).view(np.int64) if i < k else none)
+           for i in range(longest)], pa.array(counts)],
         ["lang", "k", *word_columns(longest), "f"])
 
 
@@ -217,7 +246,7 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
                                           np.diff(np.append(at, len(order))).tolist()):
                         key = (lang, i, part[s:e].tobytes().lower())
                         found[key] = found.get(key, 0) + n
-                if len(found) > TRIE_ENTRIES:
+                if len(found) > WORD_ENTRIES:
                     yield rows(found)
                     found = {}
         yield rows(found)
@@ -265,7 +294,10 @@ def with_bits(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def frequent_windows(ids: np.ndarray, joined: np.ndarray, sizes: range):
-    """(words, counts) of the distinct windows of each size; ``joined`` words may share a window."""
+    """(words, counts) of the distinct windows of each size; ``joined`` words may share a window.
+
+    Windows that begin alike are neighbours.
+    """
     here = np.flatnonzero(joined)
     dense = np.unique(ids, return_inverse=True)[1].astype(np.uint64)
     run = dense.copy()  # number of the window that starts at a word
@@ -277,8 +309,7 @@ def frequent_windows(ids: np.ndarray, joined: np.ndarray, sizes: range):
                                         return_counts=True)
         run[here] = number
         if k in sizes:
-            start = here[at]
-            yield [ids[start + i] for i in range(k)], many
+            yield ids[here[at][:, None] + np.arange(k)], many
         more = np.zeros(len(ids) + 1, bool)
         more[here] = True
         more[:-k] &= joined[k - 1:]
@@ -303,12 +334,11 @@ def count_phrases(docs: DataFrame, sizes: range, seed: int, words: np.ndarray,
                         at = np.flatnonzero(joined)
                         joined[at] = in_map(pairs, bit_of(ids[at], ids[at + 1], code=code))
                     for found, many in frequent_windows(ids, joined, sizes):
-                        for phrase, n in zip(zip(*(w.tolist() for w in found)), many.tolist()):
-                            trie.add(lang, phrase, n)
+                        trie.add(lang, found, many)
                     for run in trie.leaving():
-                        yield run_batch(run, longest)
+                        yield run_batch(*run, longest)
         for run in trie.leaving(True):
-            yield run_batch(run, longest)
+            yield run_batch(*run, longest)
 
     return texts(docs).mapInArrow(tally, run_schema(longest))
 

@@ -92,21 +92,27 @@ def test_words_that_share_an_id_are_hashed_anew(spark, monkeypatch):
         assert seed == 1 and words.count() == words.select("lang", "word").distinct().count()
 
 
-def test_trie_gives_what_it_was_given():
+def test_trie_gives_what_it_was_given(monkeypatch):
+    """Whatever bursts and leaves in between, the runs are sorted and their counts add up."""
+    monkeypatch.setattr(collocations, "CONTAINER_ENTRIES", 5)
     rng = random.Random(1)
-    trie, expected, given = collocations.HatTrie(200), Counter(), Counter()
-    for _ in range(6000):
-        phrase = tuple(rng.choices(range(9), k=rng.randint(2, 5)))
-        expected["en", phrase] += 2
-        trie.add("en", phrase, 2)
-        for run in trie.leaving():
-            assert run == sorted(run)
-            given.update({r[:2]: 0 for r in run})
-            for lang, words, n in run:
-                given[lang, words] += n
-        assert trie.size <= 200
-    for run in trie.leaving(True):
-        for lang, words, n in run:
-            given[lang, words] += n
+    trie, expected, given = collocations.HatTrie(300), Counter(), Counter()
+
+    def take(runs):
+        for lang, words, counts in runs:
+            rows = list(map(tuple, words.tolist()))
+            assert rows == sorted(set(rows))
+            for row, n in zip(rows, counts.tolist()):
+                given[lang, row] += n
+
+    for _ in range(400):
+        k, lang = rng.randint(2, 5), rng.choice(["en", "de"])
+        rows = sorted({tuple(rng.choices(range(7), k=k)) for _ in range(rng.randint(1, 60))})
+        counts = [rng.randint(1, 9) for _ in rows]
+        for row, n in zip(rows, counts):
+            expected[lang, row] += n
+        trie.add(lang, np.array(rows, np.uint64), np.array(counts))
+        take(trie.leaving())
+        assert trie.size <= 300 and trie.size == sum(t.size for t in trie.trees.values())
+    take(trie.leaving(True))
     assert given == expected and not trie.size and not trie.trees
-
