@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from credence.llm import (
     collocations,
     host_rules,
+    jaccard_join,
     licence_rules,
     lsh_forest,
     minimax_shards,
@@ -70,6 +71,10 @@ def op10_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(documents(spark, sf_dir))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -80,8 +85,8 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_wavelet_shards, op2_host_rules, op3_water_fill, op4_lsh_forest, op5_site_lines,
-    op6_pii_crf, op7_suffix_arrays, op8_minimax_shards, op9_licence_rules, op10_prefix_join, op12_whitening,
-    op13_collocations)}
+    op6_pii_crf, op7_suffix_arrays, op8_minimax_shards, op9_licence_rules, op10_prefix_join, op11_jaccard_join,
+    op12_whitening, op13_collocations)}
 
 ORACLES = {
     "op2_host_rules": host_rules.ORACLE,
