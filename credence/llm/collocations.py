@@ -7,8 +7,10 @@ two words, sorted there, and merged by one reader that holds a single phrase.
 
 A phrase is never more frequent than its parts. So words are counted first, then pairs of words that
 are frequent enough, then longer phrases all of whose pairs are; what is known to be too rare does
-not enter a trie. Frequent words and pairs are told to the tasks as bit maps of a fixed size. A bit
-set by another phrase lets a rare one be counted in vain, never the reverse.
+not enter a trie. Before pairs and longer phrases enter tries, pairs and triples are counted by hash
+in tables of a fixed size, whose sums are never below the truth. Tasks know all this as bit maps of a
+fixed size. A bit set by another phrase lets a rare one be counted in vain, never the reverse; in
+a corpus of many times the table's size more are.
 
 Word ids are 64-bit hashes. All words are also counted as strings; where two words of a language
 share an id, everything is counted again with another hash.
@@ -28,12 +30,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from credence.llm import counters
 from credence.llm.text_kernel import blocks, mixed, text_buffer, word_bounds, word_hashes
 from credence.llm.work import Workspace, small_batches, table
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bits of the maps of frequent words and pairs: 16 MiB each, whatever the corpus.
 MAP_BITS = 1 << 27
+#: Counters of pairs or triples by hash: a byte each leaves a task, a bit each comes back.
+COUNTERS = 1 << 24
 #: Bits in a part of a map, as the engine's bitmap functions have it.
 PART_BITS = 1 << 15
 #: Phrases a trie holds before subtrees leave it, a container before it bursts, and a run's piece.
@@ -61,66 +66,62 @@ def groups(keys: np.ndarray) -> list[tuple[int, int]]:
     return list(zip([0, *edges], [*edges, len(keys)])) if len(keys) else []
 
 
+def joined_rows(rows: list[np.ndarray]) -> np.ndarray:
+    """Sorted rows of words with a count each, equal ones as one."""
+    rows = np.concatenate(rows)
+    rows = rows[np.lexsort(rows.T[-2::-1])]
+    at = np.flatnonzero(np.append(True, (rows[1:, :-1] != rows[:-1, :-1]).any(1)))
+    counts = np.add.reduceat(rows[:, -1], at)
+    rows = rows[at]
+    rows[:, -1] = counts
+    return rows
+
+
 class Node:
     """A place in the trie: a container of what may follow, or nodes by next word once it burst.
 
-    A container takes rows of words with counts as they come, and joins equal ones when it is full.
+    A container takes rows of words and a count as they come, and joins equal ones when it is full.
+    Rows stay whole, so that a subtree leaves without putting phrases together again; at ``depth``
+    so many words of all rows are equal.
     """
 
-    __slots__ = ("words", "counts", "below", "size", "limit")
+    __slots__ = ("held", "below", "size", "limit")
 
     def __init__(self):
-        self.words, self.counts, self.below, self.size = [], [], None, 0
-        self.limit = CONTAINER_ENTRIES
+        self.held, self.below, self.size, self.limit = [], None, 0, CONTAINER_ENTRIES
 
-    def add(self, words: np.ndarray, counts: np.ndarray, depth: int) -> int:
-        """Counts sorted rows of words; returns how many entries more the node holds."""
+    def add(self, rows: np.ndarray, depth: int) -> int:
+        """Takes sorted rows; returns how many entries more the node holds."""
         before = self.size
         if self.below is not None:
-            for i, j in groups(words[:, 0]):
-                self.size += self.child(words[i, 0]).add(words[i:j, 1:], counts[i:j], depth + 1)
+            self.size += self.deal(rows, depth)
             return self.size - before
-        self.words.append(words.copy())
-        self.counts.append(counts.copy())
-        self.size += len(counts)
+        self.held.append(rows.copy())
+        self.size += len(rows)
         if self.size > self.limit:
-            self.pack()
+            self.held = [joined_rows(self.held)]
+            self.size = len(self.held[0])
             self.limit = max(CONTAINER_ENTRIES, 2 * self.size)
-            if self.size > CONTAINER_ENTRIES and depth < TRIE_DEPTH and words.shape[1] > 1:
-                self.burst(depth)
+            if self.size > CONTAINER_ENTRIES and depth < TRIE_DEPTH < rows.shape[1] - 1:
+                (packed,), self.held, self.below = self.held, [], {}  # bursts
+                self.size = self.deal(packed, depth)
         return self.size - before
 
-    def child(self, word) -> Node:
-        node = self.below.get(word)
-        if node is None:
-            node = self.below[word] = Node()
-        return node
-
-    def pack(self) -> None:
-        """Joins equal rows and sorts them."""
-        if len(self.words) > 1:
-            words, counts = np.concatenate(self.words), np.concatenate(self.counts)
-            order = np.lexsort(words.T[::-1])
-            words, counts = words[order], counts[order]
-            at = np.flatnonzero(np.append(True, (words[1:] != words[:-1]).any(1)))
-            self.words, self.counts = [words[at]], [np.add.reduceat(counts, at)]
-            self.size = len(at)
-
-    def burst(self, depth: int) -> None:
-        """Deals the packed container out to one node per next word."""
-        (words,), (counts,) = self.words, self.counts
-        self.words, self.counts, self.below = [], [], {}
-        for i, j in groups(words[:, 0]):
-            self.child(words[i, 0]).add(words[i:j, 1:], counts[i:j], depth + 1)
-
-    def rows(self) -> tuple[np.ndarray, np.ndarray]:
-        """All rows here and below, in order, and their counts."""
-        if self.below is None:
-            self.pack()
-            return self.words[0], self.counts[0]
-        found = [(word, *node.rows()) for word, node in sorted(self.below.items())]
-        return (np.concatenate([np.insert(w, 0, word, 1) for word, w, _ in found]),
-                np.concatenate([c for _, _, c in found]))
+    def deal(self, rows: np.ndarray, depth: int) -> int:
+        """Hands rows to one node per next word."""
+        more = 0
+        for i, j in groups(rows[:, depth]):
+            node = self.below.get(rows[i, depth])
+            if node is None:
+                node = self.below[rows[i, depth]] = Node()
+            more += node.add(rows[i:j], depth + 1)
+        return more
+
+    def rows(self):
+        """All rows here and below."""
+        yield from self.held
+        for node in (self.below or {}).values():
+            yield from node.rows()
 
 
 class HatTrie:
@@ -129,17 +130,17 @@ class HatTrie:
     def __init__(self, entries: int = TRIE_ENTRIES):
         self.entries, self.size, self.trees = entries, 0, {}
 
-    def add(self, lang: str, words: np.ndarray, counts: np.ndarray) -> None:
-        """Counts phrases of one length: rows of words whose equal beginnings are neighbours."""
-        for i, j in groups(words[:, 0]):
-            key = lang, words.shape[1], words[i, 0]
+    def add(self, lang: str, rows: np.ndarray) -> None:
+        """Takes phrases of one length, words and a count a row; equal beginnings are neighbours."""
+        for i, j in groups(rows[:, 0]):
+            key = lang, rows.shape[1], rows[i, 0]
             tree = self.trees.get(key)
             if tree is None:
                 tree = self.trees[key] = Node()
-            self.size += tree.add(words[i:j, 1:], counts[i:j], 1)
+            self.size += tree.add(rows[i:j], 1)
 
     def leaving(self, all_: bool = False):
-        """(lang, words, counts) runs: the largest subtrees, until half the budget is free."""
+        """(lang, rows) runs of the largest subtrees, until half the budget is free."""
         if not all_ and self.size <= self.entries:
             return
         aim, keys, size = self.entries // 2, [], self.size
@@ -153,24 +154,24 @@ class HatTrie:
             for key in same:
                 tree = self.trees.pop(key)
                 self.size -= tree.size
-                words, counts = tree.rows()
-                run.append((np.insert(words, 0, key[2], 1), counts))
-                rows += len(counts)
+                run += tree.rows()
+                rows += tree.size
                 if rows > RUN_ROWS:
-                    yield lang, *map(np.concatenate, zip(*run))
+                    yield lang, joined_rows(run)
                     run, rows = [], 0
             if run:
-                yield lang, *map(np.concatenate, zip(*run))
+                yield lang, joined_rows(run)
 
 
-def run_batch(lang: str, words: np.ndarray, counts: np.ndarray, longest: int) -> pa.RecordBatch:
+def run_batch(lang: str, rows: np.ndarray, longest: int) -> pa.RecordBatch:
     """Columns lang, k, w1 .. and f of a run; words beyond the phrase's end are 0."""
-    n, k = words.shape
+    n, k = len(rows), rows.shape[1] - 1
     none = np.zeros(n, np.int64)
+    columns = np.ascontiguousarray(rows.T).view(np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)),
-         *[pa.array(np.ascontiguousarray(words[:, i]).view(np.int64) if i < k else none)
-           for i in range(longest)], pa.array(counts)],
+         *[pa.array(columns[i] if i < k else none) for i in range(longest)],
+         pa.array(columns[k])],
         ["lang", "k", *word_columns(longest), "f"])
 
 
@@ -255,12 +256,12 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
         "lang", "id", "word").agg(F.sum("f").alias("f"))
 
 
-def bit_of(*words: np.ndarray, code: np.uint64) -> np.ndarray:
-    """Place of a word or pair of words in its map."""
+def bit_of(*words: np.ndarray, code: np.uint64, bits: int = MAP_BITS) -> np.ndarray:
+    """Place of a word or several words in a map of so many bits."""
     h = words[0] ^ code
     for w in words[1:]:
         h = mixed(h * _PAIR + w)
-    return mixed(h) & np.uint64(MAP_BITS - 1)
+    return mixed(h) & np.uint64(bits - 1)
 
 
 def bit_map(places: DataFrame) -> np.ndarray:
@@ -293,15 +294,32 @@ def with_bits(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(F.xxhash64("lang").alias("code"), *columns).mapInArrow(places, "bit long")
 
 
-def frequent_windows(ids: np.ndarray, joined: np.ndarray, sizes: range):
-    """(words, counts) of the distinct windows of each size; ``joined`` words may share a window.
+def frequent_windows(ids: np.ndarray, joined: np.ndarray, code: np.uint64,
+                     gates: dict[int, np.ndarray], longest: int):
+    """(size, first words) of the windows, up to a size, that pass the maps of all their parts.
+
+    ``joined`` words may share a window with the next one; ``gates`` are maps by size.
+    """
+    known = in_map(gates[1], bit_of(ids, code=code))
+    here = np.flatnonzero(joined[:-1] & known[:-1] & known[1:])
+    for k in range(2, longest + 1):
+        if k in gates and len(here):
+            places = bit_of(*(ids[here + i] for i in range(k)), code=code,
+                            bits=8 * len(gates[k]))
+            here = here[in_map(gates[k], places)]
+        yield k, here
+        # The next size takes two such windows that lie one word apart.
+        here = here[:-1][here[1:] == here[:-1] + 1]
+
+
+def distinct_windows(ids: np.ndarray, windows, sizes: range):
+    """Rows of words and a count for the distinct windows of each size.
 
     Windows that begin alike are neighbours.
     """
-    here = np.flatnonzero(joined)
     dense = np.unique(ids, return_inverse=True)[1].astype(np.uint64)
     run = dense.copy()  # number of the window that starts at a word
-    for k in range(2, sizes[-1] + 1):
+    for k, here in windows:
         if not len(here):
             return
         keys = run[here] << np.uint64(32) | dense[here + k - 1]
@@ -309,17 +327,35 @@ def frequent_windows(ids: np.ndarray, joined: np.ndarray, sizes: range):
                                         return_counts=True)
         run[here] = number
         if k in sizes:
-            yield ids[here[at][:, None] + np.arange(k)], many
-        more = np.zeros(len(ids) + 1, bool)
-        more[here] = True
-        more[:-k] &= joined[k - 1:]
-        more[len(ids) - k + 1:] = False
-        here = np.flatnonzero(more)
+            yield np.column_stack([*(ids[here[at] + i] for i in range(k)), many.astype(np.uint64)])
+
+
+def sketched(docs: DataFrame, size: int, seed: int, gates: dict[int, np.ndarray],
+             least: int) -> np.ndarray:
+    """A map of the windows of a size that may occur ``least`` times, from counters by hash."""
+    values, top = letters(2 * seed), max(255, least)
 
+    def tally(batches):
+        counts = np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for _, code, column in by_language(batch):
+                for part, starts, ends, joined in words_in(column):
+                    ids = word_hashes(part, starts, ends, values)
+                    for k, here in frequent_windows(ids, joined, code, gates, size):
+                        if k == size and len(here):
+                            np.add.at(counts, bit_of(*(ids[here + i] for i in range(k)),
+                                                     code=code, bits=COUNTERS), 1)
+        # Beyond what matters counts need not be told apart.
+        yield counters.parts_of(np.minimum(counts, top).astype(np.min_scalar_type(top)))
+
+    return counters.added(texts(docs).mapInArrow(tally, counters.SCHEMA),
+                          np.min_scalar_type(top), COUNTERS,
+                          lambda c: np.packbits(c >= least, bitorder="little"))
 
-def count_phrases(docs: DataFrame, sizes: range, seed: int, words: np.ndarray,
-                  pairs: np.ndarray | None = None, entries: int = TRIE_ENTRIES) -> DataFrame:
-    """Sorted runs of the phrases of these sizes whose words, and pairs of words, may be frequent."""
+
+def count_phrases(docs: DataFrame, sizes: range, seed: int, gates: dict[int, np.ndarray],
+                  entries: int = TRIE_ENTRIES) -> DataFrame:
+    """Sorted runs of the phrases of these sizes whose parts may all be frequent."""
     longest, values = sizes[-1], letters(2 * seed)
 
     def tally(batches):
@@ -328,13 +364,9 @@ def count_phrases(docs: DataFrame, sizes: range, seed: int, words: np.ndarray,
             for lang, code, column in by_language(batch):
                 for part, starts, ends, joined in words_in(column):
                     ids = word_hashes(part, starts, ends, values)
-                    known = in_map(words, bit_of(ids, code=code))
-                    joined[:-1] &= known[:-1] & known[1:]
-                    if pairs is not None:
-                        at = np.flatnonzero(joined)
-                        joined[at] = in_map(pairs, bit_of(ids[at], ids[at + 1], code=code))
-                    for found, many in frequent_windows(ids, joined, sizes):
-                        trie.add(lang, found, many)
+                    windows = frequent_windows(ids, joined, code, gates, longest)
+                    for found in distinct_windows(ids, windows, sizes):
+                        trie.add(lang, found)
                     for run in trie.leaving():
                         yield run_batch(*run, longest)
         for run in trie.leaving(True):
@@ -343,18 +375,27 @@ def count_phrases(docs: DataFrame, sizes: range, seed: int, words: np.ndarray,
     return texts(docs).mapInArrow(tally, run_schema(longest))
 
 
+def gathered(batches, rows: int):
+    """Tables of at least so many rows, but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def merged(runs: DataFrame, longest: int, least: int) -> DataFrame:
     """Phrases that occur ``least`` times, from runs sorted together in each prefix partition."""
-    keys = ["lang", *word_columns(longest), "k"]
+    keys = [*word_columns(longest), "k", "lang"]  # words differ soonest
 
     def merge(batches):
         held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows])
-            rows = rows.combine_chunks()
+        for rows in gathered(batches, RUN_ROWS):
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
             new = np.zeros(rows.num_rows, bool)
             new[0] = True
             for key in keys:
@@ -447,13 +488,15 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
         words, seed = counted_words(docs, space)
         totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
         often = words.filter(F.col("f") >= least)
-        word_map = bit_map(with_bits(often, ["id"]))
-        pairs = space.table(merged(count_phrases(docs, range(2, 3), seed, word_map,
-                                                 entries=entries), 2, least), "pairs")
+        gates = {1: bit_map(with_bits(often, ["id"]))}
+        may = sketched(docs, 2, seed, gates, least)
+        pairs = space.table(merged(count_phrases(docs, range(2, 3), seed, gates | {2: may},
+                                                 entries), 2, least), "pairs")
         phrases = [often.select("lang", F.array("id").alias("ids"), "f"), as_phrases(pairs, 2)]
         if longest > 2:
-            pair_map = bit_map(with_bits(pairs, word_columns(2)))
-            runs = count_phrases(docs, range(3, longest + 1), seed, word_map, pair_map, entries)
+            gates[2] = bit_map(with_bits(pairs, word_columns(2)))
+            gates[3] = sketched(docs, 3, seed, gates, least)
+            runs = count_phrases(docs, range(3, longest + 1), seed, gates, entries)
             phrases.append(as_phrases(merged(runs, longest, least), longest))
         every = phrases[0]
         for more in phrases[1:]:

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from credence.llm import collocations
+from credence.llm import collocations, counters
 from credence.llm.text_kernel import word_hashes as plain_hashes
 
 SCHEMA = ("doc_id long, text string, lang string, source string, f long, k string, ids string, "
@@ -65,8 +65,9 @@ def as_docs(spark, rows):
 @pytest.mark.parametrize("longest,least,top,entries", [
     (5, 5, 2000, 400_000), (5, 5, 7, 400_000), (5, 4, 2000, 40), (2, 3, 50, 400_000)])
 def test_against_brute_force(spark, longest, least, top, entries, monkeypatch):
-    if entries < 1000:  # containers burst and subtrees leave
+    if entries < 1000:  # containers burst and subtrees leave, counters are shared by many phrases
         monkeypatch.setattr(collocations, "CONTAINER_ENTRIES", 3)
+        monkeypatch.setattr(collocations, "COUNTERS", counters.PART)
     rows = edge_texts()
     found = collocations.collocations(as_docs(spark, rows), longest, least, top, entries)
     assert sorted(map(tuple, found.collect())) == sorted(brute(rows, longest, least, top))
@@ -99,10 +100,10 @@ def test_trie_gives_what_it_was_given(monkeypatch):
     trie, expected, given = collocations.HatTrie(300), Counter(), Counter()
 
     def take(runs):
-        for lang, words, counts in runs:
-            rows = list(map(tuple, words.tolist()))
+        for lang, found in runs:
+            rows = list(map(tuple, found[:, :-1].tolist()))
             assert rows == sorted(set(rows))
-            for row, n in zip(rows, counts.tolist()):
+            for row, n in zip(rows, found[:, -1].tolist()):
                 given[lang, row] += n
 
     for _ in range(400):
@@ -111,7 +112,7 @@ def test_trie_gives_what_it_was_given(monkeypatch):
         counts = [rng.randint(1, 9) for _ in rows]
         for row, n in zip(rows, counts):
             expected[lang, row] += n
-        trie.add(lang, np.array(rows, np.uint64), np.array(counts))
+        trie.add(lang, np.column_stack([rows, counts]).astype(np.uint64))
         take(trie.leaving())
         assert trie.size <= 300 and trie.size == sum(t.size for t in trie.trees.values())
     take(trie.leaving(True))
