@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from credence.llm.work import Workspace
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step over (u, v) with u > v.
+def _stars(edges: DataFrame, space: Workspace | None) -> DataFrame:
+    """One star step over (u, v) with u > v: the large star, where a space is given, or the small.
 
     Each node's smallest neighbour is an aggregate, joined back to the edges, so a node with very
-    many neighbours is a skewed join key, which Spark splits, and never one group in memory.
+    many neighbours is a skewed join key and never one group in memory. In the large star, where
+    centres have most edges, the aggregate is written first: then both sides of the join are
+    plain exchanges, and adaptive execution splits such a key.
     """
-    if large:  # repeated edges go with the small star
+    if space is not None:  # repeated edges go with the small star
         sides = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = space.table(sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")),
+                            "least")
         return sides.join(least, "u").filter("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v"))
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
@@ -35,7 +38,7 @@ def components(edges: DataFrame, space: Workspace) -> DataFrame:
 
     seen = mark(now)
     while True:
-        now = space.table(_stars(_stars(now, True), False), "stars")
+        now = space.table(_stars(_stars(now, space), None), "stars")
         after = mark(now)
         if after == seen:
             break
