@@ -6,8 +6,9 @@ enough share a shingle of their prefixes.
 
 *Index skipping.* A list is ordered by set size and, within a size, by the shingle's position. A
 position leaves only so much of a set to come, so of each block of equal sizes only the head can meet
-a set, and blocks beyond the size bound none. How many prefix shingles two sets share then bounds
-their overlap.
+a set, and blocks beyond the size bound none. Each set also has a few words of parities of its
+shingles; where those of two sets differ in more bits than the sets may differ in shingles, the
+pair is skipped as well.
 
 *Answer skipping.* Each set's likeliest partner is verified on full sets first. Sets that are linked
 so share their class, so pairs within a class need no more work. A set that is linked to a leader is
@@ -16,7 +17,8 @@ overlaps of those few shingles.
 
 Lists of up to ``REACH`` + 1 sets give all their pairs. In longer ones each set first meets its
 ``REACH`` neighbours; where several classes are left, sets outside the list's main class then meet
-the whole list, in packed blocks.
+the whole list, in packed blocks. Pairs of sets in one class are never formed there; pairs of
+different classes are, as far as the skips leave them.
 
 Defined results: null, empty and wordless texts have no shingles and are linked with nothing, also
 where another row has their id; a text of fewer words than a shingle is one shingle of all its words;
@@ -26,7 +28,6 @@ a null id is linked with nothing; other rows with equal ids are one node; an emp
 from __future__ import annotations
 
 import hashlib
-import zlib
 from itertools import count as counting
 
 import numpy as np
@@ -34,20 +35,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from credence.llm import counters
 from credence.llm.components import components
-from credence.llm.lsh_forest import shingle_sets
-from credence.llm.text_kernel import binary_array, give_back
+from credence.llm.text_kernel import binary_array, give_back, shingle_sets
 from credence.llm.work import Workspace, small_batches, table
 
 SHINGLE, PERCENT = 3, 90
 #: Counters that order shingles by rarity; a byte each goes to the tasks, whatever the corpus.
 COUNTERS = 1 << 22
-#: Counters in one row on their way.
-PART = 1 << 12
 REACH = 4
 #: Sets in a packed block of a long list, and members of a family verified in one row.
-BLOCK, FAMILY = 1024, 512
-ENTRY = np.dtype([("size", "i4"), ("pos", "i4"), ("node", "i8"), ("class", "i8")])
+BLOCK, FAMILY = 256, 512
+#: Words of 64 parities that a set has.
+PARITIES = 8
+MARKS = [f"m{i}" for i in range(PARITIES)]
+ENTRY = np.dtype([("size", "i4"), ("pos", "i4"), ("node", "i8"), ("class", "i8"),
+                  ("marks", "u8", (PARITIES,))])
 
 
 def needed(x, y, percent: int):
@@ -67,6 +70,16 @@ def node_of(shingles: np.ndarray, seed: int) -> tuple[int, int]:
     return int(a), int(b)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each value of some bits, whether an odd number of the shingles has it.
+
+    Two sets' parities differ in at most as many bits as the sets differ in shingles.
+    """
+    odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % (64 * PARITIES),
+                      minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def ided(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
@@ -77,9 +90,10 @@ def scanned(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
     def scan(batches):
         counts, seen = np.zeros(COUNTERS, np.uint32), set()
         for batch in batches:
-            sizes, nodes, checks = [], [], []
+            sizes, nodes, checks, marks = [], [], [], []
             for s in shingle_sets(batch.column("text"), shingle):
                 node, check = node_of(s, seed) if len(s) else (None, None)
+                marks.append(parities(s))
                 sizes.append(len(s))
                 nodes.append(node)
                 checks.append(check)
@@ -87,42 +101,29 @@ def scanned(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
                     seen.add(node)
                     np.add.at(counts, s & np.uint64(COUNTERS - 1), 1)
             n = batch.num_rows
-            yield rows(batch.column("doc_id"), sizes, nodes, checks, [None] * n, [None] * n)
+            columns = np.ascontiguousarray(np.array(marks, np.int64).reshape(n, PARITIES).T)
+            yield rows(batch.column("doc_id"), sizes, nodes, checks, [None] * n, [None] * n,
+                       *columns)
             give_back()
-        parts = [k for k in range(COUNTERS // PART) if counts[k * PART:(k + 1) * PART].any()]
-        none = [None] * len(parts)
-        yield rows(none, none, none, none, parts, [
-            zlib.compress(counts[k * PART:(k + 1) * PART].tobytes(), 1) for k in parts])
+        packed_counts = counters.parts_of(counts)
+        none = [None] * packed_counts.num_rows
+        yield rows(none, none, none, none, *packed_counts.columns, *[none] * PARITIES)
 
     def rows(*columns):
-        kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+        kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()] + [pa.int64()] * PARITIES
         return pa.RecordBatch.from_arrays(
             [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)],
-            ["doc_id", "n", "node", "other", "part", "counts"])
+            ["doc_id", "n", "node", "other", "part", "counts", *MARKS])
 
     return ided(docs).mapInArrow(
-        scan, "doc_id long, n long, node long, other long, part int, counts binary")
+        scan, "doc_id long, n long, node long, other long, part int, counts binary, "
+        + ", ".join(f"{m} long" for m in MARKS))
 
 
 def rarity(scan: DataFrame) -> np.ndarray:
     """A byte per counter, larger for shingles seen more often."""
-    def add(batches):
-        total = {}
-        for batch in batches:
-            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts")):
-                counts = np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint32)
-                total[part] = total.get(part, 0) + counts.astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()), pa.array(
-                [np.minimum(255, 8 * np.log2(1.0 + c)).astype(np.uint8).tobytes()
-                 for c in total.values()], pa.binary())], ["part", "level"])
-
-    found = scan.filter("part IS NOT NULL").select("part", "counts").repartition(
-        "part").mapInArrow(add, "part int, level binary").toArrow()
-    out = np.zeros(COUNTERS, np.uint8)
-    for part, level in zip(found.column("part").to_pylist(), found.column("level")):
-        out[part * PART:(part + 1) * PART] = np.frombuffer(level.as_buffer(), np.uint8)
-    return out
+    return counters.added(scan.filter("part IS NOT NULL"), np.uint32, COUNTERS, lambda c: np.minimum(
+        255, 8 * np.log2(1.0 + c)).astype(np.uint8))
 
 
 def index_entries(docs: DataFrame, shingle: int, percent: int, seed: int,
@@ -233,16 +234,19 @@ def walked(entries: DataFrame, percent: int, reach: int = REACH) -> DataFrame:
         "token long, size long, pos long, node long")
 
 
-def enough(votes: Column, percent: int) -> Column:
-    """Whether two sets of sizes ``na`` and ``nb`` with so many shingles in both prefixes may link.
+def may_differ_so(percent: int) -> Column:
+    """Whether sets of sizes ``na`` and ``nb`` may link, by the parities of both."""
+    need = F.expr(f"({percent} * (na + nb) + 99 + {percent}) div {100 + percent}")
+    off = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in MARKS), F.lit(0))
+    return off <= F.col("na") + F.col("nb") - 2 * need
 
-    Where one prefix ends first, all other shared shingles lie behind it.
-    """
-    def beyond(n: str) -> Column:  # shingles behind the prefix
-        return F.expr(f"({percent} * {n} + 99) div 100 - 1")
 
-    need = F.expr(f"({percent} * (na + nb) + 99 + {percent}) div {100 + percent}")
-    return votes + F.greatest(beyond("na"), beyond("nb")) >= need
+def marked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs with both sets' parities."""
+    for side in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), *[
+            F.col(m).alias(m + side) for m in MARKS]), side)
+    return pairs
 
 
 def best_of_each(pairs: DataFrame) -> DataFrame:
@@ -323,27 +327,22 @@ def families(links: DataFrame, space: Workspace) -> DataFrame:
                          F.col("only_b").alias("lacks"), F.col("only_a").alias("adds")).unionAll(
         links.select(F.col("b").alias("x"), F.col("a").alias("lead"), F.col("nb").alias("nx"),
                      F.col("only_a").alias("lacks"), F.col("only_b").alias("adds")))
-    degrees = space.table(sides.groupBy(F.col("x").alias("node")).agg(
-        F.count(F.lit(1)).alias("degree")), "degrees")
-    wishes = space.table(
-        sides.select("x", "lead")
-        .join(degrees.select(F.col("node").alias("x"), F.col("degree").alias("own")), "x")
-        .join(degrees.select(F.col("node").alias("lead"), "degree"), "lead")
-        .filter(F.struct("degree", "lead") > F.struct("own", "x"))
-        .groupBy("x").agg(F.max(F.struct("degree", "lead")).alias("best"))
-        .select("x", "best.lead"), "wishes")
-    led = space.table(wishes.join(wishes.select(F.col("x").alias("lead")).distinct(), "lead",
-                                  "left_anti"), "led")
+    degrees = sides.groupBy(F.col("x").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
+    wishes = (sides.select("x", "lead")
+              .join(degrees.select(F.col("node").alias("x"), F.col("degree").alias("own")), "x")
+              .join(degrees.select(F.col("node").alias("lead"), "degree"), "lead")
+              .filter(F.struct("degree", "lead") > F.struct("own", "x"))
+              .groupBy("x").agg(F.max(F.struct("degree", "lead")).alias("best"))
+              .select("x", "best.lead"))
+    wishes = space.table(wishes, "wishes")
+    led = wishes.join(wishes.select(F.col("x").alias("lead")).distinct(), "lead", "left_anti")
     sizes = led.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / FAMILY).alias("parts"))
-    return space.table(sides.join(led, ["x", "lead"]).join(space.table(sizes, "families"), "lead"),
-                       "followers")
+    return space.table(sides.join(led, ["x", "lead"]).join(sizes, "lead"), "followers")
 
 
-def derived(pairs: DataFrame, followers: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def derived(asked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b): each family's overlap with a third set is counted once and adjusted."""
     member = F.struct(F.col("a").alias("x"), F.coalesce("nx", "na").alias("n"), "lacks", "adds")
-    asked = (pairs.select("a", "b", "na").join(followers.withColumnRenamed("x", "a"), "a", "left")
-             .withColumn("lead", F.coalesce("lead", "a")))
     grouped = asked.groupBy("lead", "b", F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))))
     rows = grouped.agg(F.collect_list(member).alias("members")).select("lead", "b", "members")
 
@@ -376,7 +375,7 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     a, b = (classes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
             for c in "ab")
     return pairs.join(a, "a", "left").join(b, "b", "left").filter(
-        F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
+        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
 
 def packed(entries: DataFrame) -> DataFrame:
@@ -385,8 +384,10 @@ def packed(entries: DataFrame) -> DataFrame:
         for batch in batches:
             token = batch.column("token").to_numpy()
             rows = np.empty(len(token), ENTRY)
-            for name in ENTRY.names:
+            for name in ENTRY.names[:4]:
                 rows[name] = batch.column(name).to_numpy()
+            for i, name in enumerate(MARKS):
+                rows["marks"][:, i] = batch.column(name).to_numpy().view(np.uint64)
             cuts = [0]
             ends = np.append(np.flatnonzero(token[1:] != token[:-1]) + 1, len(token))
             for end in ends.tolist() if len(token) else []:
@@ -401,7 +402,7 @@ def packed(entries: DataFrame) -> DataFrame:
 
     keys = ["token", "size", "pos", "node"]
     return entries.repartitionByRange(*keys).sortWithinPartitions(*keys).select(
-        *keys, "class").mapInArrow(pack, "token long, low int, high int, data binary")
+        *keys, "class", *MARKS).mapInArrow(pack, "token long, low int, high int, data binary")
 
 
 def met(asking: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
@@ -424,6 +425,9 @@ def met(asking: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
                         ask = mine[:np.searchsorted(mine["pos"], s - need, "right")]
                         head = theirs[:np.searchsorted(theirs["pos"], t - need, "right")]
                         i, j = np.nonzero(ask["class"][:, None] != head["class"][None, :])
+                        off = np.bitwise_count(ask["marks"][i] ^ head["marks"][j]).sum(1)
+                        near = off <= s + t - 2 * need
+                        i, j = i[near], j[near]
                         a, b = ask["node"][i], head["node"][j]
                         swap = a > b
                         out.append([np.where(swap, *c) for c in
@@ -440,101 +444,113 @@ def met(asking: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
         meet, "a long, b long, na long, nb long")
 
 
-def long_list_pairs(rest: DataFrame, classes: DataFrame, percent: int,
+def long_list_pairs(rest: DataFrame, nodes: DataFrame, classes: DataFrame, percent: int,
                     space: Workspace) -> DataFrame:
     """(a, b, na, nb) of sets in different classes that longer lists hold."""
-    members = rest.join(classes.select("node", F.col("component").alias("class")), "node",
-                        "left").withColumn("class", F.coalesce("class", "node"))
-    members = space.table(members, "members")
-    shares = space.table(members.groupBy("token", "class").agg(F.count(F.lit(1)).alias("k")),
-                         "shares")
-    mixed = space.table(shares.groupBy("token").agg(
-        F.max(F.struct("k", "class")).alias("most"), F.count(F.lit(1)).alias("classes"))
-        .filter("classes > 1").select("token", F.col("most.class").alias("main")), "mixed")
-    lists = space.table(members.join(mixed, "token"), "lists")
-    asking = space.table(packed(lists.filter("class <> main")), "asking")
-    return met(asking, space.table(packed(lists), "blocks"), percent)
+    members = space.table(rest.join(classes.select("node", F.col("component").alias("class")),
+                                    "node", "left").withColumn("class", F.coalesce("class", "node")),
+                          "members")
+    mixed = members.groupBy("token", "class").agg(F.count(F.lit(1)).alias("k")).groupBy(
+        "token").agg(F.max(F.struct("k", "class")).alias("most"),
+                     F.count(F.lit(1)).alias("classes")).filter("classes > 1").select(
+        "token", F.col("most.class").alias("main"))
+    lists = space.table(members.join(space.table(mixed, "mixed"), "token").join(
+        nodes.select("node", *MARKS), "node"), "lists")
+    return met(packed(lists.filter("class <> main")), packed(lists), percent)
+
+
+def sets_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, seed: int, name: str,
+            space: Workspace) -> DataFrame:
+    """The full sets of the nodes in pairs, each from its document of smallest id."""
+    ends = pairs.select(F.explode(F.array(*[c for c in ("a", "b", "lead") if c in pairs.columns]))
+                        .alias("node")).distinct()
+    ids = space.id_list(nodes.select("node", F.col("rep").alias("doc_id")).join(
+        ends, "node", "left_semi").select("doc_id").distinct(), name + "_ids")
+    return space.table(full_sets(docs, ids, shingle, seed), name)
 
 
 def linked(docs: DataFrame, nodes: DataFrame, entries: DataFrame, shingle: int, percent: int,
-           seed: int, space: Workspace) -> DataFrame:
-    """Links (a, b) between nodes that join all classes."""
+           seed: int, space: Workspace, known: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) between nodes that, with the ``known`` ones, join all classes."""
     found = space.table(walked(entries, percent), "walked")
     rest = found.filter("token IS NOT NULL").select("token", "size", "pos", "node")
-    told = space.table(found.filter("a IS NOT NULL").groupBy("a", "b", "na", "nb").agg(
-        F.count(F.lit(1)).alias("votes"), F.max("first").alias("first")), "told")
-    many = space.table(rest.groupBy("node").agg(F.count(F.lit(1)).alias("k")), "in_long_lists")
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        """A pair may share long lists in which it was not told: no more than either set has."""
-        a, b = (many.select(F.col("node").alias(c), F.col("k").alias(f"k{c}")) for c in "ab")
-        hidden = F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0)))
-        return pairs.join(a, "a", "left").join(b, "b", "left").filter(
-            enough(F.coalesce("votes", F.lit(0)) + hidden, percent)).drop("ka", "kb")
-
-    pairs = space.table(likely(told.filter("first")).drop("first"), "pairs")
-
-    listed = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionAll(
-        rest.select("node")).distinct()
-    ids = space.id_list(nodes.join(space.table(listed, "listed"), "node", "left_semi").select(
-        F.col("rep").alias("doc_id")), "set_ids")
-    sets = space.table(full_sets(docs, ids, shingle, seed), "sets")
-
-    tried = space.table(best_of_each(pairs), "tried")
-    links = space.table(verified(tried, sets, percent), "links")
-    followers = families(links, space)
+    told = found.filter("a IS NOT NULL").groupBy("a", "b", "na", "nb").agg(
+        F.count(F.lit(1)).alias("votes"), F.max("first").alias("first")).filter("first")
+    pairs = space.table(marked(told, nodes).filter(may_differ_so(percent)).select(
+        "a", "b", "na", "nb", "votes"), "pairs")
+
+    first = pairs
+    if known is not None:
+        first = apart(pairs, space.table(components(known, space), "known_classes"))
+    tried = space.table(best_of_each(first), "tried")
+    links = space.table(verified(tried, sets_of(tried, docs, nodes, shingle, seed, "sets", space),
+                                 percent), "links")
     ends = links.select("a", "b")
-    classes = space.table(components(ends, space), "classes")
-
-    def settle(pairs: DataFrame, name: str):
-        nonlocal ends, classes
-        more = space.table(derived(pairs, followers, sets, percent), name)
-        if not more.isEmpty():
-            ends = ends.unionAll(more)
-            classes = space.table(components(ends, space), name + "_classes")
-
-    others = space.table(apart(pairs, classes).join(tried, ["a", "b"], "left_anti"), "others")
-    if not others.isEmpty():
-        settle(others, "other_links")
+    classes = space.table(components(ends if known is None else known.unionAll(ends), space),
+                          "classes")
+
+    others = apart(pairs.select("a", "b", "na", "nb"), classes)
     if not rest.isEmpty():
-        lists = space.table(long_list_pairs(rest, classes, percent, space).distinct(), "met")
-        lists = likely(lists.join(told.select("a", "b", "votes"), ["a", "b"], "left"))
-        lists = space.table(lists.join(tried, ["a", "b"], "left_anti").join(
-            others, ["a", "b"], "left_anti"), "lists_apart")
-        if not lists.isEmpty():
-            settle(lists, "list_links")
-    return ends
+        others = others.unionByName(long_list_pairs(rest, nodes, classes, percent, space)).distinct()
+    others = others.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    others = space.table(others.join(families(links, space).withColumnRenamed("x", "a"), "a", "left")
+                         .withColumn("lead", F.coalesce("lead", "a")), "others")
+    if others.isEmpty():
+        return ends
+    more = sets_of(others, docs, nodes, shingle, seed, "more_sets", space)
+    return ends.unionAll(space.table(derived(others, more, percent), "more_links"))
 
 
 def classed(docs: DataFrame, scan: DataFrame, shingle: int, percent: int, seed: int,
             nodes: DataFrame, space: Workspace) -> DataFrame:
     """(node, component_id): the smallest id that is reachable from every node."""
     known = scan.filter("doc_id IS NOT NULL AND node IS NOT NULL").select("doc_id", "node")
-    level = rarity(scan)
-    entries = index_entries(docs, shingle, percent, seed, level)
+    entries = index_entries(docs, shingle, percent, seed, rarity(scan))
     links = linked(docs, nodes, entries, shingle, percent, seed, space)
     twice = space.table(known.groupBy("doc_id").agg(
         F.min("node").alias("a"), F.max("node").alias("hi")).filter("a <> hi").drop("hi"), "twice")
     same = known.join(twice, "doc_id").filter("a <> node").select("a", F.col("node").alias("b"))
     classes = space.table(components(links.unionAll(same), space), "all_classes")
-    placed = space.table(nodes.join(classes, "node", "left").withColumn(
+    placed = space.table(nodes.select("node", "rep").join(classes, "node", "left").withColumn(
         "component", F.coalesce("component", "node")), "placed")
     least = space.table(placed.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
     return placed.join(least, "component").select("node", "component_id")
 
 
+def told_apart(docs: DataFrame, shingle: int, write) -> tuple[DataFrame, DataFrame, int]:
+    """The scan, its sets' names with their smallest ids, and the seed that tells all sets apart."""
+    for seed in counting():
+        scan = write(scanned(docs, shingle, seed), "scan")
+        nodes = write(scan.filter("doc_id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(
+            F.min("doc_id").alias("rep"), F.min("other").alias("lo"), F.max("other").alias("hi"),
+            *[F.min(m).alias(m) for m in MARKS]), "nodes")
+        if nodes.filter("lo <> hi").isEmpty():
+            return scan, nodes.select("node", "rep", *MARKS), seed
+
+
+def links_between(docs: DataFrame, members: DataFrame, shingle: int, percent: int,
+                  space: Workspace) -> DataFrame:
+    """Links (a, b) of ids that join the classes of ``members`` (id, class) as far as they link."""
+    ids = space.id_list(members.select(F.col("id").alias("doc_id")).distinct(), "member_ids")
+    part = ided(docs).join(ids, "doc_id", "left_semi")
+    scan, nodes, seed = told_apart(part, shingle, space.table)
+    placed = space.table(scan.filter("node IS NOT NULL").select("doc_id", "node").join(
+        members.withColumnRenamed("id", "doc_id"), "doc_id").select("node", "class").distinct(),
+        "placed")
+    firsts = space.table(placed.groupBy("class").agg(F.min("node").alias("a")), "class_firsts")
+    known = space.table(placed.join(firsts, "class").filter("a <> node").select(
+        "a", F.col("node").alias("b")), "known")
+    entries = index_entries(part, shingle, percent, seed, rarity(scan))
+    links = linked(part, nodes, entries, shingle, percent, seed, space, known)
+    a, b = (nodes.select(F.col("node").alias(c), F.col("rep").alias(f"r{c}")) for c in "ab")
+    return links.join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+
+
 def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id, one row per document."""
     with Workspace(docs.sparkSession) as space, small_batches(docs.sparkSession):
-        for seed in counting():
-            scan = table(scanned(docs, shingle, seed), "scan")
-            nodes = space.table(scan.filter("doc_id IS NOT NULL AND node IS NOT NULL").groupBy(
-                "node").agg(F.min("doc_id").alias("rep"), F.min("other").alias("lo"),
-                            F.max("other").alias("hi")), "nodes")
-            if nodes.filter("lo <> hi").isEmpty():  # else two sets share a name
-                break
-        roots = table(classed(docs, scan, shingle, percent, seed, nodes.select("node", "rep"),
-                              space), "roots")
+        scan, nodes, seed = told_apart(docs, shingle, table)
+        roots = table(classed(docs, scan, shingle, percent, seed, nodes, space), "roots")
     return (scan.filter("part IS NULL").join(roots, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(),

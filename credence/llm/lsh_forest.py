@@ -8,9 +8,9 @@ all their sets; in larger ones the depth adapts, as the nearest neighbours agree
 
 Candidates are confirmed on full shingle sets. Documents with equal sets are one node. All pairs of
 regions within the neighbours' reach are confirmed; in larger regions, where most links lie inside
-one component, each node's best candidate is. Members of larger regions form crowds. Where a crowd still holds several
-components, its stragglers, those outside the main one, are a query set that is compared with all
-members of the crowd, block by block, over an inverted index of the block; only links come out.
+one component, each node's best candidate is. Members of larger regions that still hold several
+components are joined exactly, by an index of their sets' rare shingles, so only pairs across
+components that can be similar enough are ever formed (``jaccard_join``).
 
 Defined results: null, empty and wordless texts have no shingles and are linked with nothing; a
 text of fewer words than a shingle is one shingle of all its words; a null id is linked with
@@ -26,17 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from credence.llm import jaccard_join
 from credence.llm.components import components
 from credence.llm.text_kernel import (
-    BLANKS,
     binary_array,
-    blocks,
     give_back,
     mixed,
-    shingle_hashes,
-    text_buffer,
-    word_bounds,
-    word_hashes,
+    shingle_sets,
 )
 from credence.llm.work import Workspace, row_of, small_batches, table, unpacked
 
@@ -46,10 +42,7 @@ TREES = 32
 DEPTH = 4
 #: Values of a signature beyond ``DEPTH`` that order a region, 16 bits of each.
 DEEPER = 4
-#: Deeper values that members of a crowd share; they are the next tree's, so trees are not independent.
-CROWD = 1
 REACH = 3
-BLOCK = 256
 HASHES = TREES * DEPTH
 
 _rng = np.random.default_rng(7)
@@ -57,23 +50,6 @@ _TIMES = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.
 _PLUS = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 
 
-def shingle_sets(column: pa.Array, shingle: int):
-    """Sorted distinct shingle hashes of every text of a string column."""
-    data, offsets = text_buffer(column)
-    for a, b in blocks(offsets):
-        part = data[offsets[a]:offsets[b]]
-        starts, ends, first = word_bounds(part, offsets[a:b + 1] - offsets[a], BLANKS)
-        words = word_hashes(part, starts, ends)
-        grams = shingle_hashes(words, shingle)
-        for i, j in zip(first[:-1].tolist(), first[1:].tolist()):
-            if j - i >= shingle:
-                yield np.unique(grams[i:j - shingle + 1])
-            elif j > i:
-                yield shingle_hashes(words[i:j], j - i)
-            else:
-                yield words[:0]
-
-
 def signature(shingles: np.ndarray) -> np.ndarray:
     """Smallest value of each hash function over a set."""
     low = (shingles >> np.uint64(32)).astype(np.uint32)[:, None]
@@ -135,8 +111,9 @@ def neighbours(placed: DataFrame, percent: int, reach: int = REACH) -> DataFrame
     """(a, b, small) for neighbours in a tree's order, and ``dense``, regions beyond the reach.
 
     ``small`` says that the pair's region is within the reach, so that all its pairs are given.
-    Each partition is read in order. At most ``reach + 1`` rows are held, so a region of any size is
-    only walked through.
+    Rows are dealt by ranges of the order, so a region of any size is cut into many tasks; a region
+    at the edge of one counts as beyond the reach. Each partition is read in order and at most
+    ``reach + 1`` rows are held.
     """
     def pairs_of(region, n, ids, size, old):
         a, b, small = [], [], []
@@ -163,6 +140,7 @@ def neighbours(placed: DataFrame, percent: int, reach: int = REACH) -> DataFrame
     def walk(batches):
         held = [np.zeros(0, np.int64)] * 3
         old = 0  # rows held only as neighbours: of a large region, already given
+        edge = True  # the partition's first region may have begun before
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -171,7 +149,7 @@ def neighbours(placed: DataFrame, percent: int, reach: int = REACH) -> DataFrame
             region = rows[0]
             run = np.cumsum(np.append(False, region[1:] != region[:-1]))
             sizes = np.bincount(run)
-            if old:
+            if old or edge:
                 sizes[0] += reach + 1
             size = sizes[run]
             if sizes[-1] > reach + 1:
@@ -183,12 +161,13 @@ def neighbours(placed: DataFrame, percent: int, reach: int = REACH) -> DataFrame
                 done = len(region) - keep
                 if done > old:
                     yield pairs_of(*(x[:done] for x in rows), size[:done], old)
-                old = 0
+                edge, old = edge and not done, 0
             held = [x[len(x) - keep:] for x in rows]
-        if len(held[0]) and not old:
-            yield pairs_of(*held, np.full(len(held[0]), len(held[0])), 0)
+        if len(held[0]) > old:
+            yield pairs_of(*held, np.full(len(held[0]), reach + 2), old)
 
-    return (placed.repartition("region").sortWithinPartitions("region", "deep", "n", "id")
+    keys = ["region", "deep", "n", "id"]
+    return (placed.repartitionByRange(*keys).sortWithinPartitions(*keys)
             .select("region", "n", "id").mapInArrow(
         walk, "a long, b long, small boolean, dense long"))
 
@@ -238,95 +217,27 @@ def best_of_each(pairs: DataFrame) -> DataFrame:
             .select("pick.a", "pick.b").distinct())
 
 
-def crowds(placed: DataFrame, dense: DataFrame, comps: DataFrame, space: Workspace) -> DataFrame:
-    """(crowd, id, c): members of large regions that hold several components.
-
-    Regions are cut at ``CROWD`` deeper values, where two sets at the threshold still meet in some
-    tree with a probability above 0.9999; regions that share members are one crowd.
-    """
-    cut = F.shiftright("deep", 16 * (DEEPER - CROWD))
-    members = placed.join(dense, "region", "left_semi").select(
-        F.xxhash64("region", cut).alias("region"), "id")
-    members = members.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn(
-        "c", F.coalesce("component", "id")).drop("component")
-    mixed_regions = members.groupBy("region").agg(
-        F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("region")
-    members = space.table(members.join(mixed_regions, "region", "left_semi").distinct(),
-                          "crowded")
-    # A region is a node of its own beside its members: its smallest member stands for it.
-    stands = members.groupBy("region").agg(F.min("id").alias("b"))
-    joined = space.table(components(members.join(stands, "region").select(
-        F.col("id").alias("a"), "b"), space), "crowd_components")
-    return space.table(members.select("id", "c").distinct().join(
-        joined.withColumnRenamed("node", "id").withColumnRenamed("component", "crowd"), "id"),
-        "crowds")
-
-
-def crowd_links(members: DataFrame, sets: DataFrame, percent: int, space: Workspace) -> DataFrame:
-    """Links (a, b) of a crowd's stragglers with members of other components, block by block.
-
-    A block gives no more links than join its components.
-    """
-    sized = members.groupBy("crowd", "c").agg(F.count(F.lit(1)).alias("k"))
-    plan = space.table(sized.groupBy("crowd").agg(
-        F.max(F.struct("k", "c")).alias("m"), F.sum("k").alias("n")).select(
-        "crowd", F.col("m.c").alias("main"),
-        F.ceil(F.col("n") / BLOCK).alias("all_blocks"),
-        F.ceil((F.col("n") - F.col("m.k")) / BLOCK).alias("few_blocks")), "crowd_plan")
-    rows = members.join(plan, "crowd").join(sets, "id")
-    few = rows.filter("c <> main").select(
-        "crowd", "id", "c", "shingles", F.lit(True).alias("asks"),
-        F.pmod(F.xxhash64("id"), "few_blocks").alias("x"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1)).alias("y"))
-    all_ = rows.select(
-        "crowd", "id", "c", "shingles", F.lit(False).alias("asks"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("few_blocks") - 1)).alias("x"),
-        F.pmod(F.xxhash64("id"), "all_blocks").alias("y"))
-
-    def meet(rows: pa.Table) -> pa.Table:
-        give_back()
-        asks = rows.column("asks").to_numpy()
-        ids, comp = rows.column("id").to_numpy(), rows.column("c").to_numpy()
-        shingles = [np.frombuffer(v, np.uint64) for v in rows.column("shingles").to_pylist()]
-        size = np.array([len(v) for v in shingles])
-        mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
-        out, parent = [], {c: c for c in comp.tolist()}
-
-        def root(c):
-            while parent[c] != c:
-                parent[c] = c = parent[parent[c]]
-            return c
-
-        if len(mine) and len(theirs):
-            keys = np.concatenate([shingles[i] for i in theirs])
-            owner = np.repeat(np.arange(len(theirs)), size[theirs])
-            order = np.argsort(keys, kind="stable")
-            keys, owner = keys[order], owner[order]
-            for i in mine.tolist():
-                low = np.searchsorted(keys, shingles[i], "left")
-                many = np.searchsorted(keys, shingles[i], "right") - low
-                at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-                both = np.bincount(owner[at], minlength=len(theirs))
-                ok = 100 * both >= percent * (size[i] + size[theirs] - both)
-                near = theirs[ok & (comp[theirs] != comp[i])]
-                for j in near[np.unique(comp[near], return_index=True)[1]].tolist():
-                    x, y = root(comp[i].item()), root(comp[j].item())
-                    if x != y:
-                        parent[x] = y
-                        out.append(sorted((ids[i].item(), ids[j].item())))
-        return pa.table([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    return few.unionByName(all_).groupBy("crowd", "x", "y").applyInArrow(
-        meet, "a long, b long").distinct()
+def crowded(placed: DataFrame, dense: DataFrame, comps: DataFrame, space: Workspace) -> DataFrame:
+    """(id, class): members of large regions that hold several components."""
+    members = space.table(placed.join(dense, "region", "left_semi").select("region", "id").join(
+        comps.select(F.col("node").alias("id"), F.col("component").alias("class")), "id", "left")
+        .withColumn("class", F.coalesce("class", "id")), "in_dense")
+    several = space.table(members.groupBy("region").agg(
+        F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("region"),
+        "several")
+    return space.table(members.join(several, "region", "left_semi").select("id", "class").distinct(),
+                       "crowded")
 
 
 def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent: int,
                     space: Workspace) -> DataFrame:
     """(id, component) of every id linked to a smaller one or to its own representative."""
     known = sketched.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
-    firsts = known.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    same = space.table(known.join(firsts.filter("copies > 1"), "digest").filter(
+    # Written first: then adaptive execution splits the key of a set that very many share.
+    firsts = space.table(known.groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).filter("copies > 1"),
+        "firsts")
+    same = space.table(known.select("digest", "doc_id").join(firsts, "digest").filter(
         "doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(),
         "copies")
     copies = space.id_list(same.select(F.col("b").alias("id")).distinct(), "copy_ids")
@@ -340,17 +251,16 @@ def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent:
 
     best = best_of_each(pairs)
     tried = space.table(best.unionAll(pairs.filter("small").select("a", "b")).distinct(), "tried")
-    crowd = space.table(placed.join(dense, "region", "left_semi").select("id").distinct(),
-                        "dense_ids")
     ids = space.id_list(tried.select(F.col("a").alias("id")).unionAll(
-        tried.select(F.col("b").alias("id"))).unionAll(crowd).distinct(), "set_ids")
+        tried.select(F.col("b").alias("id"))).distinct(), "set_ids")
     sets = space.table(full_sets(docs, ids, shingle), "sets")
 
     links = space.table(confirmed(tried, sets, percent), "links")
     comps = space.table(components(links, space), "components")
-    members = crowds(placed, dense, comps, space)
+    members = crowded(placed, dense, comps, space)
     if not members.isEmpty():
-        more = space.table(crowd_links(members, sets, percent, space), "crowd_links")
+        more = space.table(jaccard_join.links_between(docs, members, shingle, percent, space),
+                           "crowd_links")
         if not more.isEmpty():
             comps = space.table(components(links.unionAll(more), space), "components")
     # Copies hang on their representative; only representatives have links.

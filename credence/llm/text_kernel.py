@@ -105,6 +105,23 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(h)
 
 
+def shingle_sets(column: pa.Array, shingle: int):
+    """Sorted distinct shingle hashes of every text of a string column."""
+    data, offsets = text_buffer(column)
+    for a, b in blocks(offsets):
+        part = data[offsets[a]:offsets[b]]
+        starts, ends, first = word_bounds(part, offsets[a:b + 1] - offsets[a], BLANKS)
+        words = word_hashes(part, starts, ends)
+        grams = shingle_hashes(words, shingle)
+        for i, j in zip(first[:-1].tolist(), first[1:].tolist()):
+            if j - i >= shingle:
+                yield np.unique(grams[i:j - shingle + 1])
+            elif j > i:
+                yield shingle_hashes(words[i:j], j - i)
+            else:
+                yield words[:0]
+
+
 def give_back() -> None:
     """Returns freed memory to the system, so that a worker kept for later tasks stays small."""
     pa.default_memory_pool().release_unused()

@@ -9,7 +9,7 @@ from conftest import SF
 sys.path.insert(0, str(Path(__file__).parent))
 
 import brute  # noqa: E402
-from credence.llm import jaccard_join, queries  # noqa: E402
+from credence.llm import counters, jaccard_join, queries  # noqa: E402
 
 SCHEMA = ("doc_id long, text string, lang string, node long, n string, size string, a string, "
           "token string, part string")
@@ -44,7 +44,7 @@ def test_given_table_against_all_pairs(spark):
 def test_groups_chains_and_templates(spark, monkeypatch):
     """Copies with few edits, many linked through others only; chains whose neighbours overlap by
     exactly nine tenths, or just miss it; long shared passages below the threshold."""
-    for name, value in (("COUNTERS", jaccard_join.PART), ("BLOCK", 16), ("FAMILY", 4)):
+    for name, value in (("COUNTERS", counters.PART), ("BLOCK", 16), ("FAMILY", 4)):
         monkeypatch.setattr(jaccard_join, name, value)
     rng = random.Random(13)
     docs = {}
