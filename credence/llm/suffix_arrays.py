@@ -197,17 +197,63 @@ def spread(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def own_bucket(doc_id, key, buckets: int) -> int:
-    """Bucket of what only passes through to its document."""
-    return hash((int(doc_id), int(key))) % buckets
+def dealt(ids: np.ndarray, keys: np.ndarray, items: list[np.ndarray], dests: int):
+    """(destination, documents, counts, items) of documents' items: a row for each destination.
 
-
-def anchors(texts: DataFrame, buckets: int) -> DataFrame:
+    ``ids`` and ``keys`` name the document of each item; items of a document need not be neighbours.
+    """
+    order = np.lexsort((keys, ids))
+    ids, keys, items = ids[order], keys[order], [x[order] for x in items]
+    begin = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])))
+    many = np.diff(np.append(begin, len(ids)))
+    ids, keys = ids[begin], keys[begin]
+    dest = (mixed(ids.view(np.uint64) * _A ^ keys.view(np.uint64)) % np.uint64(dests)).astype(
+        np.int64)
+    order = np.argsort(dest, kind="stable")
+    edges = np.searchsorted(dest[order], np.arange(dests + 1))
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        own = order[edges[k]:edges[k + 1]]
+        tops = np.cumsum(many[own])
+        at = np.repeat(begin[own] - tops + many[own], many[own]) + np.arange(tops[-1])
+        yield (k, ids[own].tobytes() + keys[own].tobytes(), many[own].astype(np.int64).tobytes(),
+               b"".join(x[at].tobytes() for x in items))
+
+
+DEALT = "dest long, ids binary, refs binary, data binary"
+
+
+def dealt_table(rows) -> pa.Table:
+    rows = list(rows)
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+                    [x.split()[0] for x in DEALT.split(", ")])
+
+
+def collected(rows: pa.Table, kinds: list[type]):
+    """Per document of a destination: id, key and its items, together."""
+    ids, keys, items = [], [], [[] for _ in kinds]
+    for names, many, data in zip(*(blobs(rows, c) for c in ("ids", "refs", "data"))):
+        names, many = np.frombuffer(names, np.int64), np.frombuffer(many, np.int64)
+        total = int(many.sum())
+        ids.append(np.repeat(names[:len(many)], many))
+        keys.append(np.repeat(names[len(many):], many))
+        for k, kind in enumerate(kinds):
+            items[k].append(np.frombuffer(data, kind, total, 8 * k * total))
+    ids, keys = np.concatenate(ids), np.concatenate(keys)
+    order = np.lexsort((keys, ids))
+    ids, keys, items = ids[order], keys[order], [np.concatenate(x)[order] for x in items]
+    begin = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])))
+    for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(ids)]):
+        yield int(ids[i]), int(keys[i]), [x[i:j] for x in items]
+
+
+def anchors(texts: DataFrame, buckets: int, dests: int) -> DataFrame:
     """Entries of the anchors in buckets, and anchors already seen to be shared by document.
 
     Of each distinct hash in a batch one entry goes to its bucket: data = 48-bit hashes (four low
     bytes, then two high ones), refs = the place of a document that has it, or 65535 if two have
-    it. Rows with a doc_id carry hashes that document shares within the batch.
+    it. Rows with a doc_id, which is a destination there, carry hashes that documents share within
+    the batch, packed as by ``dealt``.
     """
     def extract(batches):
         for rows in grouped(batches, BATCH_BYTES):
@@ -241,26 +287,32 @@ def anchors(texts: DataFrame, buckets: int) -> DataFrame:
                             .tobytes(), (part >> np.uint64(32)).astype(np.uint16).tobytes()))
             many = np.repeat(count > 1, count)
             docs, hashes = docs[many], hashes[many]
-            order = np.argsort(docs, kind="stable")
-            docs, hashes = docs[order], hashes[order]
-            begin = np.flatnonzero(np.append(True, docs[1:] != docs[:-1])) if len(docs) else []
-            for a, b in zip(begin, np.append(begin[1:], len(docs)).astype(int).tolist()
-                            if len(docs) else []):
-                d = int(docs[a])
-                out.append((own_bucket(ids[d], keys[d], buckets), int(ids[d]), int(keys[d]), None,
-                            None, hashes[a:b].tobytes(), None))
+            if len(docs):
+                out += [(k % buckets, k, None, names, counts, items, None)
+                        for k, names, counts, items in dealt(ids[docs], keys[docs], [hashes],
+                                                             dests)]
             yield packed(out)
             give_back()
 
     return texts.mapInArrow(extract, PACKED)
 
 
-def shared_anchors(entries: DataFrame) -> DataFrame:
-    """(doc_id, key, data): anchors of the document that occur in another one too."""
+def passing(rows: pa.Table) -> pa.Table:
+    """What a bucket only hands on to a destination."""
+    rows = rows.filter(rows.column("doc_id").is_valid())
+    return rows.select(["doc_id", "ids", "refs", "data"]).rename_columns(
+        [x.split()[0] for x in DEALT.split(", ")])
+
+
+def shared_anchors(entries: DataFrame, dests: int) -> DataFrame:
+    """(doc_id, key, shared): anchors of the document that occur in another one too.
+
+    A bucket answers in one row for each destination, not each document; there they meet.
+    """
     def meet(rows: pa.Table) -> pa.Table:
         give_back()
         rows = rows.combine_chunks()
-        passed = rows.filter(rows.column("doc_id").is_valid()).select(["doc_id", "key", "data"])
+        passed = passing(rows)
         rows = rows.filter(rows.column("doc_id").is_null())
         hashes, ids, keys, mine = [], [], [], []
         for header, place, low, high in zip(*(blobs(rows, c) for c in
@@ -286,19 +338,18 @@ def shared_anchors(entries: DataFrame) -> DataFrame:
         same[1:-1] = hashes[1:] == hashes[:-1]
         shared = (same[1:] | same[:-1]) & mine
         hashes, ids, keys = hashes[shared], ids[shared], keys[shared]
-        order = np.lexsort((keys, ids))
-        hashes, ids, keys = hashes[order], ids[order], keys[order]
         if not len(ids):
             return passed
-        new = np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]))
-        begin = np.flatnonzero(new)
-        ends = np.append(begin, len(ids)) * 8
-        data = pa.Array.from_buffers(pa.binary(), len(begin), [
-            None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(hashes)])
-        return pa.concat_tables([passed, pa.table(
-            [pa.array(ids[begin]), pa.array(keys[begin]), data], passed.schema)])
+        return pa.concat_tables([passed, dealt_table(dealt(ids, keys, [hashes], dests))])
+
+    def gather(rows: pa.Table) -> pa.Table:
+        give_back()
+        found = [(i, k, np.unique(h).tobytes()) for i, k, (h,) in collected(rows, [np.uint64])]
+        return pa.table([pa.array([f[c] for f in found], kind) for c, kind in enumerate(
+            (pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "key", "shared"])
 
-    return entries.groupBy("bucket").applyInArrow(meet, "doc_id long, key long, data binary")
+    return entries.groupBy("bucket").applyInArrow(meet, DEALT).groupBy("dest").applyInArrow(
+        gather, "doc_id long, key long, shared binary")
 
 
 def string_marks(data: np.ndarray, a: np.ndarray, b: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -340,19 +391,18 @@ def hot_anchors(texts: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in hot.select("h").collect()], np.uint64))
 
 
-def strings(texts: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
+def strings(texts: DataFrame, buckets: int, hot: np.ndarray, dests: int) -> DataFrame:
     """The runs whose anchor is shared, in shards, and hits found within a batch.
 
     refs = document places, data = the bytes, compressed, more = offsets in the documents, lengths and anchor
-    offsets. Rows with a doc_id carry hits: data = begins and ends.
+    offsets. Rows with a doc_id, a destination, carry hits: data = begins and ends.
     """
     def cut(batches):
         pack = zstandard.ZstdCompressor(level=1)
         for rows in grouped(batches, BATCH_BYTES):
             data, offsets = text_buffer(rows.column("text"))
             ids, keys = id_column(rows, "doc_id"), id_column(rows, "key")
-            wanted = [np.unique(np.frombuffer(b"".join(x), np.uint64))
-                      for x in rows.column("shared").to_pylist()]
+            wanted = [np.frombuffer(x, np.uint64) for x in blobs(rows, "shared")]
             parts = []
             for docs, a, b, anchor, h in text_runs(data, offsets):
                 if not len(docs):
@@ -370,7 +420,7 @@ def strings(texts: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
             docs, a, b, anchor, h = (np.concatenate(x) for x in zip(*parts))
             if not len(docs):
                 continue
-            stay, out = [], []
+            stay, early, out = [], [], []
 
             def collapse(docs, a, b, off, h, mark):
                 """Keeps equal strings' smallest document; the others' are hits."""
@@ -380,15 +430,8 @@ def strings(texts: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
                     x[order] for x in (docs, a, b, off, h, mark, owner))
                 new = np.append(True, (mark[1:] != mark[:-1]) | (h[1:] != h[:-1]))
                 keep = owner == owner[new][np.cumsum(new) - 1]
-                d, s, e = docs[~keep], a[~keep], b[~keep]
-                turn = np.argsort(d, kind="stable")
-                d, s, e = d[turn], s[turn] - offsets[d[turn]], e[turn] - offsets[d[turn]]
-                edges = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else []
-                for i, j in zip(edges, np.append(edges[1:], len(d)).astype(int).tolist()
-                                if len(d) else []):
-                    own = int(ids[d[i]]), int(keys[d[i]])
-                    out.append((own_bucket(*own, buckets), *own, None, None, np.concatenate(
-                        (s[i:j], e[i:j])).astype(np.int64).tobytes(), None))
+                d = docs[~keep]
+                early.append((ids[d], keys[d], a[~keep] - offsets[d], b[~keep] - offsets[d]))
                 return [x[keep] for x in (docs, a, b, off, h)]
 
             # Equal strings: same anchor hash, length, anchor offset and bytes' fingerprint.
@@ -419,6 +462,10 @@ def strings(texts: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
                             (a[i:j] - offsets[docs[i:j]]).astype(np.int64).tobytes()
                             + size.astype(np.uint8).tobytes()
                             + off[i:j].astype(np.uint8).tobytes()))
+            own, key, s, e = (np.concatenate(x) for x in zip(*early))
+            if len(own):
+                out += [(k % buckets, k, None, names, counts, items, None)
+                        for k, names, counts, items in dealt(own, key, [s, e], dests)]
             yield packed(out)
             give_back()
 
@@ -540,14 +587,15 @@ def smallest_owner(data: np.ndarray, sizes: np.ndarray, owner: np.ndarray, parts
         yield f[0], f[2][f[1]]
 
 
-def hit_runs(shards: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """(doc_id, key, data): begins and ends of byte runs found in smaller documents."""
-    names = ["doc_id", "key", "data"]
+def hit_runs(shards: DataFrame, dests: int, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(doc_id, key, runs): begins and ends of a document's byte runs found in smaller ones.
 
+    A bucket answers in one row for each destination; there a document's runs are united.
+    """
     def judge(rows: pa.Table) -> pa.Table:
         give_back()
         rows = rows.combine_chunks()
-        passed = rows.filter(rows.column("doc_id").is_valid()).select(names)
+        passed = passing(rows)
         rows = rows.filter(rows.column("doc_id").is_null())
         ids, keys, body, froms, sizes, offs = [], [], [], [], [], []
         unpack = zstandard.ZstdDecompressor()
@@ -605,22 +653,21 @@ def hit_runs(shards: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         ids, keys, s, e = (np.concatenate(x) for x in out)
         if not len(ids):
             return passed
-        order = np.lexsort((keys, ids))
-        ids, keys, s, e = (x[order] for x in (ids, keys, s, e))
-        edge = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])))
-        tops = np.append(edge[1:], len(ids))
-        data = [np.concatenate((s[x:y], e[x:y])).tobytes() for x, y in zip(edge, tops)]
-        return pa.concat_tables([passed, pa.table(
-            [pa.array(ids[edge]), pa.array(keys[edge]), pa.array(data, pa.binary())],
-            passed.schema)])
+        return pa.concat_tables([passed, dealt_table(dealt(ids, keys, [s, e], dests))])
+
+    def unite(rows: pa.Table) -> pa.Table:
+        give_back()
+        found = [(i, k, np.concatenate(merged_runs(*se)).tobytes())
+                 for i, k, se in collected(rows, [np.int64, np.int64])]
+        return pa.table([pa.array([f[c] for f in found], kind) for c, kind in enumerate(
+            (pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "key", "runs"])
 
-    return shards.groupBy("bucket").applyInArrow(judge, "doc_id long, key long, data binary")
+    return shards.groupBy("bucket").applyInArrow(judge, DEALT).groupBy("dest").applyInArrow(
+        unite, "doc_id long, key long, runs binary")
 
 
-def merged_runs(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def merged_runs(s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begins and ends of the union of byte runs."""
-    pairs = [np.frombuffer(x, np.int64).reshape(2, -1) for x in blobs]
-    s, e = np.concatenate(pairs, 1)
     order = np.argsort(s, kind="stable")
     s, e = s[order], np.maximum.accumulate(e[order])
     new = np.append(True, s[1:] > e[:-1])
@@ -632,10 +679,10 @@ def cut_texts(texts: DataFrame) -> DataFrame:
     def cut(batches):
         for batch in batches:
             removed, spans, kept, sums = [], [], [], []
-            for text, blobs in zip(batch.column("text").to_pylist(),
+            for text, pairs in zip(batch.column("text").to_pylist(),
                                    batch.column("runs").to_pylist()):
                 raw, at, left = (text or "").encode(), 0, []
-                s, e = merged_runs(blobs)
+                s, e = np.frombuffer(pairs, np.int64).reshape(2, -1)
                 for x, y in zip(s.tolist(), e.tolist()):
                     left.append(raw[at:x])
                     at = y
@@ -668,13 +715,11 @@ def touched_texts(docs: DataFrame, digests: DataFrame, space: Workspace,
     buckets = max(24, -(-total // BUCKET_BYTES))
     meetings = max(24, -(-total // MEETING_BYTES))
     long = texts.filter(F.octet_length("text") >= LENGTH)
-    found = shared_anchors(anchors(long, meetings)).groupBy("doc_id", "key").agg(
-        F.collect_list("data").alias("shared"))
+    found = shared_anchors(anchors(long, meetings, meetings), meetings)
     found = found.join(digests.filter("doc_id = first").select("doc_id", "key").distinct(),
                        ["doc_id", "key"], "left_semi")
-    shards = strings(long.join(found, ["doc_id", "key"]), buckets, hot_anchors(long))
-    runs_of = space.table(hit_runs(shards, part_bytes).groupBy("doc_id", "key").agg(
-        F.collect_list("data").alias("runs")), "hit_runs")
+    shards = strings(long.join(found, ["doc_id", "key"]), buckets, hot_anchors(long), meetings)
+    runs_of = space.table(hit_runs(shards, meetings, part_bytes), "hit_runs")
     touched = space.id_list(runs_of.select("doc_id", "key"), "touched")
     return cut_texts(texts.join(touched, ["doc_id", "key"], "left_semi")
                      .join(runs_of, ["doc_id", "key"]))
@@ -686,8 +731,10 @@ def text_digests(docs: DataFrame) -> DataFrame:
                                     .alias("n_bytes"),
                                     F.sha2(F.col("text").cast("binary"), 256).alias("sha")),
                  "digests")
+    # Written before the join: then both sides are plain exchanges, and adaptive execution splits
+    # the key of a text that very many documents share.
     firsts = rows.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    many = firsts.filter("n > 1").select("sha", "first")
+    many = table(firsts.filter("n > 1").select("sha", "first"), "shared_texts")
     return rows.join(many, "sha", "left").withColumn("first", F.coalesce("first", "doc_id"))
 
 
