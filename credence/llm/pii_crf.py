@@ -2,10 +2,11 @@
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers. The field is trained on a
 small labelled table: windows of words around the patterns' finds, and around other words with
-digits, in a bounded sample of documents. It tags words by their shape and their neighbours'
-shapes, so it also finds what the patterns miss (a phone number without its plus, a shorter card
-number). What it adds must still read as its kind (``plausible``) and may not touch a pattern's
-find.
+digits, in a bounded sample of documents. Beside each window stand others in which its finds are
+written as people write them and the patterns miss them (``variants``): phone numbers without a
+plus, with dots, or right before another number, shorter card numbers. The field tags words by their
+shape and their neighbours' shapes, so it finds such spans too. What it adds must still read as its
+kind (``plausible``); a tagged stretch is cut where a pattern's find begins or ends.
 
 Words without a digit and without ``@`` are outside by definition of the model, so the best path
 falls apart into short runs of other words; runs of equal length are decoded together by Viterbi.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ KINDS = ("email", "ip", "card", "phone")
 #: Documents looked at for labelled windows, windows of each and words on each side of a find.
 SAMPLE_DOCUMENTS = 2000
 WINDOWS_EACH = 6
+VARIANTS_EACH = 2
 AROUND = 4
 STEPS = 150
 RATE = 0.15
@@ -260,15 +263,55 @@ def plausible(kind: str, found: str) -> bool:
     return 7 <= len(digits) <= 15 and re.search(r"[^0-9+().\x20/-]", found) is None
 
 
-def labelled_windows(text: str) -> list[tuple[list[str], list[str]]]:
-    """Windows of words with tags, around the patterns' finds and other marked words.
+def with_check_digit(digits: str) -> str:
+    """The digits with a last one that makes them pass Luhn."""
+    return next(digits + d for d in "0123456789" if luhn(digits + d))
+
+
+def variants(words: list[str], tags: list[str], draw: int):
+    """The window with its phone and card numbers written otherwise, by the drawn number.
 
-    A phone number of several words is also shown without its first one, as people write it.
+    None of these is a find of the patterns as a whole.
     """
+    finds, i = [], 0
+    while i < len(words):
+        j = i + 1
+        if tags[i][:2] == "B-":
+            while j < len(words) and tags[j][:2] == "I-":
+                j += 1
+            finds.append((tags[i][2:], i, j))
+        i = j
+    for kind, i, j in finds:
+        digits = re.sub("[^0-9]", "", "".join(words[i:j]))
+        own = digits[-10:] if len(digits) >= 10 else digits.rjust(10, "2")
+        a, b, c = own[:3], own[3:6], own[6:]
+        after, after_tags = [], []
+        if kind == "phone":
+            written = ([f"({a})", f"{b}-{c}"], [f"{a}.{b}.{c}"], [f"{a}-{b}-{c}"],
+                       [a, b, c], [f"({a}){b}-{c}"], words[i:j], words[i:j], ["+1", f"({a})",
+                       f"{b}-{c}"])[draw % 8]
+            if draw % 8 > 4:  # a number follows, which the pattern takes for more of this one
+                ip = draw % 8 < 7
+                after = [f"{a}.{int(b) % 256}.{draw % 200}.{c[:2]}" if ip and int(a) < 256 else
+                         f"{11 + draw % 240}.{int(b) % 256}.{draw % 200}.{int(c) % 256}"
+                         if ip else own[:5]]
+                after_tags = ["B-ip" if ip else "O"]
+        elif kind == "card":
+            short = with_check_digit(digits[:12 + draw % 3])
+            written = ([short], [f"{short[:4]}-{short[4:10]}-{short[10:]}"],
+                       [short[:4], short[4:10], short[10:]])[draw // 3 % 3]
+        else:
+            continue
+        mine = ["B-" + kind] + ["I-" + kind] * (len(written) - 1)
+        yield (words[:i] + list(written) + after + words[j:],
+               tags[:i] + mine + after_tags + tags[j:])
+
+
+def labelled_windows(text: str) -> list[tuple[list[str], list[str]]]:
+    """Windows of words with tags, around the patterns' finds and other marked words, and variants."""
     spans = [m.span() for m in _WORD.finditer(text)]
     tags = ["O"] * len(spans)
     base, w = sorted((s, e, k) for k, s, e in base_spans(text)), 0
-    cut = []
     for s, e, kind in base:
         while w < len(spans) and spans[w][1] <= s:
             w += 1
@@ -277,8 +320,6 @@ def labelled_windows(text: str) -> list[tuple[list[str], list[str]]]:
             if tags[v] == "O":
                 tags[v] = ("B-" if v == first else "I-") + kind
             v += 1
-        if kind == "phone" and v - first > 1:
-            cut.append(first)
     words = [text[s:e] for s, e in spans]
     out, after = [], 0
     for i, word in enumerate(words):
@@ -287,16 +328,15 @@ def labelled_windows(text: str) -> list[tuple[list[str], list[str]]]:
             while a and tags[a].startswith("I-"):
                 a -= 1
             out.append((words[a:b], tags[a:b]))
-            short = [k for k in cut if a <= k < b - 1 and tags[k + 1] == "I-phone"]
-            if short:
-                k = short[0] - a
-                t = [*tags[a:b]]
-                t[k + 1] = "B-phone"
-                out.append((words[a:b][:k] + words[a:b][k + 1:], t[:k] + t[k + 1:]))
             after = b
             if len(out) >= WINDOWS_EACH:
                 break
-    return out
+    more = []
+    for own, gold in out:
+        draw = zlib.crc32(" ".join(own).encode())
+        for k in range(VARIANTS_EACH):
+            more += variants(own, gold, draw // 8 ** k)
+    return out + more
 
 
 def labelled_table(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
@@ -335,17 +375,29 @@ def added_spans(model: ChainField, text: str, base: list, runs: list, tags: list
             kind, j = TAGS[best[i]][2:], i + 1
             while j < len(words) and TAGS[best[j]] == "I-" + kind:
                 j += 1
-            s, e = words[i][0], words[j - 1][1]
+            begin, end = words[i][0], words[j - 1][1]
             i = j
-            while s < e and not (text[s].isalnum() or text[s] in "+("):
-                s += 1
-            while e > s and not text[e - 1].isalnum():
-                e -= 1
-            if not any(a < e and s < b for a, b in taken) and plausible(kind, text[s:e]):
-                out.append((kind, s, e))
+            for s, e in beside_spans(begin, end, taken):
+                while s < e and not (text[s].isalnum() or text[s] in "+("):
+                    s += 1
+                while e > s and not text[e - 1].isalnum():
+                    e -= 1
+                if plausible(kind, text[s:e]):
+                    out.append((kind, s, e))
     return out
 
 
+def beside_spans(begin: int, end: int, taken: list[tuple[int, int]]):
+    """The parts of a stretch that no span covers."""
+    for a, b in taken:
+        if a < end and begin < b:
+            if begin < a:
+                yield begin, a
+            begin = max(begin, b)
+    if begin < end:
+        yield begin, end
+
+
 def search(model: ChainField, texts: list[str]) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text, in the order of KINDS, then start."""
     place = {k: i for i, k in enumerate(KINDS)}
