@@ -5,7 +5,8 @@ is boilerplate there and is dropped from the host's pages.
 
 Defined results: lines are compared without blanks at their ends; blank lines are neither counted
 nor dropped; a null host is a host of its own; null text is the empty text; repeated rows are pages
-of their own; an empty table stays empty. Hosts on which no line reaches ``MIN_PAGES`` lose nothing.
+of their own; an empty table stays empty. A line that stands on one page only is never dropped, so
+that hosts of few pages keep the text of their own.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from credence.llm.work import key_of, let, table, text_of
 
 MAX_RATIO = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2
 _ENDS = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 
 
