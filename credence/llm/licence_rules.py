@@ -195,7 +195,7 @@ NAME_RULES = tuple((name, (kind + name.lower(),)) for name in NAMES
 #: Rules that do not hold where the sequence goes on like this: two clauses of three.
 NOT_BEFORE = {("bsd-source", "bsd-binary"): "bsd-(name|advert)"}
 #: Every known sentence holds one of these, so texts without any need no cutting.
-HINT = r"(?i)licen[sc]e|released under|permission|software|redistribution|creative|\bcc"
+HINT = r"(?i)licen[sc]e|released|permission|software|redistribution|creative|\bcc|mozilla"
 _BLANK = r"[\x20\x09-\x0D]"
 
 
