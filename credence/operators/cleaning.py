@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from credence import fixed_values as fixed
 from credence.functions import parsing
 from credence.functions.counting import count_where
+from credence.sources.staging import WorkTables
 
+#: Fingerprints of repeated rows that are broadcast, 16 bytes each.
+BROADCAST_FINGERPRINTS = 1_000_000
 NUMBER_COLUMNS = [
     "loan_amnt", "annual_inc", "dti", "fico_range_low", "fico_range_high", "delinq_2yrs",
     "open_acc", "pub_rec", "inq_last_6mths", "mort_acc", "total_acc",
@@ -71,12 +74,40 @@ def scoped(raw: DataFrame, steps: int = len(FUNNEL)) -> DataFrame:
     return raw
 
 
+def typed(columns: list[str]) -> dict[str, Column]:
+    """Raw columns, numbers as numbers."""
+    return {c: parsing.number(F.col(c)) if c in NUMBER_COLUMNS else F.col(f"`{c}`")
+            for c in columns}
+
+
 def deduped(rows: DataFrame) -> DataFrame:
     """Distinct rows, number columns typed; nulls count as equal."""
     return rows.withColumns(
         {name: parsing.number(F.col(name)) for name in NUMBER_COLUMNS}).dropDuplicates()
 
 
+def without_copies(rows: DataFrame, space: WorkTables,
+                   limit: int = BROADCAST_FINGERPRINTS) -> DataFrame:
+    """Distinct rows of a stored table; only rows whose fingerprint repeats are shuffled whole.
+
+    Fingerprints of two hashes are grouped first. Rows that share one are compared in full, so
+    equal fingerprints of different rows do no harm. More than ``limit`` repeated fingerprints are
+    not broadcast; then all rows are shuffled once.
+    """
+    plain = [F.when(F.col(f"`{c}`") == 0, F.lit(0.0)).otherwise(F.col(f"`{c}`"))
+             if kind == "double" else F.col(f"`{c}`") for c, kind in rows.dtypes]
+    marks = ["_mark", "_other_mark"]
+    marked = rows.withColumns({marks[0]: F.xxhash64(*plain),
+                               marks[1]: F.xxhash64(F.lit(1), *reversed(plain))})
+    repeated = space.table(marked.select(*marks).groupBy(*marks).agg(
+        F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies"), "repeated")
+    if repeated.count() > limit:
+        return rows.dropDuplicates()
+    once, more = (marked.join(F.broadcast(repeated), marks, how).drop(*marks)
+                  for how in ("left_anti", "left_semi"))
+    return once.unionByName(more.dropDuplicates())
+
+
 def with_derived(rows: DataFrame) -> DataFrame:
     """Parsed columns, label, FICO average, issue date and issue year."""
     issued = F.col("issue_d")
@@ -84,7 +115,8 @@ def with_derived(rows: DataFrame) -> DataFrame:
         **derived_columns(),
         "fico_avg": (F.col("fico_range_low") + F.col("fico_range_high")) / 2,
         "issue_date": parsing.month_date(issued),
-        "issue_year": parsing.year_of(parsing.month_number(issued)),    })
+        "issue_year": parsing.year_of(parsing.month_number(issued)),
+    })
 
 
 def clean_loans(raw: DataFrame) -> DataFrame:
@@ -97,13 +129,34 @@ def clean_loans(raw: DataFrame) -> DataFrame:
     return with_derived(deduped(scoped(raw)))
 
 
-def filter_counts(raw: DataFrame) -> DataFrame:
-    """One row: all rows, then rows left after each filter. One pass, no wide shuffle."""
-    passed, counts = F.lit(True), [F.count(F.lit(1)).alias("raw")]
-    for name, condition in FUNNEL:
-        passed = passed & condition()
-        counts.append(count_where(passed).alias(name))
-    return raw.agg(*counts)
+def level_of() -> Column:
+    """How many of the filters, taken in order, a raw row passes."""
+    passed, level = F.lit(True), F.lit(0)
+    for _, condition in FUNNEL:
+        passed = passed & F.coalesce(condition(), F.lit(False))
+        level = level + passed.cast("int")
+    return level
+
+
+def leveled(raw: DataFrame) -> DataFrame:
+    """``_level`` and, of rows that pass every filter, the typed columns.
+
+    Written once, it gives both the funnel's counts and the rows to clean.
+    """
+    complete = F.col("_level") == len(FUNNEL)
+    return raw.withColumn("_level", level_of()).select(
+        "_level", *[F.when(complete, value).alias(c) for c, value in typed(raw.columns).items()])
+
+
+def passed(rows: DataFrame) -> DataFrame:
+    """The rows of a leveled table that pass every filter."""
+    return rows.filter(F.col("_level") == len(FUNNEL)).drop("_level")
+
+
+def filter_counts(rows: DataFrame) -> DataFrame:
+    """One row over a leveled table: all rows, then rows left after each filter."""
+    return rows.agg(F.count(F.lit(1)).alias("raw"), *[
+        count_where(F.col("_level") > i).alias(name) for i, (name, _) in enumerate(FUNNEL)])
 
 
 def funnel(raw: DataFrame) -> DataFrame:
@@ -112,15 +165,9 @@ def funnel(raw: DataFrame) -> DataFrame:
     A row that fails is reduced to the number of filters it passed, so map-side aggregation leaves
     a handful of such rows; only rows that pass everything travel whole to the dedupe.
     """
-    columns = [parsing.number(F.col(c)).alias(c) if c in NUMBER_COLUMNS else F.col(c)
-               for c in raw.columns]
-    passed, level = F.lit(True), F.lit(0)
-    for _, condition in FUNNEL:
-        passed = passed & F.coalesce(condition(), F.lit(False))
-        level = level + passed.cast("int")
-    leveled = raw.withColumn("level", level)
+    columns = [value.alias(c) for c, value in typed(raw.columns).items()]
     complete = F.col("level") == len(FUNNEL)
-    copies = leveled.groupBy(
+    copies = raw.withColumn("level", level_of()).groupBy(
         "level", F.when(complete, F.struct(*columns)).alias("record")).agg(
         F.count(F.lit(1)).alias("copies"))
     sums = copies.agg(

@@ -342,6 +342,7 @@ ORACLES: dict[str, str] = {
         CASE WHEN emp_length <> 'n/a' THEN emp_length END AS emp_length, home_ownership, purpose,
         revol_util, last_pymnt_d, annual_inc, dti FROM raw""",
     "ingest_funnel": _funnel(),
+    "ingest_log": _funnel(),
     "demo_sample": f"""WITH {CLEAN} SELECT loan_id, grade, issue_d, fico_avg, defaulted
         FROM clean ORDER BY {_DRAW}, loan_id LIMIT {SAMPLE}""",
     "loans_per_issue_year": f"""WITH {CLEAN} SELECT issue_year, count(*) AS loans FROM clean

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,9 @@ from credence.operators import sensitivity as sens
 from credence.operators.sampling import sample_rows
 from credence.plans import evaluation as ev
 from credence.plans import loans as data
+from credence.plans.ingestion import run_ingestion
 from credence.sources.loan_store import load_loans, write_loans
+from credence.sources.run_log import read_log
 from credence.sources.staging import input_fingerprint, path_exists, stage_path, staged
 from credence.streaming import drift_stream as live
 
@@ -63,6 +66,19 @@ def ingest_funnel(spark, sf_dir):
         "step_no", F.col("step_no").cast("long"))
 
 
+@query
+def ingest_log(spark, sf_dir):
+    """What the ingestion job logs of a run over the CSV export, step by step."""
+    data.raw_csv(spark, sf_dir)
+    mark, run = data.mark(spark, sf_dir), uuid.uuid4().hex
+    source, clean, log = (stage_path(spark, name, mark)
+                          for name in ("raw_csv", f"ingested_{run}", f"ingest_log_{run}"))
+    run_ingestion(spark, source, clean, log)
+    names = F.array(*[F.lit(name) for name, _ in cleaning.FUNNEL], F.lit("dedupe"))
+    steps = read_log(spark, log).withColumn("step_no", F.array_position(names, F.col("step")))
+    return steps.filter("step_no > 0").select("step_no", "step", "rows_in", "rows_out")
+
+
 @query
 def demo_sample(spark, sf_dir):
     return sample_rows(data.clean(spark, sf_dir), SAMPLE).select(

@@ -145,6 +145,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--log", help="run log folder (ingest)")
     parser.add_argument("--out", help="folder for result tables, or the sample's path")
     parser.add_argument("--model", help="folder to load the model from, or to store it in")
+    parser.add_argument("--multiline", action="store_true",
+                        help="quoted cells of the export hold line breaks (ingest)")
     parser.add_argument("--rows", type=int, default=fixed.SAMPLE_ROWS, help="sample size")
     given = parser.parse_args(arguments)
     needed = ["raw", "log"] if given.report == "ingest" else ["out"]
@@ -153,7 +155,7 @@ def main(arguments: list[str] | None = None) -> None:
         parser.error(f"{given.report} needs {' and '.join(absent)}")
     spark = SparkSession.builder.appName(f"credence {given.report}").getOrCreate()
     if given.report == "ingest":
-        run_ingestion(spark, given.raw, given.clean, given.log)
+        run_ingestion(spark, given.raw, given.clean, given.log, given.multiline)
     elif given.report == "sample":
         write_demo_sample(spark, given.clean, given.out, given.rows)
     else:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -29,6 +32,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]):
+    """Session settings for the jobs run inside."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def work_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse.
 

@@ -7,6 +7,7 @@ executors because nothing but files holds it.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,38 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(status.getPath()) for status in files.globStatus(handle) or [])
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; none where it does not exist."""
+    files, handle = hadoop_path(spark, path)
+    if not files.exists(handle):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(handle) if s.isDirectory())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    files, handle = hadoop_path(spark, path)
+    files.delete(handle, True)
+
+
+class WorkTables:
+    """Tables in a folder of their own that goes when the block ends; nothing lazy may outlive it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{work_folder(spark)}/credence-work/{uuid.uuid4().hex}"
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> WorkTables:
+        return self
+
+    def __exit__(self, *_):
+        drop_folder(self.spark, self.folder)
+
+
 def input_fingerprint(spark: SparkSession, *paths: str) -> str:
     """Changes when an input is replaced or grows."""
     marks = []

@@ -1,3 +1,5 @@
+import uuid
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -5,10 +7,14 @@ from pyspark.sql import functions as F
 from credence.fixed_values import NA_TOKENS
 from credence.functions import parsing
 from credence.operators import cleaning
+from credence.plans import ingestion
 from credence.plans.ingestion import run_ingestion, write_demo_sample
+from credence.session import settings, work_folder
 from credence.sources.csv_loans import IngestionError, load_raw
-from credence.sources.loan_store import load_loans, read_loans
+from credence.sources.headers import files_by_header
+from credence.sources.loan_store import load_loans, read_loans, write_loans
 from credence.sources.run_log import read_log
+from credence.sources.staging import WorkTables, folder_names
 
 
 def parsed(spark, expression, values, kind="string"):
@@ -67,6 +73,58 @@ def test_several_files_are_matched_by_header(spark, raw_csv, tmp_path):
         assert load_raw(spark, pattern).count() == whole.count()
 
 
+def test_folders_of_mixed_headers_are_read_by_name(spark, raw_csv, tmp_path):
+    """A folder, a glob and the one file give the same rows, whatever files and names hold."""
+    frame = pd.read_csv(raw_csv, dtype=str, keep_default_na=False)
+    folder = tmp_path / "years" / "2014 [a]"
+    folder.mkdir(parents=True)
+    frame.iloc[:3].to_csv(folder / "x, {1}.csv", index=False)
+    frame.iloc[3:5, ::-1].to_csv(folder / "y 100%.csv", index=False)
+    frame.iloc[5:9].to_csv(tmp_path / "years" / "quoted.csv", index=False, quoting=1)
+    (tmp_path / "years" / "late.csv").write_text(
+        "\n \n" + frame.iloc[9:].to_csv(index=False))
+    (tmp_path / "years" / "empty.csv").write_text("")
+    (tmp_path / "years" / "_ignored.csv").write_text("no,loans")
+    frame.iloc[:0].to_csv(tmp_path / "years" / "header_only.csv", index=False)
+    whole = load_raw(spark, raw_csv)
+    for place in ("years", "yea*", "years/*"):
+        rows = load_raw(spark, str(tmp_path / place)).select(whole.columns)
+        assert rows.exceptAll(whole).isEmpty() and rows.count() == whole.count()
+
+
+def test_headers_of_many_files_cost_one_job(spark, tmp_path):
+    for i in range(45):
+        (tmp_path / f"{i:03}.csv").write_text(f"a,{'b' if i % 3 else 'c'}\n" + "1,2\n" * 2000)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        found = files_by_header(spark, [str(tmp_path)])
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert sorted(map(len, found.values())) == [15, 30] and set(found) == {"a,b", "a,c"}
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("headers")]
+    reading = [j for j in jobs if sum(tracker.getStageInfo(s).numTasks for s in j.stageIds) > 0]
+    assert len(reading) <= 2  # beyond 32 paths Spark lists them in a job of its own
+
+
+def test_export_without_any_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    with pytest.raises(IngestionError, match="no header"):
+        load_raw(spark, str(tmp_path))
+
+
+def test_headers_with_line_breaks(spark, raw_csv, tmp_path):
+    """Headers that differ after their first line only are different headers."""
+    frame = pd.read_csv(raw_csv, dtype=str, keep_default_na=False)
+    frame.insert(0, "two\nlines", "x")
+    folder = tmp_path / "wide"
+    folder.mkdir()
+    frame.to_csv(folder / "a.csv", index=False)
+    frame[[frame.columns[0], *frame.columns[:0:-1]]].to_csv(folder / "b.csv", index=False)
+    rows = load_raw(spark, str(folder), multiline=True)
+    assert rows.count() == 20 and rows.dropDuplicates().count() == 10
+
+
 def test_quoted_line_breaks(spark, raw_csv, tmp_path):
     frame = pd.read_csv(raw_csv, dtype=str, keep_default_na=False)
     frame["note"] = "line one\nline two"
@@ -84,6 +142,82 @@ def test_missing_columns(spark, tmp_path):
         load_raw(spark, str(path))
 
 
+def test_ingestion_keeps_quoted_line_breaks(spark, raw_csv, tmp_path):
+    frame = pd.read_csv(raw_csv, dtype=str, keep_default_na=False)
+    frame["note"] = "line one\n7200, 36 months"
+    path = str(tmp_path / "notes.csv")
+    frame.to_csv(path, index=False)
+    loans = run_ingestion(spark, path, str(tmp_path / "clean"), str(tmp_path / "log"), True)
+    assert loans.count() == 4 and {r.note for r in loans.collect()} == {frame.note[0]}
+    assert read_log(spark, str(tmp_path / "log")).filter("step = 'load_raw'").first().rows_in == 10
+
+
+def test_ingestion_parses_the_export_once(spark, raw_csv, tmp_path, monkeypatch):
+    """Every pass over the raw rows leaves a mark; there is one, and no work table stays."""
+    marks, raw = tmp_path / "marks", load_raw(spark, raw_csv).coalesce(1)
+    marks.mkdir()
+
+    def marked(batches):
+        (marks / uuid.uuid4().hex).touch()
+        yield from batches
+
+    monkeypatch.setattr(ingestion, "load_raw", lambda *_: raw.mapInArrow(marked, raw.schema))
+    assert run_ingestion(spark, raw_csv, str(tmp_path / "c"), str(tmp_path / "l")).count() == 4
+    assert len(list(marks.iterdir())) == 1
+    assert folder_names(spark, f"{work_folder(spark)}/credence-work") == []
+
+
+@pytest.mark.parametrize("limit", [cleaning.BROADCAST_FINGERPRINTS, 0])
+def test_fingerprint_dedupe_equals_plain_dedupe(spark, raw_csv, limit):
+    raw = load_raw(spark, raw_csv)
+    zero = raw.limit(2).withColumn("dti", F.lit("0")).withColumn("note", F.lit("z"))
+    raw = raw.unionByName(raw.withColumn("purpose", F.lit(None).cast("string"))).unionByName(
+        raw.withColumn("loan_amnt", F.concat("loan_amnt", F.lit(".0")))).unionByName(
+        zero, True).unionByName(zero.withColumn("dti", F.lit("-0.0")), True)
+    with WorkTables(spark) as space:
+        rows = space.table(raw.select(*[v.alias(c) for c, v in cleaning.typed(
+            raw.columns).items()]), "rows")
+        plain, found = cleaning.deduped(raw), cleaning.without_copies(rows, space, limit)
+        assert found.count() == plain.count() == 22
+        assert found.exceptAll(plain.select(found.columns)).isEmpty()
+
+
+def test_equal_fingerprints_of_different_rows_stay(spark):
+    """Hashes skip nulls, so these rows share both fingerprints."""
+    rows = [("a", None, "b"), (None, "a", "b"), ("a", "b", None), ("a", None, "b")]
+    with WorkTables(spark) as space:
+        df = space.table(spark.createDataFrame(rows, "x string, y string, z string"), "rows")
+        found = cleaning.without_copies(df, space)
+        assert sorted(map(str, found.collect())) == sorted(
+            map(str, df.dropDuplicates().collect()))
+        assert found.count() == 3
+
+
+def test_only_copies_travel_whole(spark, loans, tmp_path):
+    """Whole rows pass no exchange unless their fingerprint repeats."""
+    with WorkTables(spark) as space:
+        rows = space.table(loans.unionAll(loans.limit(3)), "rows")
+        found = cleaning.without_copies(rows, space)
+        assert found.count() == 420
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan
+        assert "SortMergeJoin" not in plan
+
+
+def test_files_of_the_clean_table_are_of_advisory_size(spark, loans, tmp_path):
+    wide = loans.withColumn("issue_year", F.year(F.to_date("issue_d", "MMM-yyyy")))
+    write_loans(wide.repartition(20), str(tmp_path / "few"))
+    files = spark.read.parquet(str(tmp_path / "few")).inputFiles()
+    years = wide.select("issue_year").distinct().count()
+    assert years <= len(files) <= 2 * years
+    hot = wide.withColumn("issue_year", F.lit(2014)).crossJoin(spark.range(400))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with settings(spark, {size: "200KB"}):
+        write_loans(hot, str(tmp_path / "hot"))
+    hot_files = spark.read.parquet(str(tmp_path / "hot")).inputFiles()
+    assert len(hot_files) > 3  # one year is not one task's
+
+
 def test_clean_rows(spark, raw_csv):
     rows = cleaning.clean_loans(load_raw(spark, raw_csv)).orderBy("issue_date").collect()
     assert [r.issue_d for r in rows] == ["Jul-2013", "Aug-2014", "Nov-2015", "Feb-2016"]

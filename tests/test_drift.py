@@ -1,9 +1,13 @@
+import re
+from datetime import datetime, timedelta
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from credence.operators import drift
+from credence.session import settings
 from credence.streaming import drift_stream as live
 
 
@@ -154,6 +158,139 @@ def test_window_score_against_every_bin(spark, tmp_path):
         assert scores[day] == pytest.approx(((a - e) * np.log(a / e)).sum())
 
 
+def profile(spark, rows, path, **options):
+    return live.Baseline.of(rows, ["value"], ["kind"], str(path), **options)
+
+
+@pytest.fixture
+def population(spark):
+    rng = np.random.default_rng(9)
+    return spark.createDataFrame(pd.DataFrame({
+        "value": rng.normal(100, 9, 500), "kind": rng.choice(["a", "b", None], 500)}))
+
+
+def test_baselines_are_told_apart_by_their_rows(spark, population, tmp_path):
+    """Same path, other rows: edges and counts both are of the rows given."""
+    first = profile(spark, population, tmp_path)
+    other = profile(spark, population.withColumn("value", F.col("value") * 100), tmp_path)
+    assert first.version != other.version
+    assert max(first.edges["value"]) < 200 < min(other.edges["value"])
+    again = profile(spark, population.repartition(7), tmp_path)
+    assert again.version == first.version and again.edges == first.edges
+    assert sorted(again.counts.collect()) == sorted(first.counts.collect())
+    assert profile(spark, population, tmp_path, buckets=4).version != first.version
+    without = population.withColumn("kind", F.coalesce("kind", F.lit("")))
+    assert profile(spark, without, tmp_path).version != first.version
+    assert len(list(tmp_path.glob("*/profile/_SUCCESS"))) == 4
+
+
+def test_unfinished_and_foreign_counts_are_not_used(spark, population, tmp_path):
+    first = profile(spark, population, tmp_path)
+    folder = tmp_path / first.version
+    (folder / "profile" / "_SUCCESS").unlink()  # as if the driver had died before
+    assert profile(spark, population, tmp_path).edges == first.edges
+    spark.createDataFrame([("kind", "categorical", "a", 3)], first.counts.schema).write.mode(
+        "overwrite").parquet(str(folder / "counts"))
+    with pytest.raises(ValueError, match="not those of its profile"):
+        profile(spark, population, tmp_path)
+
+
+def test_stream_refuses_another_baseline(spark, population, tmp_path):
+    rows = population.withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    places = str(tmp_path / "out"), str(tmp_path / "state")
+    mine = profile(spark, population, tmp_path / "p")
+    live.start_drift_stream(stream, mine, *places, once=True).awaitTermination()
+    other = profile(spark, population.limit(400), tmp_path / "p")
+    with pytest.raises(ValueError, match="holds counts by baseline"):
+        live.start_drift_stream(stream, other, *places, once=True)
+
+
+def batch_rows(spark, batch, days=5):
+    """Counts of a batch: the window of its day, and one bin of an older window again."""
+    first, day = datetime(2024, 1, 1), timedelta(days=1)
+    rows = [(first + d * day, first + (d + 1) * day, "kind", "categorical", b, 10 * batch + d,
+             first + d * day + timedelta(hours=batch % 24))
+            for d, b in ((batch % days, "a"), (batch % days, f"b{batch % 3}"), (0, "a"))]
+    return spark.createDataFrame(list(dict.fromkeys(rows)), live.COUNTS)
+
+
+def test_snapshots_bound_the_folders_read(spark, tmp_path, monkeypatch):
+    output, every, read = str(tmp_path), 4, []
+    latest = {}
+    whole = live._whole
+
+    def seen(*given):
+        read.append(len(found := whole(*given)))
+        return found
+
+    monkeypatch.setattr(live, "_whole", seen)
+    for batch in range(21):
+        rows = batch_rows(spark, batch)
+        rows.write.mode("overwrite").parquet(f"{output}/batch={batch}")
+        if (batch + 1) % every == 0:
+            live.compact(spark, output, batch)
+            if batch == 11:  # the batch runs again, its snapshot too
+                rows.write.mode("overwrite").parquet(f"{output}/batch={batch}")
+                live.compact(spark, output, batch)
+        for r in rows.collect():
+            latest[r.window_start, r.bin] = r.actual
+    assert {(r.window_start, r.bin): r.actual
+            for r in live.read_counts(spark, output).collect()} == latest
+    assert max(read) <= 2 * every
+    assert len(list(tmp_path.glob("snapshot=*"))) == 2
+    # A snapshot that is not whole does not count.
+    (tmp_path / "snapshot=19" / "_SUCCESS").unlink()
+    assert {(r.window_start, r.bin): r.actual
+            for r in live.read_counts(spark, output).collect()} == latest
+
+
+def test_output_without_batches(spark, population, tmp_path):
+    baseline = profile(spark, population, tmp_path / "p")
+    assert live.read_drift(spark, str(tmp_path / "none"), baseline).collect() == []
+
+
+def test_stream_compacts_while_it_runs(spark, tmp_path):
+    rows = spark.range(60).select(
+        (F.lit("2024-05-01").cast("timestamp") + F.make_dt_interval(hours=F.col("id"))).alias("ts"),
+        F.concat(F.lit("k"), F.col("id") % 4).alias("kind"))
+    for i in range(6):
+        rows.filter(f"ts IS NOT NULL AND hash(ts) % 6 = {i}").coalesce(1).write.parquet(
+            f"{tmp_path}/in/part={i}")
+    baseline = live.Baseline.of(rows, [], ["kind"], str(tmp_path / "p"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(
+        f"{tmp_path}/in/*")
+    output = str(tmp_path / "out")
+    live.start_drift_stream(stream, baseline, output, str(tmp_path / "state"), late_by="9 days",
+                            once=True, compact_every=2).awaitTermination()
+    assert len(list((tmp_path / "out").glob("snapshot=*"))) == 2
+    assert live.read_counts(spark, output).agg(F.sum("actual")).first()[0] == 60
+
+
+def test_hot_window_is_dealt_to_many_tasks(spark):
+    """A window that holds nearly all bins meets its total in parts, not in one task."""
+    counts = spark.range(4000).select(
+        F.lit("2024-01-01").cast("timestamp").alias("window_start"),
+        F.lit("2024-01-02").cast("timestamp").alias("window_end"), F.lit("kind").alias("feature"),
+        F.lit("categorical").alias("type"), F.concat(F.lit("b"), "id").alias("bin"),
+        F.lit(1).cast("long").alias("actual"))
+    expected = counts.select("feature", "type", "bin", F.col("actual").alias("expected"))
+    baseline = live.Baseline({}, ("kind",), expected, "")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                          "spark.sql.adaptive.enabled": "false",
+                          "spark.sql.shuffle.partitions": "16"}):
+        plan = live.score_windows(counts, baseline)
+        assert plan.first().psi == 0
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(window_start#\d+, window_end#\d+, feature#\d+, "
+                         r"type#\d+, salt#\d+", text)
+        salted = counts.withColumn("salt", F.pmod(F.xxhash64("bin"), F.lit(live.SALTS)))
+        sizes = salted.repartition(16, *live.KEYS, "salt").groupBy(
+            F.spark_partition_id()).count().collect()
+        assert len(sizes) > 8 and max(r["count"] for r in sizes) < 1000
+
+
 def test_wide_categories_do_not_meet_on_the_feature(spark):
     """Many categories: no sort-merge join on the feature, no window of rows in one task."""
     rows = spark.range(20000).select(F.concat(F.lit("c"), F.col("id")).alias("k"))

@@ -1,9 +1,11 @@
 import sys
+import uuid
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from credence.operators import quantiles
 from credence.operators.quantiles import exact_quantiles, value_at_rank
@@ -53,6 +55,44 @@ def test_many_rounds(spark, monkeypatch):
     assert found == pytest.approx(list(np.quantile(values, SHARES)), rel=1e-15)
 
 
+def test_input_is_read_twice_whatever_the_values(spark, tmp_path, monkeypatch):
+    """Every pass over the rows leaves a mark: one for the sketch, one for the brackets."""
+    rng = np.random.default_rng(6)
+    values = np.concatenate([rng.lognormal(0, 9, 4000), np.full(3000, 7.0),
+                             1 + rng.integers(0, 99, 2000) * 2.0**-52])
+    df = frame(spark, x=values, y=-values).coalesce(1)
+
+    def marked(batches):
+        (tmp_path / uuid.uuid4().hex).touch()
+        yield from batches
+
+    found = exact_quantiles(df.mapInArrow(marked, df.schema), {"x": SHARES, "y": [0.5]})
+    assert found["x"] == pytest.approx(list(np.quantile(values, SHARES)), rel=1e-15)
+    assert found["y"] == [pytest.approx(-np.quantile(values, 0.5), rel=1e-15)]
+    assert len(list(tmp_path.iterdir())) == 2
+
+
+def test_brackets_that_miss_give_way_to_the_rounds(spark, monkeypatch):
+    values = np.random.default_rng(3).normal(0, 1, 5000)
+    monkeypatch.setattr(quantiles, "_brackets", lambda spark, sketches, ranks: {
+        n: [(-9.0, -8.0), (0.5, 0.6)] for n in sketches})
+    found = exact_quantiles(frame(spark, x=values, y=values), {"x": SHARES, "y": [0.7]})
+    assert found["x"] == pytest.approx(list(np.quantile(values, SHARES)), rel=1e-15)
+    assert found["y"] == [pytest.approx(np.quantile(values, 0.7), rel=1e-15)]
+
+
+def test_brackets_are_narrow_and_hold_their_ranks(spark):
+    n = 60_000
+    df = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).cast("double").alias("x"))
+    row = quantiles._sketched(df, ["x"])
+    facts = {"x": tuple(row[f"{k}0"] for k in ("n", "min", "max", "sketch"))}
+    ranks = {0, n // 4, n // 2, n - 1}
+    ranges = quantiles._brackets(spark, facts, {"x": ranks})["x"]
+    values = sorted(r.x for r in df.collect())
+    assert all(any(a <= values[r] <= b for a, b in ranges) for r in ranks)
+    assert sum(sum(a <= v <= b for v in values) for a, b in ranges) < n * 0.06
+
+
 @settings(max_examples=15, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.floats(-1e12, 1e12, allow_subnormal=False), min_size=1, max_size=40),
