@@ -31,16 +31,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from credence.llm import counters
+from credence.llm.bitmaps import MAP_BITS, bit_map, in_map
 from credence.llm.text_kernel import blocks, mixed, text_buffer, word_bounds, word_hashes
 from credence.llm.work import Workspace, small_batches, table
 
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: Bits of the maps of frequent words and pairs: 16 MiB each, whatever the corpus.
-MAP_BITS = 1 << 27
 #: Counters of pairs or triples by hash: a byte each leaves a task, a bit each comes back.
 COUNTERS = 1 << 24
-#: Bits in a part of a map, as the engine's bitmap functions have it.
-PART_BITS = 1 << 15
 #: Phrases a trie holds before subtrees leave it, a container before it bursts, and a run's piece.
 TRIE_ENTRIES, CONTAINER_ENTRIES, RUN_ROWS = 1_500_000, 4_096, 100_000
 #: Different words a task counts before it hands them on.
@@ -264,24 +261,6 @@ def bit_of(*words: np.ndarray, code: np.uint64, bits: int = MAP_BITS) -> np.ndar
     return mixed(h) & np.uint64(bits - 1)
 
 
-def bit_map(places: DataFrame) -> np.ndarray:
-    """The map with the bits of column ``bit`` set, put together where the rows are.
-
-    At most ``MAP_BITS`` come to the driver.
-    """
-    parts = places.groupBy(F.expr(f"bit div {PART_BITS}").alias("part")).agg(
-        F.bitmap_construct_agg(F.col("bit") % PART_BITS).alias("bits")).toArrow()
-    out = np.zeros(MAP_BITS // 8, np.uint8)
-    for part, bits in zip(parts.column("part").to_pylist(), parts.column("bits")):
-        bits = np.frombuffer(bits.as_buffer(), np.uint8)
-        out[part * PART_BITS // 8:][:len(bits)] = bits
-    return out
-
-
-def in_map(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (marks[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-
 def with_bits(rows: DataFrame, columns: list[str]) -> DataFrame:
     """The place of each row's words in the map, as column ``bit``."""
     def places(batches):

@@ -115,8 +115,10 @@ def shape(word: str) -> str:
 
 def features(word: str) -> list[str]:
     """Own features of a word with a digit or an @."""
-    digits = sum("0" <= c <= "9" for c in word)
+    own = re.sub("[^0-9]", "", word)
+    digits = len(own)
     return ["bias", "s=" + shape(word), f"digits={min(digits, 20)}", f"at={'@' in word}",
+            f"luhn={13 <= digits <= 19 and luhn(own)}",
             f"dots={min(word.count('.'), 4)}", f"first={shape(word[:1])}",
             f"letters={any(c.isalpha() for c in word)}", f"length={min(len(word) // 4, 6)}"]
 

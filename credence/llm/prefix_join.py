@@ -2,12 +2,14 @@
 
 A benchmark item's windows are runs of ``WINDOW`` words (a shorter item is one window). A window is
 seen as its set of word shingles, ordered by rarity in the corpus. A text that holds the whole
-window holds all its shingles, so the necessary prefix is one shingle: the rarest. Documents are
-joined on those prefixes; a match fixes where the window would lie, which must be inside the text
-(positional and length bounds); then all its words are compared.
+window holds all its shingles, so the necessary prefix is one shingle: the rarest. Windows, shingles
+and counts are tables; documents give the places of shingles that may be prefixes, each with the
+words around it, and are joined to the windows on the prefix. A match fixes where the window would
+lie, which must be inside those words (positional and length bounds); then all its words are
+compared.
 
-The benchmark is worked through in slices of bounded bytes, whose index is sent to the executors;
-each slice meets all documents, and hits are united by a number each document row gets before.
+Which shingles matter is told to the tasks as bit maps of a fixed size, so neither the benchmark
+nor its counts pass the driver. A document is known by its id and a hash of its text.
 
 Defined results: null and wordless texts have no words and no hits; wordless items have no window;
 an item without id counts for hits but not among the items; items with equal ids are one item;
@@ -16,13 +18,12 @@ repeated documents are judged each; empty tables give no hits or no rows.
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from credence.llm.bitmaps import MAP_BITS, bit_map, in_map
 from credence.llm.text_kernel import (
     NOT_ALNUM,
     blocks,
@@ -31,85 +32,14 @@ from credence.llm.text_kernel import (
     word_bounds,
     word_hashes,
 )
-from credence.llm.work import table, unpacked
+from credence.llm.work import BROADCAST_IDS, Workspace, row_of, table, text_of, unpacked
 
 WINDOW = 13
 SHINGLE = 3
-SLICE_BYTES = 16 << 20
 #: A document is contaminated when this percentage of its words is hit.
 MIN_PERCENT = 5
 
 
-class WindowIndex:
-    """The windows of a slice of the benchmark, findable by their rarest shingle."""
-
-    def __init__(self, items: list[tuple[str | None, str | None]], window: int, shingle: int):
-        windows: dict[bytes, set[str | None]] = defaultdict(set)
-        hashes: dict[bytes, np.ndarray] = {}
-        for item, text in items:
-            data, offsets = text_buffer(pa.array([text], pa.string()))
-            starts, ends, _ = word_bounds(data, offsets, NOT_ALNUM)
-            found = word_hashes(data, starts, ends)
-            raw = [data[s:e].tobytes().lower() for s, e in zip(starts, ends)]
-            size = min(window, len(raw))
-            for i in range(len(raw) - size + 1 if size else 0):
-                key = b" ".join(raw[i:i + size])
-                windows[key].add(item)
-                hashes.setdefault(key, found[i:i + size])
-        self.texts = list(windows)
-        self.items = [sorted(x for x in windows[k] if x is not None) for k in self.texts]
-        self.words = [hashes[k] for k in self.texts]
-        self.shingle = shingle
-        #: Shingle sizes in use: windows shorter than a shingle are one shingle.
-        self.sizes = sorted({min(shingle, len(w)) for w in self.words})
-        self.shingles = np.unique(np.concatenate(
-            [shingle_hashes(w, min(shingle, len(w))) for w in self.words]
-            or [np.zeros(0, np.uint64)]))
-
-    def order(self, counts: dict[int, int]) -> None:
-        """Chooses each window's prefix: its rarest shingle, by counts over all documents."""
-        entries = []
-        for w, words in enumerate(self.words):
-            size = min(self.shingle, len(words))
-            own = [int(h) for h in shingle_hashes(words, size)]
-            at = min(range(len(own)), key=lambda k: (counts.get(own[k], 0), own[k], k))
-            entries.append((size, own[at], w, at))
-        self.prefixes = {}
-        for size in self.sizes:
-            part = sorted(e[1:] for e in entries if e[0] == size)
-            keys = np.array([e[0] for e in part], np.uint64)
-            unique, first = np.unique(keys, return_index=True)
-            self.prefixes[size] = (unique, first, np.append(first[1:], len(part)),
-                                   np.array([e[1] for e in part]), np.array([e[2] for e in part]))
-
-    def find(self, data, starts, ends, words, bounds):
-        """(document, first word, window) of every occurrence in a block of texts."""
-        out = []
-        doc_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        for size, (keys, first, last, window, offset) in self.prefixes.items():
-            h = shingle_hashes(words, size)
-            if not len(h) or not len(keys):
-                continue
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            place = np.flatnonzero(keys[at] == h)
-            k = at[place]
-            many = last[k] - first[k]
-            place = np.repeat(place, many)
-            entry = np.repeat(first[k], many) + np.arange(len(place)) - np.repeat(
-                np.cumsum(many) - many, many)
-            for p, e in zip(place.tolist(), entry.tolist()):
-                w = int(window[e])
-                doc, begin = doc_of[p], p - int(offset[e])
-                n = len(self.words[w])
-                if begin < bounds[doc] or begin + n > bounds[doc + 1]:
-                    continue
-                if np.array_equal(words[begin:begin + n], self.words[w]) and b" ".join(
-                        data[s:t].tobytes().lower() for s, t in
-                        zip(starts[begin:begin + n], ends[begin:begin + n])) == self.texts[w]:
-                    out.append((int(doc), begin, w))
-        return out
-
-
 def texts_of(column: pa.Array):
     """(first row, last row, data, word starts, word ends, word hashes, first words) per block."""
     data, offsets = text_buffer(column)
@@ -119,103 +49,164 @@ def texts_of(column: pa.Array):
         yield a, b, part, starts, ends, word_hashes(part, starts, ends), bounds
 
 
-def corpus_counts(docs: DataFrame, index: WindowIndex) -> dict[int, int]:
-    """Occurrences of the index's shingles in all documents, summed in each task first."""
-    shingles, sizes = index.shingles, index.sizes
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a mark of the text: rows alike in both are judged alike."""
+    text = text_of().cast("string")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark"))
+
+
+def item_windows(benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
+    """(item, win, n, size, grams): every window's words, their number and its shingles in order."""
+    def cut(batches):
+        for batch in batches:
+            items, wins, counts, sizes, grams = [], [], [], [], []
+            names = batch.column("item").to_pylist()
+            for a, b, data, starts, ends, words, bounds in texts_of(batch.column("text")):
+                lower = [data[s:e].tobytes().lower() for s, e in zip(starts, ends)]
+                for row in range(b - a):
+                    first, last = int(bounds[row]), int(bounds[row + 1])
+                    n = min(window, last - first)
+                    size = min(shingle, n)
+                    own = shingle_hashes(words[first:last], size) if n else None
+                    for i in range(last - first - n + 1 if n else 0):
+                        items.append(names[a + row])
+                        wins.append(b" ".join(lower[first + i:first + i + n]).decode())
+                        counts.append(n)
+                        sizes.append(size)
+                        grams.append(own[i:i + n - size + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(items, pa.string()), pa.array(wins, pa.string()),
+                 pa.array(counts, pa.int32()), pa.array(sizes, pa.int32()),
+                 pa.array(grams, pa.list_(pa.int64()))], ["item", "win", "n", "size", "grams"])
 
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"),
+                             F.col("text").cast("string").alias("text")).distinct()
+    return items.mapInArrow(cut, "item string, win string, n int, size int, grams array<long>")
+
+
+def map_of(grams: DataFrame) -> np.ndarray:
+    return bit_map(grams.select(F.col("h").bitwiseAND(F.lit(MAP_BITS - 1)).alias("bit")))
+
+
+def places(words: np.ndarray, size: int, marks: np.ndarray):
+    """(first word, hash) of the shingles of a size that may be in the map."""
+    h = shingle_hashes(words, size)
+    at = np.flatnonzero(in_map(marks, h & np.uint64(MAP_BITS - 1)))
+    return at, h[at]
+
+
+def corpus_counts(docs: DataFrame, marks: np.ndarray, sizes: list[int]) -> DataFrame:
+    """(h, count) of the shingles in the map over all documents, summed in each task first."""
     def count(batches):
-        totals = np.zeros(len(shingles), np.int64)
+        totals: dict[int, int] = {}
         for batch in batches:
-            for _, _, _, _, _, words, _ in texts_of(batch.column("text")):
+            for *_, words, _ in texts_of(batch.column("text")):
                 for size in sizes:
-                    h = shingle_hashes(words, size)
-                    if len(h):
-                        at = np.minimum(np.searchsorted(shingles, h), len(shingles) - 1)
-                        totals += np.bincount(at[shingles[at] == h], minlength=len(shingles))
-        seen = np.flatnonzero(totals)
+                    found, many = np.unique(places(words, size, marks)[1], return_counts=True)
+                    for h, n in zip(found.view(np.int64).tolist(), many.tolist()):
+                        totals[h] = totals.get(h, 0) + n
         yield pa.RecordBatch.from_arrays(
-            [pa.array(shingles[seen].view(np.int64)), pa.array(totals[seen])], ["shingle", "n"])
+            [pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())],
+            ["h", "count"])
 
-    if not len(shingles):
-        return {}
-    rows = (docs.select("text").mapInArrow(count, "shingle long, n long")
-            .groupBy("shingle").agg(F.sum("n").alias("n")).collect())
-    return {r["shingle"] % (1 << 64): r["n"] for r in rows}
+    return docs.select("text").mapInArrow(count, "h long, count long").groupBy("h").agg(
+        F.sum("count").alias("count"))
 
 
-def slice_hits(docs: DataFrame, index: WindowIndex, carry: str) -> DataFrame:
-    """``row``, n_words, merged runs of hit words and the items found, one row per document.
+def seen_places(docs: DataFrame, marks: np.ndarray, sizes: list[int], window: int) -> DataFrame:
+    """A row per document with its words, and rows with places of shingles that may be prefixes.
 
-    The index travels with the task's function, which Spark broadcasts when it is large.
+    ``words`` are those that a window around the place can have; the place is word ``back`` of them
+    and word ``at`` of the document.
     """
-    schema = f"row {carry}, n_words long, runs array<struct<s:int,e:int>>, items array<string>"
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = (f"doc_id {kind}, mark long, n_words long, h long, size int, at int, back int, "
+              "words string")
 
     def look(batches):
-        run = pa.struct([("s", pa.int32()), ("e", pa.int32())])
         for batch in batches:
-            counts, runs, items = [], [], []
+            rows, found = [], []
+            counts = np.zeros(batch.num_rows, np.int64)
             for a, b, data, starts, ends, words, bounds in texts_of(batch.column("text")):
-                marks, named = defaultdict(list), defaultdict(set)
-                for doc, begin, w in index.find(data, starts, ends, words, bounds):
-                    first = begin - int(bounds[doc])
-                    marks[doc].append((first, first + len(index.words[w])))
-                    named[doc].update(index.items[w])
-                for doc in range(b - a):
-                    merged = []
-                    for s, e in sorted(marks.get(doc, ())):
-                        if merged and s <= merged[-1]["e"]:
-                            merged[-1]["e"] = max(merged[-1]["e"], e)
-                        else:
-                            merged.append({"s": s, "e": e})
-                    runs.append(merged)
-                    items.append(sorted(named.get(doc, ())))
-                counts += np.diff(bounds).tolist()
+                counts[a:b] = np.diff(bounds)
+                for size in sizes:
+                    at, hashes = places(words, size, marks)
+                    own = np.searchsorted(bounds, at, "right") - 1
+                    inside = at + size <= bounds[own + 1]
+                    for p, h, doc in zip(at[inside].tolist(), hashes[inside].view(
+                            np.int64).tolist(), own[inside].tolist()):
+                        first, last = int(bounds[doc]), int(bounds[doc + 1])
+                        begin = max(first, p - window + size)
+                        end = min(last, p + window)
+                        rows.append(a + doc)
+                        found.append((h, size, p - first, p - begin, b" ".join(
+                            data[s:e].tobytes().lower() for s, e in
+                            zip(starts[begin:end], ends[begin:end])).decode()))
+            n = batch.num_rows
+            where = pa.array([*range(n), *rows], pa.int64())
+            columns = list(zip(*found)) if found else [()] * 5
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(counts, pa.int64()),
-                 pa.array(runs, pa.list_(run)), pa.array(items, pa.list_(pa.string()))],
-                ["row", "n_words", "runs", "items"])
-
-    return docs.select("row", "text").mapInArrow(look, schema)
-
-
-def hits(docs: DataFrame, benchmark: DataFrame, carry: list[str], window: int = WINDOW,
-         shingle: int = SHINGLE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """Struct ``row`` of the carried columns, n_words, n_hit and the sorted items found."""
-    texts = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), "text")
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slices = -(-total // slice_bytes) or 1
-    if slices > 1:
-        # Written, so that a row has one number in all slices; no column need tell rows apart.
-        rows = table((texts.drop("text") if "text" in carry else texts).withColumn(
-            "id", F.monotonically_increasing_id()), "numbered")
-        texts = rows.select(F.col("id").alias("row"),
-                            F.col("row.text" if "text" in carry else "text").alias("text"))
-    kind = texts.schema["row"].dataType.simpleString()
-    parts = []
-    for k in range(slices):
-        own = items if slices == 1 else items.filter(
-            F.pmod(F.xxhash64("text"), F.lit(slices)) == k)
-        index = WindowIndex([(r["item_id"], r["text"]) for r in own.collect()], window, shingle)
-        index.order(corpus_counts(texts, index))
-        parts.append(slice_hits(texts, index, kind))
-    if slices == 1:
-        found = parts[0]
-    else:
-        for k in range(1, slices):
-            parts[0] = parts[0].unionAll(parts[k])
-        found = parts[0].groupBy(F.col("row").alias("id")).agg(
-            F.first("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"),
-            F.flatten(F.collect_list("items")).alias("items"))
-        found = found.join(rows.select("id", "row"), "id")
+                [batch.column("doc_id").take(where), batch.column("mark").take(where),
+                 pa.array([*counts.tolist(), *[None] * len(found)], pa.int64()),
+                 *[pa.array([None] * n + list(c), k) for c, k in zip(columns, kinds)]],
+                [f.split()[0] for f in schema.split(", ")])
+
+    return docs.select("doc_id", "mark", "text").mapInArrow(look, schema)
+
+
+def found_in(hits: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, mark, runs, items): the hit runs of words and the items of each document with hits."""
+    owners = items.filter("item IS NOT NULL").select("win", "item").distinct()
+    run = F.struct("s", (F.col("s") + F.col("n")).alias("e"))
+    runs = hits.select("doc_id", "mark", run.alias("run"),
+                       F.lit(None).cast("string").alias("item")).distinct()
+    named = hits.select("doc_id", "mark", "win").distinct().join(owners, "win").select(
+        "doc_id", "mark", F.lit(None).cast(runs.schema["run"].dataType).alias("run"),
+        "item").distinct()
+    return runs.unionAll(named).groupBy("doc_id", "mark").agg(
+        F.collect_list("run").alias("runs"), F.collect_list("item").alias("items"))
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+           shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, mark, n_words, n_hit and the sorted items found, one row per document."""
+    texts = keyed(docs)
+    with Workspace(docs.sparkSession) as space:
+        items = space.table(item_windows(benchmark, window, shingle), "item_windows")
+        windows = space.table(items.drop("item").dropDuplicates(["win"]), "windows")
+        sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
+        grams = windows.select("win", "size", F.posexplode("grams").alias("place", "h"))
+        counts = space.table(corpus_counts(texts, map_of(grams), sizes), "counts")
+        # The prefix of a window is its rarest shingle; ties go to the smaller hash, then place.
+        rarest = grams.join(counts, "h", "left").groupBy("win").agg(F.min(F.struct(
+            F.coalesce("count", F.lit(0)).alias("count"), "h", "place", "size")).alias("p"))
+        prefixes = space.table(rarest.join(windows.select("win", "n"), "win").select(
+            "win", "n", "p.h", "p.place", "p.size"), "prefixes")
+        seen = table(seen_places(texts, map_of(prefixes), sizes, window), "seen")
+        own = F.slice("around", F.col("begin") + 1, F.col("n"))
+        hits = (seen.filter("h IS NOT NULL").drop("n_words").join(prefixes, ["h", "size"])
+                .withColumns({"around": F.split("words", " "),
+                              "begin": F.col("back") - F.col("place")})
+                .filter((F.col("begin") >= 0)
+                        & (F.col("begin") + F.col("n") <= F.size("around")))
+                .filter(F.array_join(own, " ") == F.col("win"))
+                .select("doc_id", "mark", "win", (F.col("at") - F.col("place")).alias("s"), "n"))
+        found = table(found_in(space.table(hits.distinct(), "hits"), items), "found")
     covered = F.aggregate(
         F.array_sort("runs"),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("to")),
         lambda acc, r: F.struct(
             (acc["n"] + F.greatest(r["e"] - F.greatest(r["s"], acc["to"]), F.lit(0)))
             .alias("n"), F.greatest(acc["to"], r["e"]).alias("to")), lambda acc: acc["n"])
-    return found.select("row", "n_words", covered.alias("n_hit"),
-                        F.array_sort(F.array_distinct("items")).alias("items"))
+    found = found.select(F.col("doc_id").alias("id"), F.col("mark").alias("of"),
+                         covered.alias("hit"), F.array_sort("items").alias("named"))
+    return (seen.filter("h IS NULL").select("doc_id", "mark", "n_words")
+            .join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of")),
+                  "left")
+            .select("doc_id", "mark", "n_words",
+                    F.coalesce("hit", F.lit(0).cast("long")).alias("n_hit"),
+                    F.coalesce("named", F.array().cast("array<string>")).alias("items")))
 
 
 def contaminated() -> Column:
@@ -224,16 +215,22 @@ def contaminated() -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document: its words, the hit ones, the items found and the verdict."""
-    return hits(docs, benchmark, ["doc_id"], **options).select(
-        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    return judged(docs, benchmark, **options).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         contaminated().alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    return unpacked(hits(docs, benchmark, docs.columns, **options).filter(~contaminated()),
-                    docs.columns)
+    bad = table(judged(docs, benchmark, **options).filter(contaminated()).select(
+        F.col("doc_id").alias("id"), F.col("mark").alias("of")).distinct(), "contaminated")
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad
+    rows = docs.select(row_of(docs).alias("row"), "doc_id",
+                       F.xxhash64(text_of().cast("string")).alias("mark"))
+    stay = rows.join(bad, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of")),
+                     "left_anti")
+    return unpacked(stay, docs.columns)
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
