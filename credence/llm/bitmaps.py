@@ -5,6 +5,8 @@ A member is always in its map; another value may be too.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +17,17 @@ MAP_BITS = 1 << 27
 PART_BITS = 1 << 15
 
 
-def bit_map(places: DataFrame) -> np.ndarray:
-    """The map with the bits of column ``bit`` set, put together where the rows are.
+def packed_map(marks: np.ndarray) -> bytes:
+    """A map on its way to the tasks; a sparse one is short."""
+    return zlib.compress(marks.tobytes(), 1)
+
+
+def opened(marks: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(marks), np.uint8)
+
+
+def bit_map(places: DataFrame) -> bytes:
+    """The map, packed, with the bits of column ``bit`` set, put together where the rows are.
 
     At most ``MAP_BITS`` come to the driver.
     """
@@ -26,7 +37,7 @@ def bit_map(places: DataFrame) -> np.ndarray:
     for part, bits in zip(parts.column("part").to_pylist(), parts.column("bits")):
         bits = np.frombuffer(bits.as_buffer(), np.uint8)
         out[part * PART_BITS // 8:][:len(bits)] = bits
-    return out
+    return packed_map(out)
 
 
 def in_map(marks: np.ndarray, places: np.ndarray) -> np.ndarray:

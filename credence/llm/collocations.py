@@ -2,8 +2,8 @@
 
 Each task counts phrases in a shallow trie over word ids whose leaves are hash containers. A
 container that grows too large bursts into one container per next word; when the trie outgrows its
-budget, its largest subtrees leave whole, as sorted runs. Runs are dealt by language and the first
-two words, sorted there, and merged by one reader that holds a single phrase.
+budget, its largest subtrees leave whole, as sorted runs. A run is cut by a hash of the first words
+into prefix partitions of bounded size, a packed row for each, and each partition's runs are merged.
 
 A phrase is never more frequent than its parts. So words are counted first, then pairs of words that
 are frequent enough, then longer phrases all of whose pairs are; what is known to be too rare does
@@ -21,17 +21,17 @@ rows and ids count each time; empty tables, and languages without a frequent phr
 
 from __future__ import annotations
 
+import zlib
 from itertools import count as counting
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from credence.llm import counters
-from credence.llm.bitmaps import MAP_BITS, bit_map, in_map
+from credence.llm.bitmaps import MAP_BITS, bit_map, in_map, opened, packed_map
 from credence.llm.text_kernel import blocks, mixed, text_buffer, word_bounds, word_hashes
 from credence.llm.work import Workspace, small_batches, table
 
@@ -39,7 +39,9 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 #: Counters of pairs or triples by hash: a byte each leaves a task, a bit each comes back.
 COUNTERS = 1 << 24
 #: Phrases a trie holds before subtrees leave it, a container before it bursts, and a run's piece.
-TRIE_ENTRIES, CONTAINER_ENTRIES, RUN_ROWS = 1_500_000, 4_096, 100_000
+TRIE_ENTRIES, CONTAINER_ENTRIES, RUN_ROWS = 1_500_000, 4_096, 500_000
+#: Bytes of a prefix partition if no phrase of the corpus occurred twice, and words of a prefix.
+PARTITION_BYTES, PREFIX = 32 << 20, 3
 #: Different words a task counts before it hands them on.
 WORD_ENTRIES = 400_000
 #: Words on a path of the trie, the first one included.
@@ -65,7 +67,7 @@ def groups(keys: np.ndarray) -> list[tuple[int, int]]:
 
 def joined_rows(rows: list[np.ndarray]) -> np.ndarray:
     """Sorted rows of words with a count each, equal ones as one."""
-    rows = np.concatenate(rows)
+    rows = np.concatenate(rows)  # a copy
     rows = rows[np.lexsort(rows.T[-2::-1])]
     at = np.flatnonzero(np.append(True, (rows[1:, :-1] != rows[:-1, :-1]).any(1)))
     counts = np.add.reduceat(rows[:, -1], at)
@@ -160,8 +162,26 @@ class HatTrie:
                 yield lang, joined_rows(run)
 
 
-def run_batch(lang: str, rows: np.ndarray, longest: int) -> pa.RecordBatch:
-    """Columns lang, k, w1 .. and f of a run; words beyond the phrase's end are 0."""
+PACKED = "part int, lang string, k int, data binary"
+
+
+def run_batch(lang: str, rows: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A run cut into prefix partitions: rows of words and a count, packed."""
+    k = rows.shape[1] - 1
+    prefix = bit_of(*(np.ascontiguousarray(rows[:, i]) for i in range(min(k, PREFIX))),
+                    code=np.uint64(zlib.crc32(lang.encode())), bits=1 << 62)
+    part = (prefix % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = groups(part[order])
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(part[order[i]]) for i, _ in cuts], pa.int32()),
+         pa.array([lang] * len(cuts), pa.string()), pa.array([k] * len(cuts), pa.int32()),
+         pa.array([rows[order[i:j]].tobytes() for i, j in cuts], pa.binary())],
+        ["part", "lang", "k", "data"])
+
+
+def phrase_batch(lang: str, rows: np.ndarray, longest: int) -> pa.RecordBatch:
+    """Columns lang, k, w1 .. and f; words beyond the phrase's end are 0."""
     n, k = len(rows), rows.shape[1] - 1
     none = np.zeros(n, np.int64)
     columns = np.ascontiguousarray(rows.T).view(np.int64)
@@ -309,89 +329,71 @@ def distinct_windows(ids: np.ndarray, windows, sizes: range):
             yield np.column_stack([*(ids[here[at] + i] for i in range(k)), many.astype(np.uint64)])
 
 
-def sketched(docs: DataFrame, size: int, seed: int, gates: dict[int, np.ndarray],
-             least: int) -> np.ndarray:
+def sketched(docs: DataFrame, size: int, seed: int, gates: dict[int, bytes],
+             least: int) -> bytes:
     """A map of the windows of a size that may occur ``least`` times, from counters by hash."""
     values, top = letters(2 * seed), max(255, least)
 
     def tally(batches):
         counts = np.zeros(COUNTERS, np.uint32)
+        maps = {k: opened(m) for k, m in gates.items()}
         for batch in batches:
             for _, code, column in by_language(batch):
                 for part, starts, ends, joined in words_in(column):
                     ids = word_hashes(part, starts, ends, values)
-                    for k, here in frequent_windows(ids, joined, code, gates, size):
+                    for k, here in frequent_windows(ids, joined, code, maps, size):
                         if k == size and len(here):
                             np.add.at(counts, bit_of(*(ids[here + i] for i in range(k)),
                                                      code=code, bits=COUNTERS), 1)
         # Beyond what matters counts need not be told apart.
         yield counters.parts_of(np.minimum(counts, top).astype(np.min_scalar_type(top)))
 
-    return counters.added(texts(docs).mapInArrow(tally, counters.SCHEMA),
-                          np.min_scalar_type(top), COUNTERS,
-                          lambda c: np.packbits(c >= least, bitorder="little"))
+    return packed_map(counters.added(
+        texts(docs).mapInArrow(tally, counters.SCHEMA), np.min_scalar_type(top), COUNTERS,
+        lambda c: np.packbits(c >= least, bitorder="little")))
 
 
-def count_phrases(docs: DataFrame, sizes: range, seed: int, gates: dict[int, np.ndarray],
-                  entries: int = TRIE_ENTRIES) -> DataFrame:
-    """Sorted runs of the phrases of these sizes whose parts may all be frequent."""
+def count_phrases(docs: DataFrame, sizes: range, seed: int, gates: dict[int, bytes],
+                  parts: int, entries: int = TRIE_ENTRIES) -> DataFrame:
+    """Sorted runs, cut, of the phrases of these sizes whose parts may all be frequent."""
     longest, values = sizes[-1], letters(2 * seed)
 
     def tally(batches):
-        trie = HatTrie(entries)
+        trie, maps = HatTrie(entries), {k: opened(m) for k, m in gates.items()}
         for batch in batches:
             for lang, code, column in by_language(batch):
                 for part, starts, ends, joined in words_in(column):
                     ids = word_hashes(part, starts, ends, values)
-                    windows = frequent_windows(ids, joined, code, gates, longest)
+                    windows = frequent_windows(ids, joined, code, maps, longest)
                     for found in distinct_windows(ids, windows, sizes):
                         trie.add(lang, found)
                     for run in trie.leaving():
-                        yield run_batch(*run, longest)
+                        yield run_batch(*run, parts)
         for run in trie.leaving(True):
-            yield run_batch(*run, longest)
-
-    return texts(docs).mapInArrow(tally, run_schema(longest))
+            yield run_batch(*run, parts)
 
-
-def gathered(batches, rows: int):
-    """Tables of at least so many rows, but for the last."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.num_rows
-        if size >= rows:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, size = [], 0
-    if size:
-        yield pa.Table.from_batches(held).combine_chunks()
+    return texts(docs).mapInArrow(tally, PACKED)
 
 
 def merged(runs: DataFrame, longest: int, least: int) -> DataFrame:
-    """Phrases that occur ``least`` times, from runs sorted together in each prefix partition."""
-    keys = [*word_columns(longest), "k", "lang"]  # words differ soonest
+    """Phrases that occur ``least`` times, from the runs of each prefix partition."""
+    def phrases(held: dict):
+        for (lang, k), data in held.items():
+            rows = joined_rows([np.frombuffer(d, np.uint64).reshape(-1, k + 1) for d in data])
+            yield phrase_batch(lang, rows[rows[:, -1] >= least], longest)
 
     def merge(batches):
-        held = None
-        for rows in gathered(batches, RUN_ROWS):
-            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
-            new = np.zeros(rows.num_rows, bool)
-            new[0] = True
-            for key in keys:
-                column = rows.column(key)
-                new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy()
-            at = np.flatnonzero(new)
-            f = pa.array(np.add.reduceat(rows.column("f").to_numpy(), at))
-            rows = rows.take(pa.array(at)).set_column(rows.column_names.index("f"), "f", f)
-            held = rows.slice(len(at) - 1)
-            yield from enough(rows.slice(0, len(at) - 1))
-        if held is not None:
-            yield from enough(held)
-
-    def enough(rows):
-        return rows.filter(pc.greater_equal(rows.column("f"), least)).to_batches()
-
-    return runs.repartition("lang", "w1", "w2").sortWithinPartitions(*keys).mapInArrow(
+        part, held = None, {}
+        for batch in batches:
+            for p, lang, k, data in zip(*(batch.column(c).to_pylist()
+                                          for c in ("part", "lang", "k", "data"))):
+                if p != part:
+                    yield from phrases(held)
+                    part, held = p, {}
+                held.setdefault((lang, k), []).append(data)
+        yield from phrases(held)
+
+    return runs.repartition("part").sortWithinPartitions("part").mapInArrow(
         merge, run_schema(longest))
 
 
@@ -465,23 +467,24 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     """lang, rank, phrase, a, l, r, n and score: each language's strongest phrases."""
     with Workspace(docs.sparkSession) as space, small_batches(docs.sparkSession):
         words, seed = counted_words(docs, space)
-        totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+        totals = space.table(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+        total = totals.agg(F.sum("n")).first()[0] or 0
+        parts = max(24, -(-24 * total // PARTITION_BYTES))
         often = words.filter(F.col("f") >= least)
         gates = {1: bit_map(with_bits(often, ["id"]))}
         may = sketched(docs, 2, seed, gates, least)
         pairs = space.table(merged(count_phrases(docs, range(2, 3), seed, gates | {2: may},
-                                                 entries), 2, least), "pairs")
+                                                 parts, entries), 2, least), "pairs")
         phrases = [often.select("lang", F.array("id").alias("ids"), "f"), as_phrases(pairs, 2)]
         if longest > 2:
             gates[2] = bit_map(with_bits(pairs, word_columns(2)))
             gates[3] = sketched(docs, 3, seed, gates, least)
-            runs = count_phrases(docs, range(3, longest + 1), seed, gates, entries)
+            runs = count_phrases(docs, range(3, longest + 1), seed, gates, parts, entries)
             phrases.append(as_phrases(merged(runs, longest, least), longest))
         every = phrases[0]
         for more in phrases[1:]:
             every = every.unionAll(more)
         every = space.table(every, "phrases")
-        totals = space.table(totals, "totals")
         inner = space.table(inside_longer(every), "inside")
         scored = weakest_cuts(every, totals).join(inner, ["lang", "ids"], "left").filter(
             F.coalesce(F.col("longer") < F.col("a"), F.lit(True))).drop("longer")

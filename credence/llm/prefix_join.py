@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from credence.llm.bitmaps import MAP_BITS, bit_map, in_map
+from credence.llm.bitmaps import MAP_BITS, bit_map, in_map, opened
 from credence.llm.text_kernel import (
     NOT_ALNUM,
     blocks,
@@ -84,7 +84,7 @@ def item_windows(benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
     return items.mapInArrow(cut, "item string, win string, n int, size int, grams array<long>")
 
 
-def map_of(grams: DataFrame) -> np.ndarray:
+def map_of(grams: DataFrame) -> bytes:
     return bit_map(grams.select(F.col("h").bitwiseAND(F.lit(MAP_BITS - 1)).alias("bit")))
 
 
@@ -95,10 +95,11 @@ def places(words: np.ndarray, size: int, marks: np.ndarray):
     return at, h[at]
 
 
-def corpus_counts(docs: DataFrame, marks: np.ndarray, sizes: list[int]) -> DataFrame:
+def corpus_counts(docs: DataFrame, packed: bytes, sizes: list[int]) -> DataFrame:
     """(h, count) of the shingles in the map over all documents, summed in each task first."""
     def count(batches):
         totals: dict[int, int] = {}
+        marks = opened(packed)
         for batch in batches:
             for *_, words, _ in texts_of(batch.column("text")):
                 for size in sizes:
@@ -113,7 +114,7 @@ def corpus_counts(docs: DataFrame, marks: np.ndarray, sizes: list[int]) -> DataF
         F.sum("count").alias("count"))
 
 
-def seen_places(docs: DataFrame, marks: np.ndarray, sizes: list[int], window: int) -> DataFrame:
+def seen_places(docs: DataFrame, packed: bytes, sizes: list[int], window: int) -> DataFrame:
     """A row per document with its words, and rows with places of shingles that may be prefixes.
 
     ``words`` are those that a window around the place can have; the place is word ``back`` of them
@@ -124,6 +125,7 @@ def seen_places(docs: DataFrame, marks: np.ndarray, sizes: list[int], window: in
               "words string")
 
     def look(batches):
+        marks = opened(packed)
         for batch in batches:
             rows, found = [], []
             counts = np.zeros(batch.num_rows, np.int64)
