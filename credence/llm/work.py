@@ -12,7 +12,8 @@ from credence.session import work_folder
 from credence.sources.staging import hadoop_path
 
 BLANK = r"[\x20\x09-\x0D]"
-#: Lists of ids up to this length are broadcast (about 32 bytes an id); longer ones are shuffled.
+#: Lists of ids up to this length are broadcast (up to 140 bytes a row, so 140 MB); longer ones are
+#: joined by shuffles.
 BROADCAST_IDS = 1_000_000
 
 
