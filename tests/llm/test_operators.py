@@ -9,6 +9,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from hypothesis import given, strategies as st
+from hypothesis import settings as settings_for_examples
 from check_oracles import compare, connect
 from conftest import SF
 from pyspark.sql import functions as F
@@ -595,3 +597,34 @@ def test_pipeline_stages_on_edge_rows(spark, edge):
             assert out.count() >= 0
             if name != "sharding":
                 assert out.columns == edge.columns
+
+
+def test_lines_of_hosts_of_any_size(spark):
+    """The ratio alone decides, from a line's second page on."""
+    rows, wanted = [], {}
+    for pages in (1, 2, 4, 10, 20, 60):
+        for page in range(pages):
+            # A line on all pages, one on a tenth of them, one on one page more, and its own.
+            lines = ["all"] + ["tenth"] * (page < pages // 10) + ["more"] * (page <= pages // 10)
+            i = 1000 * pages + page
+            rows.append((i, "\n".join([*lines, f"own {i}"]), f"host{pages}"))
+            wanted[i] = (pages > 1) + (pages >= 10 and page <= pages // 10)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r.n_dropped for r in site_lines.line_digest(docs).collect()}
+    assert found == wanted
+    con = connect(SF)
+    con.register("documents", docs.toArrow())
+    assert compare(spark, con, "op5", lambda s, d: site_lines.line_digest(docs),
+                   site_lines.ORACLE, SF) == ""
+
+
+@pytest.mark.parametrize("name", [*licence_rules.SENTENCES, *licence_rules.NOTICES])
+def test_every_known_sentence_passes_the_hint(name):
+    pattern = licence_rules.NOTICES.get(name, licence_rules.SENTENCES.get(name))
+
+    @settings_for_examples(max_examples=20, deadline=None, database=None)
+    @given(st.from_regex(pattern, fullmatch=True))
+    def holds(sentence):
+        assert re.search(licence_rules.HINT, sentence), sentence
+
+    holds()
