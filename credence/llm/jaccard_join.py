@@ -471,7 +471,10 @@ def sets_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, s
 
 def linked(docs: DataFrame, nodes: DataFrame, entries: DataFrame, shingle: int, percent: int,
            seed: int, space: Workspace, known: DataFrame | None = None) -> DataFrame:
-    """Links (a, b) between nodes that, with the ``known`` ones, join all classes."""
+    """Links (a, b) between nodes that, with the ``known`` ones, join all classes.
+
+    Known links go from a class's first node to its others.
+    """
     found = space.table(walked(entries, percent), "walked")
     rest = found.filter("token IS NOT NULL").select("token", "size", "pos", "node")
     told = found.filter("a IS NOT NULL").groupBy("a", "b", "na", "nb").agg(
@@ -481,7 +484,7 @@ def linked(docs: DataFrame, nodes: DataFrame, entries: DataFrame, shingle: int,
 
     first = pairs
     if known is not None:
-        first = apart(pairs, space.table(components(known, space), "known_classes"))
+        first = apart(pairs, known.select(F.col("b").alias("node"), F.col("a").alias("component")))
     tried = space.table(best_of_each(first), "tried")
     links = space.table(verified(tried, sets_of(tried, docs, nodes, shingle, seed, "sets", space),
                                  percent), "links")
