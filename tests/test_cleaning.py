@@ -1,3 +1,4 @@
+import gzip
 import uuid
 
 import pandas as pd
@@ -14,7 +15,7 @@ from credence.sources.csv_loans import IngestionError, load_raw
 from credence.sources.headers import files_by_header
 from credence.sources.loan_store import load_loans, read_loans, write_loans
 from credence.sources.run_log import read_log
-from credence.sources.staging import WorkTables, folder_names
+from credence.sources.staging import StagedTables, WorkTables, folder_names, staged
 
 
 def parsed(spark, expression, values, kind="string"):
@@ -107,6 +108,21 @@ def test_headers_of_many_files_cost_one_job(spark, tmp_path):
     assert len(reading) <= 2  # beyond 32 paths Spark lists them in a job of its own
 
 
+def test_headers_read_no_more_than_the_beginning(spark, tmp_path):
+    """No task goes through a file for its header; packed files have one as well."""
+    (tmp_path / "a.csv").write_text("\ufeff\n \na,b\n" + "1,2\n" * 1_000_000)
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as packed:
+        packed.write("a,b\r\n" + "1,2\r\n" * 1000)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("beginnings", "beginnings")
+    try:
+        found = files_by_header(spark, [str(tmp_path)])
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert list(found) == ["a,b"] and len(found["a,b"]) == 2
+    assert not tracker.getJobIdsForGroup("beginnings")
+
+
 def test_export_without_any_line(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     with pytest.raises(IngestionError, match="no header"):
@@ -204,6 +220,41 @@ def test_only_copies_travel_whole(spark, loans, tmp_path):
         assert "SortMergeJoin" not in plan
 
 
+def test_many_repeated_fingerprints_do_not_move_all_rows(spark, tmp_path):
+    """Beyond the limit of the list a bitmap tells which rows are compared in full."""
+    with WorkTables(spark) as space:
+        once = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("x").alias("x"))
+        rows = space.table(once.unionAll(once.filter("k < 'k2'")), "rows")
+        found = cleaning.without_copies(rows, space, 0)
+        assert found.count() == 3000 and found.exceptAll(once).isEmpty()
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize("low", [0, 1000])
+def test_bitmap_knows_every_mark(spark, low):
+    marks = spark.range(low, low + 5000, 7).select((F.col("id") - 2500).alias("m"))
+    bits = cleaning._bitmap(marks, "m")
+    every = spark.range(low - 2500, low + 2500).withColumnRenamed("id", "m")
+    told = every.withColumn("_row", F.floor(cleaning._bit_of("m") / cleaning.BITMAP_ROW)).join(
+        bits, "_row", "left").filter(cleaning._bit_is_set(F.col("_bits"), "m"))
+    assert {r.m for r in told.collect()} == {r.m for r in marks.collect()}
+
+
+def test_staged_cleaning_equals_the_lazy_one(spark, raw_csv, tmp_path):
+    raw = load_raw(spark, raw_csv)
+    raw = raw.unionByName(raw)
+    plain = cleaning.clean_loans(raw)
+    space = StagedTables(spark, "staged_cleaning", uuid.uuid4().hex, 100 << 20)
+    found = cleaning.clean_loans(raw, space)
+    assert found.count() == plain.count() == 4 and found.exceptAll(plain).isEmpty()
+    seen = []
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    staged(spark, "many", space.fingerprint, lambda: seen.append(
+        spark.conf.get("spark.sql.shuffle.partitions")) or raw, input_bytes=100 << 20)
+    assert seen == ["13"] and spark.conf.get("spark.sql.shuffle.partitions") == partitions
+
+
 def test_files_of_the_clean_table_are_of_advisory_size(spark, loans, tmp_path):
     wide = loans.withColumn("issue_year", F.year(F.to_date("issue_d", "MMM-yyyy")))
     write_loans(wide.repartition(20), str(tmp_path / "few"))
