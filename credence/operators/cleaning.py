@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from credence import fixed_values as fixed
 from credence.functions import parsing
 from credence.functions.counting import count_where
-from credence.sources.staging import WorkTables
+from credence.sources.staging import StagedTables, WorkTables
 
-#: Fingerprints of repeated rows that are broadcast, 16 bytes each.
+#: Fingerprints of repeated rows that are broadcast, 16 bytes each; more are told by a bitmap.
 BROADCAST_FINGERPRINTS = 1_000_000
+#: Bits of that bitmap, 16 MB in rows of 4 KB.
+BITMAP_BITS, BITMAP_ROW = 1 << 27, 1 << 15
 NUMBER_COLUMNS = [
     "loan_amnt", "annual_inc", "dti", "fico_range_low", "fico_range_high", "delinq_2yrs",
     "open_acc", "pub_rec", "inq_last_6mths", "mort_acc", "total_acc",
@@ -80,19 +82,23 @@ def typed(columns: list[str]) -> dict[str, Column]:
             for c in columns}
 
 
-def deduped(rows: DataFrame) -> DataFrame:
-    """Distinct rows, number columns typed; nulls count as equal."""
-    return rows.withColumns(
-        {name: parsing.number(F.col(name)) for name in NUMBER_COLUMNS}).dropDuplicates()
+def deduped(rows: DataFrame, space: WorkTables | StagedTables | None = None) -> DataFrame:
+    """Distinct rows, number columns typed; nulls count as equal.
+
+    With a ``space`` for tables only repeated rows of a stored table are shuffled whole.
+    """
+    rows = rows.withColumns({name: parsing.number(F.col(name)) for name in NUMBER_COLUMNS})
+    return without_copies(rows, space) if space else rows.dropDuplicates()
 
 
-def without_copies(rows: DataFrame, space: WorkTables,
+def without_copies(rows: DataFrame, space: WorkTables | StagedTables,
                    limit: int = BROADCAST_FINGERPRINTS) -> DataFrame:
     """Distinct rows of a stored table; only rows whose fingerprint repeats are shuffled whole.
 
     Fingerprints of two hashes are grouped first. Rows that share one are compared in full, so
     equal fingerprints of different rows do no harm. More than ``limit`` repeated fingerprints are
-    not broadcast; then all rows are shuffled once.
+    not broadcast but marked in a bitmap of fixed size; the few rows that meet a bit by chance are
+    compared as well.
     """
     plain = [F.when(F.col(f"`{c}`") == 0, F.lit(0.0)).otherwise(F.col(f"`{c}`"))
              if kind == "double" else F.col(f"`{c}`") for c, kind in rows.dtypes]
@@ -102,12 +108,35 @@ def without_copies(rows: DataFrame, space: WorkTables,
     repeated = space.table(marked.select(*marks).groupBy(*marks).agg(
         F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies"), "repeated")
     if repeated.count() > limit:
-        return rows.dropDuplicates()
-    once, more = (marked.join(F.broadcast(repeated), marks, how).drop(*marks)
-                  for how in ("left_anti", "left_semi"))
+        bitmap = space.table(_bitmap(repeated, marks[0]), "repeated_bits")
+        told = marked.withColumn("_row", _bit_of(marks[0]) / BITMAP_ROW).withColumn(
+            "_row", F.floor("_row")).join(F.broadcast(bitmap), "_row", "left").withColumn(
+            "_set", F.coalesce(_bit_is_set(F.col("_bits"), marks[0]), F.lit(False)))
+        once, more = (told.filter(side).select(*[f"`{c}`" for c in rows.columns])
+                      for side in (~F.col("_set"), F.col("_set")))
+    else:
+        once, more = (marked.join(F.broadcast(repeated), marks, how).drop(*marks)
+                      for how in ("left_anti", "left_semi"))
     return once.unionByName(more.dropDuplicates())
 
 
+def _bit_of(mark: str) -> Column:
+    return F.pmod(F.col(mark), F.lit(BITMAP_BITS))
+
+
+def _bitmap(marks: DataFrame, mark: str) -> DataFrame:
+    """(_row, _bits): a bit for every mark, in rows of bits; its size does not depend on the input."""
+    bit = _bit_of(mark)
+    return marks.groupBy(F.floor(bit / BITMAP_ROW).alias("_row")).agg(
+        F.bitmap_construct_agg(bit % BITMAP_ROW).alias("_bits"))
+
+
+def _bit_is_set(bits: Column, mark: str) -> Column:
+    place = (_bit_of(mark) % BITMAP_ROW).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return F.getbit(byte.cast("long"), place % 8) == 1
+
+
 def with_derived(rows: DataFrame) -> DataFrame:
     """Parsed columns, label, FICO average, issue date and issue year."""
     issued = F.col("issue_d")
@@ -119,22 +148,23 @@ def with_derived(rows: DataFrame) -> DataFrame:
     })
 
 
-def clean_loans(raw: DataFrame) -> DataFrame:
+def clean_loans(raw: DataFrame, space: WorkTables | StagedTables | None = None) -> DataFrame:
     """Filters, full-row dedupe, then derived columns.
 
-    Derived columns depend on the raw row alone, so raw rows are deduped before they widen: the
-    one shuffle carries only raw columns, and copies collapse on the map side first. Numbers are
-    typed before that, so '5000' and '5000.0' are one value.
+    Derived columns depend on the raw row alone, so raw rows are deduped before they widen: what is
+    shuffled carries only raw columns, and copies collapse on the map side first. Numbers are
+    typed before that, so '5000' and '5000.0' are one value. With a ``space`` for tables the rows
+    in scope are stored there, so they are filtered once, and only repeated ones are shuffled whole.
     """
-    return with_derived(deduped(scoped(raw)))
+    rows = scoped(raw)
+    return with_derived(deduped(space.table(rows, "scoped") if space else rows, space))
 
 
 def level_of() -> Column:
-    """How many of the filters, taken in order, a raw row passes."""
-    passed, level = F.lit(True), F.lit(0)
-    for _, condition in FUNNEL:
-        passed = passed & F.coalesce(condition(), F.lit(False))
-        level = level + passed.cast("int")
+    """How many of the filters, taken in order, a raw row passes; none is tried after a failed one."""
+    level = F.lit(len(FUNNEL))
+    for i, (_, condition) in reversed(list(enumerate(FUNNEL))):
+        level = F.when(~F.coalesce(condition(), F.lit(False)), i).otherwise(level)
     return level
 
 

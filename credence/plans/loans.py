@@ -10,17 +10,33 @@ from credence.operators.features import prepare_features, time_split
 from credence.plans.reports import Backtest, backtest
 from credence.sources.csv_loans import load_raw
 from credence.sources.loan_tape import raw_loans
-from credence.sources.staging import input_fingerprint, path_exists, stage_path, staged
+from credence.sources.staging import (
+    StagedTables,
+    input_fingerprint,
+    input_size,
+    path_exists,
+    stage_path,
+    staged,
+)
+
+
+def _inputs(sf_dir: str) -> list[str]:
+    return [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer")]
 
 
 def mark(spark: SparkSession, sf_dir: str) -> str:
-    return input_fingerprint(
-        spark, *[f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer")])
+    return input_fingerprint(spark, *_inputs(sf_dir))
+
+
+def space(spark: SparkSession, sf_dir: str, prefix: str) -> StagedTables:
+    """Room for the tables of one query or table of the given inputs."""
+    return StagedTables(spark, prefix, mark(spark, sf_dir), input_size(spark, *_inputs(sf_dir)))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw export, text columns as text."""
-    return staged(spark, "raw_loans", mark(spark, sf_dir), lambda: raw_loans(spark, sf_dir))
+    return staged(spark, "raw_loans", mark(spark, sf_dir), lambda: raw_loans(spark, sf_dir),
+                  input_bytes=input_size(spark, *_inputs(sf_dir)))
 
 
 def raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +51,8 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean loan table, partitioned by issue year."""
     return staged(spark, "clean_loans", mark(spark, sf_dir),
-                  lambda: clean_loans(raw(spark, sf_dir)), ("issue_year",))
+                  lambda: clean_loans(raw(spark, sf_dir), space(spark, sf_dir, "clean")),
+                  ("issue_year",), input_size(spark, *_inputs(sf_dir)))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
