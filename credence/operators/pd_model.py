@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 
 from credence.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from credence.functions.scoring import fitted_score, on_grid
+from credence.session import settings
+
+#: Most of a file that one task of the training reads.
+TRAIN_SPLIT = "16m"
 
 
 def challenger_pipeline(train_rows: int) -> Pipeline:
@@ -48,8 +52,11 @@ def challenger_pipeline(train_rows: int) -> Pipeline:
 
 
 def train_challenger(train: DataFrame) -> PipelineModel:
+    """The solver keeps a task's rows as vectors, larger than in their files, and reads them in each
+    of its steps; small splits bound what one task holds and reads."""
     rows = train.select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET)
-    return challenger_pipeline(rows.count()).fit(rows)
+    with settings(train.sparkSession, {"spark.sql.files.maxPartitionBytes": TRAIN_SPLIT}):
+        return challenger_pipeline(rows.count()).fit(rows)
 
 
 def predict_pd(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -59,3 +59,16 @@ def test_model_survives_storage(split, model, tmp_path):
     model.write().save(path)
     again = pd_model.coefficients(PipelineModel.load(path), split[0]).collect()
     assert again == pd_model.coefficients(model, split[0]).collect()
+
+
+def test_training_reads_small_splits(spark, split, tmp_path):
+    """A task of the solver holds a bounded part of the training file; the session's splits stay."""
+    split[0].repartition(1).write.parquet(str(tmp_path / "train"))
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    before, fit = spark.conf.get(name), pd_model.Pipeline.fit
+    pd_model.Pipeline.fit = lambda self, rows: seen.append(spark.conf.get(name)) or fit(self, rows)
+    try:
+        pd_model.train_challenger(spark.read.parquet(str(tmp_path / "train")))
+    finally:
+        pd_model.Pipeline.fit = fit
+    assert seen == [pd_model.TRAIN_SPLIT] and spark.conf.get(name) == before
