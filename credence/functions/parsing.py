@@ -34,10 +34,7 @@ def percent_fraction(value: Column) -> Column:
 
 def employment_years(text: Column) -> Column:
     """'10+ years' gives 10, '< 1 year' gives 0, missing markers give null."""
-    cleaned = F.lower(F.trim(text))
-    return (F.when(cleaned.isin("n/a", "nan", ""), None)
-            .when(cleaned.startswith("<"), 0.0)
-            .otherwise(first_number(cleaned)))
+    return F.when(F.trim(text).startswith("<"), 0.0).otherwise(first_number(text))
 
 
 def month_number(text: Column) -> Column:
@@ -45,7 +42,9 @@ def month_number(text: Column) -> Column:
 
     String arithmetic costs a fraction of a date formatter, and the filters need only months.
     """
-    month = F.instr(F.lit(MONTHS), F.lower(F.substring(text, 1, 3)))
+    name = F.substring(text, 1, 3)
+    usual = F.instr(F.lit(MONTHS.title()), name)  # spares most rows the lower-casing
+    month = F.when(usual % 4 == 1, usual).otherwise(F.instr(F.lit(MONTHS), F.lower(name)))
     year = F.substring(text, 5, 4).try_cast("int")
     well_formed = (F.length(text) == 8) & (F.substring(text, 4, 1) == "-") & (month % 4 == 1)
     return F.when(well_formed, year * 12 + F.floor(month / 4).cast("int"))
