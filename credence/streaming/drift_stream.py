@@ -101,24 +101,29 @@ def score_windows(counts: DataFrame, baseline: Baseline) -> DataFrame:
     Baseline bins that a window never saw count too. Their terms are the same for every window, so
     they are summed once per feature; a window adds, for the bins it has, the difference between
     their terms and the ones already in that sum. Windows never meet the whole baseline. A window
-    with very many bins is dealt to ``SALTS`` tasks where its bins meet their total.
+    with very many bins is dealt to ``SALTS`` tasks where its bins meet their total. Terms are summed
+    as decimals, so the sums are the same in any order and equal ones cancel.
     """
+    def exact(term):
+        return term.cast("decimal(30,18)")
+
     own = ["feature", "type"]
     totals = baseline.counts.groupBy(*own).agg(F.sum("expected").alias("expected_total"))
     shares = baseline.counts.join(F.broadcast(totals), own).withColumn(
         "absent", psi_term(F.col("expected") / F.col("expected_total"), F.lit(0.0)))
     profile = shares.groupBy(*own).agg(F.first("expected_total").alias("expected_total"),
-                                       F.sum("absent").alias("all_absent"))
+                                       F.sum(exact(F.col("absent"))).alias("all_absent"))
     window_totals = counts.groupBy(*KEYS).agg(F.sum("actual").alias("actual_total")).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = counts.withColumn("salt", F.pmod(F.xxhash64("bin"), F.lit(SALTS)).cast("int"))
     share = F.coalesce(F.col("expected"), F.lit(0)) / F.col("expected_total")
-    gain = (psi_term(share, F.col("actual") / F.col("actual_total"))
-            - F.coalesce("absent", F.lit(0.0)))
+    gain = (exact(psi_term(share, F.col("actual") / F.col("actual_total")))
+            - exact(F.coalesce("absent", F.lit(0.0))))
     return (salted.join(window_totals, [*KEYS, "salt"])
             .join(shares.select(*own, "bin", "expected", "absent"), [*own, "bin"], "left")
             .join(F.broadcast(profile), own, "left")
-            .groupBy(*KEYS).agg((F.sum(gain) + F.first("all_absent")).alias("psi"))
+            .groupBy(*KEYS).agg(
+                (F.sum(gain) + F.first("all_absent")).cast("double").alias("psi"))
             .withColumn("status", classify(F.col("psi"))))
 
 
