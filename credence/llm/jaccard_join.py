@@ -17,8 +17,10 @@ overlaps of those few shingles.
 
 Lists of up to ``REACH`` + 1 sets give all their pairs. In longer ones each set first meets its
 ``REACH`` neighbours; where several classes are left, sets outside the list's main class then meet
-the whole list, in packed blocks. Pairs of sets in one class are never formed there; pairs of
-different classes are, as far as the skips leave them.
+the whole list, in packed blocks. In up to ``ROUNDS`` rounds each of them tries only its nearest set
+of another class, by the parities, so a large group becomes one class after a few tries a set. Pairs
+of sets in one class are never formed there; pairs of classes that are left apart are, as far as the
+skips leave them.
 
 Defined results: null, empty and wordless texts have no shingles and are linked with nothing, also
 where another row has their id; a text of fewer words than a shingle is one shingle of all its words;
@@ -44,6 +46,9 @@ SHINGLE, PERCENT = 3, 90
 #: Counters that order shingles by rarity; a byte each goes to the tasks, whatever the corpus.
 COUNTERS = 1 << 22
 REACH = 4
+#: Rounds in which sets of long lists try their nearest set of another class; one in which fewer
+#: sets have any to try is the last.
+ROUNDS, FEW = 4, 1000
 #: Sets in a packed block of a long list, and members of a family verified in one row.
 BLOCK, FAMILY = 256, 512
 #: Words of 64 parities that a set has.
@@ -405,16 +410,27 @@ def packed(entries: DataFrame) -> DataFrame:
         *keys, "class", *MARKS).mapInArrow(pack, "token long, low int, high int, data binary")
 
 
-def met(asking: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb) of sets asking and sets of another class, once or more for each shared list.
+def nearest(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Of each set asking (the first column) the row of least ``over``, then of smallest partner."""
+    order = np.lexsort((columns[1], columns[4], columns[0]))
+    asker = columns[0][order]
+    return [c[order[np.append(True, asker[1:] != asker[:-1])[:len(order)]]] for c in columns]
 
-    Blocks of equal size are met by their heads: entries whose position leaves enough to come.
+
+def met(asking: DataFrame, lists: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
+    """(a, b, na, nb, over) of sets asking, a, and sets of another class, b.
+
+    Once or more for each shared list; if not ``all_pairs``, only the nearest ones a batch has.
+    ``over`` is the number of bits that differ beyond, or below, that of shingles that may. Blocks
+    of equal size are met by their heads: entries whose position leaves enough to come.
     """
     def meet(batches):
+        none = [np.zeros(0, np.int64)] * 5
         for batch in batches:
+            best = none
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = (np.frombuffer(v.as_buffer(), ENTRY) for v in (x, y))
-                out = [[np.zeros(0, np.int64)] * 4]
+                out = [none]
                 for s in np.unique(x["size"]).tolist():
                     mine = x[x["size"] == s]
                     for t in np.unique(y["size"]).tolist():
@@ -425,28 +441,38 @@ def met(asking: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
                         ask = mine[:np.searchsorted(mine["pos"], s - need, "right")]
                         head = theirs[:np.searchsorted(theirs["pos"], t - need, "right")]
                         i, j = np.nonzero(ask["class"][:, None] != head["class"][None, :])
-                        off = np.bitwise_count(ask["marks"][i] ^ head["marks"][j]).sum(1)
-                        near = off <= s + t - 2 * need
-                        i, j = i[near], j[near]
-                        a, b = ask["node"][i], head["node"][j]
-                        swap = a > b
-                        out.append([np.where(swap, *c) for c in
-                                    ((b, a), (a, b), (np.int64(t), np.int64(s)),
-                                     (np.int64(s), np.int64(t)))])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in zip(*out)], ["a", "b", "na", "nb"])
+                        off = np.bitwise_count(ask["marks"][i] ^ head["marks"][j]).sum(
+                            1, dtype=np.int64) - (s + t - 2 * need)
+                        near = off <= 0
+                        i, j, off = i[near], j[near], off[near]
+                        out.append([ask["node"][i], head["node"][j], np.full(len(i), s),
+                                    np.full(len(i), t), off])
+                found = [np.concatenate(c) for c in zip(*out)]
+                if all_pairs:
+                    yield told(found)
+                else:
+                    best = nearest([np.concatenate(c) for c in zip(best, found)])
+            if not all_pairs:
+                yield told(best)
             give_back()
 
+    def told(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                          ["a", "b", "na", "nb", "over"])
+
     ask, all_ = (d.select("token", *[F.col(c).alias(c + k) for c in ("low", "high")],
                           F.col("data").alias(k)) for d, k in ((asking, "x"), (lists, "y")))
     near = (f"100 * highx >= {percent} * lowy AND 100 * highy >= {percent} * lowx")
     return ask.join(all_, "token").filter(near).select("token", "x", "y").mapInArrow(
-        meet, "a long, b long, na long, nb long")
+        meet, "a long, b long, na long, nb long, over long")
 
 
 def long_list_pairs(rest: DataFrame, nodes: DataFrame, classes: DataFrame, percent: int,
-                    space: Workspace) -> DataFrame:
-    """(a, b, na, nb) of sets in different classes that longer lists hold."""
+                    space: Workspace, all_pairs: bool = True) -> DataFrame:
+    """(a, b, na, nb) of sets in different classes that longer lists hold, a < b.
+
+    If not ``all_pairs``, of each set outside its list's main class only the nearest one.
+    """
     members = space.table(rest.join(classes.select("node", F.col("component").alias("class")),
                                     "node", "left").withColumn("class", F.coalesce("class", "node")),
                           "members")
@@ -456,7 +482,14 @@ def long_list_pairs(rest: DataFrame, nodes: DataFrame, classes: DataFrame, perce
         "token", F.col("most.class").alias("main"))
     lists = space.table(members.join(space.table(mixed, "mixed"), "token").join(
         nodes.select("node", *MARKS), "node"), "lists")
-    return met(packed(lists.filter("class <> main")), packed(lists), percent)
+    found = met(packed(lists.filter("class <> main")), packed(lists), percent, all_pairs)
+    if not all_pairs:
+        found = found.groupBy("a").agg(F.min(F.struct("over", "b", "na", "nb")).alias("best")).select(
+            "a", "best.*")
+    swap = F.col("a") > F.col("b")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                        F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
+                        F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"))
 
 
 def sets_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, seed: int, name: str,
@@ -492,12 +525,31 @@ def linked(docs: DataFrame, nodes: DataFrame, entries: DataFrame, shingle: int,
     classes = space.table(components(ends if known is None else known.unionAll(ends), space),
                           "classes")
 
+    many = not rest.isEmpty()
+    for _ in range(ROUNDS if many else 0):
+        near = space.table(long_list_pairs(rest, nodes, classes, percent, space, all_pairs=False)
+                           .distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "near")
+        tries = near.count()
+        if not tries:
+            break
+        more = space.table(verified(near, sets_of(near, docs, nodes, shingle, seed, "near_sets",
+                                                  space), percent), "near_links")
+        tried, links = tried.unionByName(near), links.unionByName(more)
+        ends = links.select("a", "b")
+        classes = space.table(components(classes.select(
+            F.col("node").alias("a"), F.col("component").alias("b")).unionAll(
+            more.select("a", "b")), space), "classes")
+        if tries < FEW:
+            break
+
     others = apart(pairs.select("a", "b", "na", "nb"), classes)
-    if not rest.isEmpty():
+    if many:
         others = others.unionByName(long_list_pairs(rest, nodes, classes, percent, space)).distinct()
     others = others.join(tried.select("a", "b"), ["a", "b"], "left_anti")
     others = space.table(others.join(families(links, space).withColumnRenamed("x", "a"), "a", "left")
                          .withColumn("lead", F.coalesce("lead", "a")), "others")
+    if known is None:  # the classes' own links are the fewest
+        ends = classes.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
     if others.isEmpty():
         return ends
     more = sets_of(others, docs, nodes, shingle, seed, "more_sets", space)

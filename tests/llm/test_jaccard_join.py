@@ -117,3 +117,19 @@ def test_walk_holds_lists_over_batches():
     long_ = sorted((t, n) for t, nodes in lists.items() if len(nodes) > jaccard_join.REACH + 1
                    for n in nodes)
     assert sorted((r["token"], r["node"]) for r in rows if r["token"] is not None) == long_
+
+
+def test_large_group_forms_few_pairs(spark, monkeypatch):
+    """Near copies that nearly all link become one class before pairs of classes are formed."""
+    formed, derived = [], jaccard_join.derived
+
+    def counted(asked, sets, percent):
+        formed.append(asked.count())
+        return derived(asked, sets, percent)
+
+    monkeypatch.setattr(jaccard_join, "derived", counted)
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(200)]
+    docs = {i: " ".join(edited(rng, words, rng.choice([1, 2, 3]))) for i in range(160)}
+    agree(spark, docs)
+    assert sum(formed) <= 2 * len(docs)
