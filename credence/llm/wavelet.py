@@ -15,6 +15,7 @@ document ids are ordered by their text, a null id comes first; an empty table st
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import struct
@@ -33,8 +34,10 @@ from credence.llm.work import new_folder
 END_ID = 2
 SHARD_TOKENS = 1 << 19
 MAGIC = b"WVM1"
-BATCH_BYTES = 8 << 20
-_SMALL = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+BATCH_BYTES = 12 << 20
+#: Words whose ids a Python process keeps from one batch to the next.
+KNOWN_WORDS = 1_000_000
+_SMALL = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"  # not U+0130: its small form is two characters
 _SIGNS = re.compile(r"[!-&(-/:;=-@\[-`{-~]+")
 
@@ -205,6 +208,8 @@ class WordEncoder:
         self.direct.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.words = pa.array([], pa.large_string())
+        self.begins = self.sizes = self.flat = np.zeros(0, np.int32)
         self.by_word = whole == [i for w in pieces for i in
                                  self.tokenizer.encode(w, add_special_tokens=False).ids]
 
@@ -224,13 +229,14 @@ class WordEncoder:
             return column
         return pc.ascii_lower(column)
 
-    def pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pieces(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begin of each word's, number of each word's)."""
+        words = column.to_pylist()
         begins, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        small, plain, others = [], [], []
-        for i, w in enumerate(words):
-            (small if _SMALL.fullmatch(w) else plain if w.isalpha() or _SIGNS.fullmatch(w)
-             else others).append(i)
+        is_small = pc.match_substring_regex(column, _SMALL).to_numpy(zero_copy_only=False)
+        small, plain, others = np.flatnonzero(is_small).tolist(), [], []
+        for i in np.flatnonzero(~is_small).tolist():
+            (plain if words[i].isalpha() or _SIGNS.fullmatch(words[i]) else others).append(i)
         pool, held = [], 0
         for tokenizer, own in ((self.direct, small), (self.tokenizer, plain)):
             chunks = [own[i:i + 1000] for i in range(0, len(own), 1000)]
@@ -258,6 +264,29 @@ class WordEncoder:
                 held += len(e.ids)
         return np.concatenate(pool or [np.zeros(0, np.int64)]), begins, sizes
 
+    def known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``pieces``, where words of earlier batches need no encoding.
+
+        Once ``KNOWN_WORDS`` are passed, only the batch's own are kept.
+        """
+        at = pc.index_in(words, value_set=self.words)
+        fresh = np.asarray(at.is_null())
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        flat, begins, sizes = self.pieces(words.filter(pa.array(fresh)))
+        if len(self.words) + len(begins) > KNOWN_WORDS:
+            kept, at[~fresh] = at[~fresh], np.arange(len(at) - len(begins))
+            own = self.sizes[kept].astype(np.int64)
+            tops = np.cumsum(own)
+            self.flat = self.flat[np.repeat(self.begins[kept] - tops + own, own)
+                                  + np.arange(own.sum())]
+            self.words, self.begins, self.sizes = self.words.take(pa.array(kept)), tops - own, own
+        at[fresh] = len(self.words) + np.arange(len(begins))
+        self.words = pa.concat_arrays([self.words, words.filter(pa.array(fresh))])
+        self.begins, self.sizes, self.flat = (
+            np.concatenate(x).astype(np.int32) for x in (
+                (self.begins, begins + len(self.flat)), (self.sizes, sizes), (self.flat, flat)))
+        return self.flat, self.begins[at].astype(np.int64), self.sizes[at].astype(np.int64)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per text)."""
         column = column.fill_null("")
@@ -268,7 +297,7 @@ class WordEncoder:
         words = pc.ascii_split_whitespace(self.lowered(self.apart(column)))
         edges = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
-        flat, begins, sizes = self.pieces(coded.dictionary.to_pylist())
+        flat, begins, sizes = self.known(coded.dictionary.cast(pa.large_string()))
         order = coded.indices.to_numpy(zero_copy_only=False)
         del words, coded
         size = sizes[order]
@@ -278,6 +307,12 @@ class WordEncoder:
         return ids, total[edges[1:]] - total[edges[:-1]]
 
 
+@functools.cache
+def encoder_of(path: str) -> WordEncoder:
+    """The vocabulary's encoder, read once by a Python process whatever number of tasks it runs."""
+    return WordEncoder(path)
+
+
 def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID,
                  shard_tokens: int = SHARD_TOKENS) -> str:
     """Writes all texts' ids in ascending order of documents; returns the folder of the files.
@@ -288,7 +323,7 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID,
     def encode(batches):
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        part, encoder = TaskContext.get().partitionId(), WordEncoder(vocabulary)
+        part, encoder = TaskContext.get().partitionId(), encoder_of(vocabulary)
         shard = start = held = 0
         ids, doc_ids, known, sizes = [], [], [], []
 

@@ -628,3 +628,21 @@ def test_every_known_sentence_passes_the_hint(name):
         assert re.search(licence_rules.HINT, sentence), sentence
 
     holds()
+
+
+def test_known_words_are_encoded_once(monkeypatch):
+    """Ids of later batches are those of a new encoder; only new words reach the vocabulary."""
+    texts = [pa.array(t) for t in (["alpha beta Gamma's", None, "beta x1-2 \u00e1cc"],
+                                   ["gamma beta alpha alpha zeta", ""], ["zeta omega alpha 77 x1-2"],
+                                   ["omega alpha nothing-known", "beta 77"])]
+    expected = [wavelet.WordEncoder(VOCABULARY).encode(t) for t in texts]
+    for limit in (4, 1000):
+        monkeypatch.setattr(wavelet, "KNOWN_WORDS", limit)
+        encoder, asked, pieces = wavelet.WordEncoder(VOCABULARY), [], wavelet.WordEncoder.pieces
+        monkeypatch.setattr(encoder, "pieces", lambda column: (
+            asked.extend(column.to_pylist()), pieces(encoder, column))[1])
+        for t, (ids, sizes) in zip(texts, expected):
+            found = encoder.encode(t)
+            assert found[0].tolist() == ids.tolist() and found[1].tolist() == sizes.tolist()
+    assert len(asked) == len(set(asked))
+    assert wavelet.encoder_of(VOCABULARY) is wavelet.encoder_of(VOCABULARY)
