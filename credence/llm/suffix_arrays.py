@@ -12,8 +12,10 @@ removed. The work is dealt so that no suffix array spans the corpus, and little
    travel once: those in larger documents are hits already. Anchors of very many different strings
    (the edges of a common passage, common phrases) are known from a sample of the documents; their
    strings are cut into single windows, which are dealt by their own bytes, so no anchor is one group.
-3. Suffix arrays. A shard sorts its suffixes by their first ``LENGTH`` bytes with Larsson-Sadakane
-   refinement: the first 8 bytes, then doubling, each time only the groups not yet told apart.
+3. Suffix arrays. Windows whose hash is alone in a part have no equal; strings are cut to what lies
+   between their first and last other window. A shard sorts the suffixes left by their first
+   ``LENGTH`` bytes with Larsson-Sadakane refinement: the first 8 bytes, then doubling, each time
+   only the groups not yet told apart.
    Common prefixes of neighbours in the order mark the classes of equal windows; the smallest
    document of a class keeps it. The prefixes are compared directly, in 8-byte words, up to
    ``LENGTH``: Kasai's carry from one suffix to the next needs the complete order of all suffixes,
@@ -36,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credence.llm.text_kernel import give_back, mixed, text_buffer
+from credence.llm.text_kernel import BYTE_VALUES, give_back, mixed, powers, text_buffer
 from credence.llm.work import Workspace, small_batches, table, text_of
 
 LENGTH = 50
@@ -587,6 +589,30 @@ def smallest_owner(data: np.ndarray, sizes: np.ndarray, owner: np.ndarray, parts
         yield f[0], f[2][f[1]]
 
 
+def repeated(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, first, last): strings with windows whose hash occurs twice, and the outer ones' places.
+
+    Equal windows have equal hashes, so no other window is in a class of two.
+    """
+    tops = np.cumsum(sizes)
+    many = sizes - LENGTH + 1
+    ends = np.cumsum(many)
+    at = np.arange(ends[-1]) + np.repeat(tops - sizes - ends + many, many)
+    up, down = powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[data] * up[:len(data)], out=sums[1:])
+    hashes = mixed((sums[at + LENGTH] - sums[at]) * down[at])
+    order = np.argsort(hashes)
+    same = np.zeros(len(at) + 1, bool)
+    same[1:-1] = hashes[order[1:]] == hashes[order[:-1]]
+    twice = np.sort(order[same[1:] | same[:-1]])
+    string = np.searchsorted(ends, twice, "right")
+    new = np.flatnonzero(np.append(True, string[1:] != string[:-1])[:len(string)])
+    last = np.append(new[1:], len(string))[:len(new)] - 1
+    string, base = string[new], (ends - many)[string[new]]
+    return string, twice[new] - base, twice[last] - base
+
+
 def hit_runs(shards: DataFrame, dests: int, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, key, runs): begins and ends of a document's byte runs found in smaller ones.
 
@@ -631,6 +657,16 @@ def hit_runs(shards: DataFrame, dests: int, part_bytes: int = PART_BYTES) -> Dat
             size = sizes[own]
             tops = np.cumsum(size)
             data = body[np.repeat(begin[own] - tops + size, size) + np.arange(tops[-1])]
+            low = np.zeros(len(own), np.int64)
+            if tops[-1] <= 2 * part_bytes:  # a larger group of one anchor stays whole
+                kept, low, high = repeated(data, size)
+                if not len(kept):
+                    i = j
+                    continue
+                source = (tops - size)[kept] + low
+                own, size = own[kept], high - low + LENGTH
+                tops = np.cumsum(size)
+                data = data[np.repeat(source - tops + size, size) + np.arange(tops[-1])]
             if j == i + 1 and tops[-1] > part_bytes:
                 cuts = np.searchsorted(tops, np.arange(part_bytes, tops[-1], part_bytes), "right")
                 cuts = np.unique(np.concatenate(([0], cuts, [len(own)])))
@@ -646,11 +682,11 @@ def hit_runs(shards: DataFrame, dests: int, part_bytes: int = PART_BYTES) -> Dat
             first = np.flatnonzero(hit[:-1] & ~np.append(False, hit[:-2]))
             last = np.flatnonzero(hit[:-1] & ~hit[1:])
             s = string_of[first]
-            base = froms[own][s] - (tops - size)[s]
+            base = (froms[own] + low)[s] - (tops - size)[s]
             for k, x in enumerate((ids[own][s], keys[own][s], first + base, last + base + LENGTH)):
                 out[k].append(x)
             i = j
-        ids, keys, s, e = (np.concatenate(x) for x in out)
+        ids, keys, s, e = (np.concatenate([np.zeros(0, np.int64), *x]) for x in out)
         if not len(ids):
             return passed
         return pa.concat_tables([passed, dealt_table(dealt(ids, keys, [s, e], dests))])

@@ -22,6 +22,7 @@ NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _rng = np.random.default_rng(20240501)
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])
 _VALUES = (_rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+BYTE_VALUES = _VALUES
 VALUES_LOWER = _VALUES[_LOWER]
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -646,3 +646,19 @@ def test_known_words_are_encoded_once(monkeypatch):
             assert found[0].tolist() == ids.tolist() and found[1].tolist() == sizes.tolist()
     assert len(asked) == len(set(asked))
     assert wavelet.encoder_of(VOCABULARY) is wavelet.encoder_of(VOCABULARY)
+
+
+def test_only_repeated_windows_are_sorted():
+    """Strings are cut to the windows that occur twice, all of them and little else."""
+    rng = random.Random(4)
+    made = [rng.randbytes(rng.randint(50, 80)) for _ in range(300)]
+    made += [rng.randbytes(rng.randint(0, 9)) + s[rng.randint(0, len(s) - 50):] for s in made[::10]]
+    data = np.frombuffer(b"".join(made), np.uint8)
+    windows = Counter(s[k:k + 50] for s in made for k in range(len(s) - 49))
+    expected = []
+    for i, s in enumerate(made):
+        if places := [k for k in range(len(s) - 49) if windows[s[k:k + 50]] > 1]:
+            expected.append((i, places[0], places[-1]))
+    found = suffix_arrays.repeated(data, np.array([len(s) for s in made]))
+    assert list(zip(*(x.tolist() for x in found))) == expected
+    assert [len(x) for x in suffix_arrays.repeated(data[:50], np.array([50]))] == [0, 0, 0]
