@@ -498,7 +498,7 @@ def sets_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, s
     ends = pairs.select(F.explode(F.array(*[c for c in ("a", "b", "lead") if c in pairs.columns]))
                         .alias("node")).distinct()
     ids = space.id_list(nodes.select("node", F.col("rep").alias("doc_id")).join(
-        ends, "node", "left_semi").select("doc_id").distinct(), name + "_ids")
+        ends, "node", "left_semi").select("doc_id").distinct(), name + "_ids", 3 * pairs.count())
     return space.table(full_sets(docs, ids, shingle, seed), name)
 
 
@@ -586,7 +586,8 @@ def told_apart(docs: DataFrame, shingle: int, write) -> tuple[DataFrame, DataFra
 def links_between(docs: DataFrame, members: DataFrame, shingle: int, percent: int,
                   space: Workspace) -> DataFrame:
     """Links (a, b) of ids that join the classes of ``members`` (id, class) as far as they link."""
-    ids = space.id_list(members.select(F.col("id").alias("doc_id")).distinct(), "member_ids")
+    ids = space.id_list(members.select(F.col("id").alias("doc_id")).distinct(), "member_ids",
+                        members.count())
     part = ided(docs).join(ids, "doc_id", "left_semi")
     scan, nodes, seed = told_apart(part, shingle, space.table)
     placed = space.table(scan.filter("node IS NOT NULL").select("doc_id", "node").join(

@@ -240,7 +240,7 @@ def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent:
     same = space.table(known.select("digest", "doc_id").join(firsts, "digest").filter(
         "doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(),
         "copies")
-    copies = space.id_list(same.select(F.col("b").alias("id")).distinct(), "copy_ids")
+    copies = space.id_list(same.select(F.col("b").alias("id")).distinct(), "copy_ids", same.count())
     nodes = known.join(copies, F.col("doc_id") == F.col("id"), "left_anti").select(
         "doc_id", "n_shingles", "sign")
     placed = space.table(labels(nodes), "labels")
@@ -252,7 +252,7 @@ def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent:
     best = best_of_each(pairs)
     tried = space.table(best.unionAll(pairs.filter("small").select("a", "b")).distinct(), "tried")
     ids = space.id_list(tried.select(F.col("a").alias("id")).unionAll(
-        tried.select(F.col("b").alias("id"))).distinct(), "set_ids")
+        tried.select(F.col("b").alias("id"))).distinct(), "set_ids", 2 * tried.count())
     sets = space.table(full_sets(docs, ids, shingle), "sets")
 
     links = space.table(confirmed(tried, sets, percent), "links")
@@ -262,7 +262,10 @@ def near_components(docs: DataFrame, sketched: DataFrame, shingle: int, percent:
         more = space.table(jaccard_join.links_between(docs, members, shingle, percent, space),
                            "crowd_links")
         if not more.isEmpty():
-            comps = space.table(components(links.unionAll(more), space), "components")
+            # A component's own links are the fewest; what joins components is among the new ones.
+            comps = space.table(components(comps.select(
+                F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), space),
+                "components")
     # Copies hang on their representative; only representatives have links.
     whole = same.join(comps.withColumnRenamed("node", "a"), "a", "left").select(
         F.col("b").alias("id"), F.coalesce("component", "a").alias("component"))

@@ -253,6 +253,45 @@ def test_groups_of_equal_sets_and_texts_are_split(spark):
         assert "skew=true" in stars._jdf.queryExecution().executedPlan().toString()
 
 
+def smallest_reachable(edges):
+    least = {n: n for e in edges for n in e}
+    while True:
+        after = dict(least)
+        for a, b in edges:
+            after[a] = after[b] = min(after[a], after[b])
+        if after == least:
+            return least
+        least = after
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_components_of_few_and_of_many_edges(spark, monkeypatch, few):
+    """Both ways find the smallest node: chains, rings, stars, random and repeated edges, loops."""
+    monkeypatch.setattr(components, "BROADCAST_EDGES", few)
+    rng = random.Random(21)
+    chain = rng.sample(range(1000, 1300), 120)
+    edges = [*zip(chain, chain[1:]), *((i, i + 1) for i in range(2000, 2100)), (2100, 2000),
+             *((3500 - i, 3500) for i in range(200)), *((-7, i) for i in range(4000, 4050)),
+             *((rng.randint(5000, 5300), rng.randint(5000, 5300)) for _ in range(250))]
+    rng.shuffle(edges)
+    rows = [*edges, *edges[:90], *((b, a) for a, b in edges[90:180]), (9000, 9000), (None, 1000)]
+    with Workspace(spark) as space:
+        out = components.components(spark.createDataFrame(rows, "a long, b long"), space)
+        found = [tuple(r) for r in out.collect()]
+    expected = smallest_reachable([(a, b) for a, b in edges if a != b])
+    assert len(found) == len(expected) and dict(found) == expected
+
+
+def test_few_edges_take_few_jobs(spark):
+    """A long chain in random order ends after a few rounds of one table each."""
+    chain = random.Random(4).sample(range(10_000), 1000)
+    with Workspace(spark) as space:
+        out = components.components(
+            spark.createDataFrame([*zip(chain, chain[1:])], "a long, b long"), space)
+        assert {r["component"] for r in out.collect()} == {min(chain)}
+        assert space.made <= 9
+
+
 def test_near_duplicate_edges(results):
     out = [(r["doc_id"], r["component_id"], r["n_shingles"]) for r in results["op4"]]
     assert {(1, 1, 87), (2, 1, 87), (3, 1, 90), (4, 4, 0), (5, 5, 0), (6, 6, 0)} <= set(out)
