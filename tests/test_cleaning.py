@@ -1,21 +1,36 @@
+import contextlib
+import datetime
+import functools
 import gzip
+import time
 import uuid
 
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from credence.fixed_values import NA_TOKENS
 from credence.functions import parsing
 from credence.operators import cleaning
-from credence.plans import ingestion
+from credence.plans import ingestion, registry
+from credence.plans import loans as tables
 from credence.plans.ingestion import run_ingestion, write_demo_sample
 from credence.session import settings, work_folder
 from credence.sources.csv_loans import IngestionError, load_raw
 from credence.sources.headers import files_by_header
 from credence.sources.loan_store import load_loans, read_loans, write_loans
 from credence.sources.run_log import read_log
-from credence.sources.staging import StagedTables, WorkTables, folder_names, staged
+from credence.sources.staging import (
+    StagedTables,
+    WorkTables,
+    drop_files,
+    folder_names,
+    path_exists,
+    stage_path,
+    staged,
+    write_parts,
+)
 
 
 def parsed(spark, expression, values, kind="string"):
@@ -269,6 +284,117 @@ def test_files_of_the_clean_table_are_of_advisory_size(spark, loans, tmp_path):
     assert len(hot_files) > 3  # one year is not one task's
 
 
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager() \
+        .diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(i).getName() for i in range(found.size()))
+            if name.startswith("shuffle") and name.endswith(".data")}
+
+
+def no_new_shuffle_files(spark, before):
+    for _ in range(50):  # they go in the background
+        if not shuffle_files(spark) - before:
+            return True
+        time.sleep(0.2)
+    return False
+
+
+@pytest.mark.parametrize("copies", [1, ingestion.PART_COPIES])
+def test_ingestion_in_parts_equals_the_whole(spark, raw_csv, tmp_path, monkeypatch, copies):
+    """Parts shuffle by turns, a part's files of the work table go with it, copies meet across parts."""
+    frame = pd.read_csv(raw_csv, dtype=str, keep_default_na=False)
+    frame = pd.concat([frame, frame.assign(loan_amnt="1"), frame.assign(addr_state="TX")])
+    (tmp_path / "raw").mkdir()
+    for i, some in enumerate([frame, frame[:10].assign(dti="1"), frame[5:25], frame[10:]]):
+        some.to_csv(tmp_path / "raw" / f"{i}.csv", index=False)
+    expected = run_ingestion(spark, str(tmp_path / "raw"), str(tmp_path / "whole"),
+                             str(tmp_path / "l1"))
+    dropped, shuffled = [], []
+
+    def drop(spark, files):
+        dropped.extend(files)
+        shuffled.append(no_new_shuffle_files(spark, before))
+        drop_files(spark, files)
+
+    monkeypatch.setattr(ingestion, "PART_BYTES", 1)
+    monkeypatch.setattr(ingestion, "CORE_BYTES", 0)
+    monkeypatch.setattr(ingestion, "PART_COPIES", copies)
+    monkeypatch.setattr(ingestion, "drop_files", drop)
+    with settings(spark, {"spark.sql.files.openCostInBytes": str(1 << 30)}):  # a file is a task
+        before = shuffle_files(spark)
+        found = run_ingestion(spark, str(tmp_path / "raw"), str(tmp_path / "parts"),
+                              str(tmp_path / "l2"))
+    assert len(dropped) == len(set(dropped)) == len(shuffled) == 4 and all(shuffled)
+    assert expected.count() == found.count() == 16 and found.schema == expected.schema
+    assert found.exceptAll(expected).isEmpty()
+    assert (tmp_path / "parts" / "_SUCCESS").exists()
+    steps = [read_log(spark, str(tmp_path / log)).orderBy("timestamp").select(
+        "step", "rows_in", "rows_out").collect() for log in ("l1", "l2")]
+    assert steps[0] == steps[1]
+
+
+@pytest.mark.parametrize("limit", [cleaning.BROADCAST_FINGERPRINTS, 0])
+def test_copies_are_told_in_any_part(spark, limit):
+    rows = [(i % 30, "x" if i % 2 else None, 0.0 if i % 3 else -0.0) for i in range(50)]
+    with WorkTables(spark) as space:
+        df = space.table(spark.createDataFrame(rows, "a long, b string, c double"), "rows")
+        copies = cleaning.Copies(df, space, limit)
+        shares = list(copies.distinct(df, 3))
+        halves = [copies.sides(df.filter(half))[0] for half in ("a % 2 = 0", "a % 2 = 1")]
+        assert copies.count == 20 and len(shares) == 7
+        assert sum(share.count() for share in shares) == 20
+        assert sum(half.count() for half in halves) == 10
+        found = functools.reduce(DataFrame.unionAll, shares + halves)
+        assert found.exceptAll(df.dropDuplicates()).isEmpty()
+
+
+def test_export_leaves_no_more_than_packed_files(spark, tmp_path, monkeypatch):
+    """Neither a second copy of the rows nor shuffle files lie beside the export; nulls change nothing."""
+    day, n = datetime.datetime(1997, 3, 1), 200
+    lines = [(i % 60 or None, i % 37 if i % 41 else None, i % 9, i % 7, float(i % 50), 4000.0 * i,
+              i % 10 / 100, i % 5 / 100, "NAR"[i % 3] if i % 43 else None) for i in range(n)]
+    orders = [(k or None, k % 8, "OFP"[k % 3], "2-HIGH", day) for k in range(60)]
+    people = [(k, k % 25, 100.0 * k, "BUILDING") for k in range(7)]
+    for name, rows, schema in (
+            ("lineitem", lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+             "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+             "l_returnflag string"),
+            ("orders", orders, "o_orderkey int, o_custkey long, o_orderstatus string, "
+             "o_orderpriority string, o_orderdate timestamp"),
+            ("customer", people, "c_custkey long, c_nationkey int, c_acctbal double, "
+             "c_mktsegment string")):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(tables, "SHARE_BYTES", 1)
+    mark, before = tables.mark(spark, str(tmp_path)), shuffle_files(spark)
+    found = tables.raw_csv(spark, str(tmp_path))
+    assert no_new_shuffle_files(spark, before)
+    assert all(name.endswith(".csv.gz") for name in found.inputFiles())
+    assert not path_exists(spark, stage_path(spark, "raw_loans", mark))
+    log = registry.ingest_log(spark, str(tmp_path)).orderBy("step_no").collect()
+    raw = tables.raw(spark, str(tmp_path))
+    assert found.count() == raw.count() > 100
+    for c in ("loan_id", "annual_inc", "loan_status", "issue_d", "last_pymnt_d", "term"):
+        same = raw.select(F.col(c).cast("string"))
+        assert found.select(c).exceptAll(same).isEmpty() and same.exceptAll(found.select(c)).isEmpty()
+    assert log == registry.ingest_funnel(spark, str(tmp_path)).orderBy("step_no").collect()
+    assert log[0].rows_in == raw.count() and log[-1].rows_out > 0
+
+
+def test_failed_parts_leave_nothing(spark, tmp_path):
+    """A folder of parts is whole and marked so, or not there."""
+    def parts(broken):
+        yield spark.range(3)
+        assert not (tmp_path / "t" / "_SUCCESS").exists()
+        yield spark.range(4).select(F.raise_error(F.lit("broken")) if broken else "id")
+
+    for broken in (False, True):
+        with pytest.raises(Exception, match="broken") if broken else contextlib.nullcontext():
+            write_parts(spark, parts(broken), str(tmp_path / "t"), lambda df: df.write, "parquet")
+        assert (tmp_path / "t" / "_SUCCESS").exists() != broken
+        assert broken or spark.read.parquet(str(tmp_path / "t")).count() == 7
+    assert not (tmp_path / "t").exists()
+
+
 def test_clean_rows(spark, raw_csv):
     rows = cleaning.clean_loans(load_raw(spark, raw_csv)).orderBy("issue_date").collect()
     assert [r.issue_d for r in rows] == ["Jul-2013", "Aug-2014", "Nov-2015", "Feb-2016"]
